@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 # Fixed value: the geohash base-32 alphabet.
 GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
+BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 EARTH_RADIUS_KM = 6371.0088
 
 
@@ -44,36 +45,24 @@ def _quantised(lat: Column, lon: Column, bits: int) -> tuple[Column, Column]:
     return qa, qo
 
 
-def _interleaved(qa: Column, qo: Column, bits: int, first: int, count: int) -> Column:
-    """``count`` interleaved bits from position ``first`` on (0 = first longitude bit) as a number."""
-    parts = []
-    for g in range(first, first + count):
-        source = qo if g % 2 == 0 else qa
-        bit = F.shiftright(source, bits - 1 - g // 2).bitwiseAND(F.lit(1))
-        parts.append(F.shiftleft(bit, first + count - 1 - g))
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return total
+def _spread(q: Column, kind: str) -> Column:
+    """A zero bit before every bit: the binary digits read as digits of base 4."""
+    return F.conv(F.bin(q), 4, 10).cast(kind)
 
 
 def geohash(lat: str | Column, lon: str | Column, precision: int = 12) -> Column:
-    """Base-32 geohash; null when a coordinate is null or 0."""
+    """Base-32 geohash of up to 12 characters; null when a coordinate is null or 0."""
     qa, qo = _quantised(_col(lat), _col(lon), 30)
-    letters = [
-        F.substring(F.lit(GEOHASH_ALPHABET), (_interleaved(qa, qo, 30, 5 * i, 5) + 1).cast("int"), F.lit(1))
-        for i in range(precision)
-    ]
-    return F.concat(*letters)
+    code = _spread(qo, "bigint") * 2 + _spread(qa, "bigint")
+    digits = F.lpad(F.conv(code.cast("string"), 10, 32), 12, "0")
+    return F.substring(F.translate(digits, BASE32_DIGITS, GEOHASH_ALPHABET), 1, precision)
 
 
 def geohash_u64(lat: str | Column, lon: str | Column) -> Column:
     """The 64-bit geohash as an unsigned decimal string; null when a coordinate is null or 0."""
     qa, qo = _quantised(_col(lat), _col(lon), 32)
     wide = "decimal(20,0)"
-    high = _interleaved(qa, qo, 32, 0, 32).cast(wide)
-    low = _interleaved(qa, qo, 32, 32, 32).cast(wide)
-    return (high * F.lit(1 << 32).cast(wide) + low).cast(wide).cast("string")
+    return (_spread(qo, wide) * 2 + _spread(qa, wide)).cast(wide).cast("string")
 
 
 def geohash_struct(lat: str | Column, lon: str | Column, prefix: int = 8) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -12,6 +12,12 @@ def mean(column: str | Column) -> Column:
     return F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double"))
 
 
+def mean_over(column: str | Column, window: WindowSpec) -> Column:
+    """``mean`` over a window."""
+    c = F.col(column) if isinstance(column, str) else column
+    return F.try_divide(F.sum(c).over(window).cast("double"), F.count(c).over(window).cast("double"))
+
+
 def skewness_sample_sd(column: str | Column) -> Column:
     """Third central moment over the cube of the sample standard deviation."""
     c = F.col(column) if isinstance(column, str) else column

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airq.functions.stats import kurtosis_sample_sd, mean, skewness_sample_sd
+from airq.functions.stats import kurtosis_sample_sd, mean, mean_over, skewness_sample_sd
 
 TILE = 48
 
@@ -55,7 +55,7 @@ def flat_spots(df: DataFrame, keys: list[str], value: str = "value", ts: str = "
 
 def acf1(df: DataFrame, keys: list[str], value: str = "value", ts: str = "timestamp") -> DataFrame:
     """Autocorrelation at lag 1 over the complete pairs."""
-    centred = df.select(*keys, ts, (F.col(value) - mean(value).over(_whole(keys))).alias("_d"))
+    centred = df.select(*keys, ts, (F.col(value) - mean_over(value, _whole(keys))).alias("_d"))
     pairs = centred.withColumn("_p", F.col("_d") * F.lag("_d").over(_ordered(keys, ts)))
     lagged = F.try_divide(F.sum("_p"), F.count("_p") + F.lit(1.0))
     spread = F.try_divide(F.sum(F.col("_d") * F.col("_d")), F.count("_d"))
@@ -94,7 +94,7 @@ def largest_shifts(
         ts,
         F.row_number().over(o).alias("_at"),
         F.count(F.lit(1)).over(frame).alias("_rows"),
-        mean(value).over(frame).alias("_mean"),
+        mean_over(value, frame).alias("_mean"),
         F.var_samp(value).over(frame).alias("_var"),
     )
     rolled = rolled.select(

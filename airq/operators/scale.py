@@ -33,25 +33,33 @@ def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 
 
 def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: list[str],
-    how: str = "left",
-    broadcast_bytes: int = BROADCAST_BYTES,
-    heavy_rows: int = HEAVY_ROWS,
+    fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left", broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Equi-join of a fact with a table that has one row (or a small constant number) per key.
 
-    A dimension of checked size is broadcast and the fact is not shuffled at all. Beyond that size,
-    keys with ``heavy_rows`` rows or more are split off: there are at most ``rows / heavy_rows`` of
-    them, so their part of the dimension is bounded and broadcast, and only the light keys shuffle.
-    Null keys match nothing and stay out of the shuffle too. ``how`` is ``left`` or ``inner``.
+    A dimension of checked size is broadcast and the fact is not shuffled. Beyond that size both sides
+    shuffle, and adaptive execution cuts a partition that a hot key (or null keys) made too big into
+    several tasks, each with its copy of the few matching dimension rows; the fact is the side that
+    may be cut for both ``left`` and ``inner``. For a fact known to be dominated by few keys see
+    ``split_join``, which keeps those out of the shuffle altogether.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup_join supports left and inner, not {how}")
-    if is_small(dim, broadcast_bytes):
-        return fact.join(F.broadcast(dim), on, how)
+    return fact.join(F.broadcast(dim) if is_small(dim, broadcast_bytes) else dim, on, how)
 
+
+def split_join(
+    fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left", heavy_rows: int = HEAVY_ROWS
+) -> DataFrame:
+    """``lookup_join`` for a stored fact with hot keys: they are joined apart, without a shuffle.
+
+    Keys with ``heavy_rows`` rows or more are counted first (combined before the shuffle). There are at
+    most ``rows / heavy_rows`` of them, so they and their dimension rows are bounded and broadcast;
+    only the light keys shuffle. Null keys match nothing and stay out of the shuffle too. The fact is
+    read three times, so it should be a table, not a long plan.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"split_join supports left and inner, not {how}")
     columns = [*on, *(c for c in fact.columns if c not in on), *(c for c in dim.columns if c not in on)]
     heavy = (
         fact.groupBy(*on)

@@ -115,7 +115,9 @@ def _(spark, folder):
         F.concat("s_name", F.lit(" ü")),
         F.concat(F.lit("NATION "), F.col("s_nationkey").cast("string")),
     )
-    table(spark, folder, "supplier").select(line.alias("line")).write.option("encoding", "ISO-8859-1").text(path)
+    table(spark, folder, "supplier").select(line.alias("line")).write.option("encoding", "ISO-8859-1").option(
+        "sep", "\u0001"
+    ).option("quote", "").csv(path)
     return read_station_catalogue(spark, path).select("Stations_id", "geoBreite", "geoLaenge", "Stationsname", "Bundesland")
 
 

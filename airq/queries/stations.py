@@ -8,7 +8,7 @@ from airq import schemas
 from airq.functions.stats import mean
 from airq.operators.clean import with_group_minimum
 from airq.operators.quality import best_and_worst, error_curves, squared_error
-from airq.operators.scale import lookup_join
+from airq.operators.scale import lookup_join, split_join
 from airq.operators.stations import (
     active_stations,
     capability_flags,
@@ -73,7 +73,7 @@ def _(spark, folder):
     hot = F.when(F.col("event_id") % 3 == 0, F.lit(4).cast("long")).when(F.col("event_id") % 3 == 1, F.col("sensor_id"))
     dim = rows.where(F.col("sensor_id") % 2 == 0).select("sensor_id", (F.col("sensor_id") * 2).alias("twice")).distinct()
     fact = rows.select("event_id", hot.alias("sensor_id"))
-    return lookup_join(fact, dim, ["sensor_id"], broadcast_bytes=0, heavy_rows=200).select("event_id", "twice")
+    return split_join(fact, dim, ["sensor_id"], heavy_rows=200).select("event_id", "twice")
 
 
 _FLAG_SQL = ", ".join(

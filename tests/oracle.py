@@ -68,7 +68,7 @@ if __name__ == "__main__":
     from airq.session import local_session
 
     folder, only = sys.argv[1], sys.argv[2:]
-    spark = local_session()
+    spark = local_session(spark__ui__showConsoleProgress="false")
     con = connect(folder)
     bad = 0
     for name, run in QUERIES.items():
