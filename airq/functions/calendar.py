@@ -82,7 +82,10 @@ def is_holiday(ts: str | Column) -> Column:
 
 
 def calendar_struct(ts: str | Column, bins_per_day: int = BINS_PER_DAY) -> Column:
-    """The 18 calendar attributes of a timestamp; null for a null timestamp."""
+    """The 18 calendar attributes of a timestamp; all of them null for a null timestamp.
+
+    Shared terms are computed once per row only as long as no conditional encloses the struct.
+    """
     c = _col(ts)
     width = _bin_minutes(bins_per_day)
     bin_index = time_bin(c, bins_per_day)
@@ -91,7 +94,7 @@ def calendar_struct(ts: str | Column, bins_per_day: int = BINS_PER_DAY) -> Colum
     weekday = F.weekday(c).cast("int")
     week_fraction = (weekday + fraction) / F.lit(7.0)
     turn = F.lit(2.0 * math.pi)
-    fields = F.struct(
+    return F.struct(
         F.year(c).alias("year"),
         F.month(c).alias("month"),
         F.dayofmonth(c).alias("day"),
@@ -111,7 +114,6 @@ def calendar_struct(ts: str | Column, bins_per_day: int = BINS_PER_DAY) -> Colum
         F.cos(fraction * turn).alias("time_cos"),
         F.sin(fraction * turn).alias("time_sin"),
     )
-    return F.when(c.isNotNull(), fields)
 
 
 def add_calendar(df: DataFrame, ts: str = "timestamp", out: str = "datedim", bins_per_day: int = BINS_PER_DAY) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 TILE = 48
 ARCH_LAGS = 24
 GRID_POINTS = 100
+BLOCK = 500
 
 
 def longest_stretch(x: np.ndarray) -> np.ndarray:
@@ -70,7 +71,7 @@ def kl_shift(x: np.ndarray, width: int = TILE) -> tuple[float, float]:
     """Largest increase of the divergence between neighbouring windows, and its 1-based position.
 
     The window ending at row t is compared with the one ending ``width - 1`` rows later; the position is
-    the t of the later of the two compared divergences. Running sums keep memory at one window.
+    the t of the later of the two compared divergences. Rows are taken in blocks, so memory stays flat.
     """
     known = x[~np.isnan(x)]
     if len(x) <= 2 * width or len(known) < 2 or np.ptp(known) == 0:
@@ -83,22 +84,21 @@ def kl_shift(x: np.ndarray, width: int = TILE) -> tuple[float, float]:
     floor = np.exp(-0.5 * 38.0**2) / np.sqrt(2 * np.pi)
 
     divergences = np.full(len(x), np.nan)
-    densities = np.full((width, GRID_POINTS), np.nan)
-    held = np.full((width, GRID_POINTS), np.nan)
-    for t, value in enumerate(x):
-        density = np.exp(-0.5 * ((grid - value) / bandwidth) ** 2) / (bandwidth * np.sqrt(2 * np.pi))
-        densities[t % width] = np.maximum(density, floor) if not np.isnan(value) else np.nan
-        if t < width - 1 or np.isnan(densities).all():
-            held[t % width] = np.nan
-            continue
-        current = np.nanmean(densities, axis=0)
-        held[t % width] = current
-        start = t - (width - 1)
-        earlier = held[start % width]
-        if start >= width - 1 and not np.isnan(earlier).any():
-            divergences[start] = float((earlier * (np.log(earlier) - np.log(current))).sum() * (grid[1] - grid[0]))
+    last = len(x) - 2 * (width - 1)
+    for begin in range(0, last, BLOCK):
+        rows = x[begin : begin + BLOCK + 2 * (width - 1)]
+        density = np.exp(-0.5 * ((grid - rows[:, None]) / bandwidth) ** 2) / (bandwidth * np.sqrt(2 * np.pi))
+        known_rows = ~np.isnan(rows)
+        density = np.where(known_rows[:, None], np.maximum(density, floor), 0.0)
+        sums = np.lib.stride_tricks.sliding_window_view(density, width, axis=0).sum(axis=-1)
+        counts = np.lib.stride_tricks.sliding_window_view(known_rows, width).sum(axis=-1)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            means = sums / counts[:, None]
+            earlier, later = means[: 1 - width], means[width - 1 :]
+            spread = (earlier * (np.log(earlier) - np.log(later))).sum(axis=1) * (grid[1] - grid[0])
+        divergences[begin + width - 1 : begin + width - 1 + len(spread)] = spread
     steps = np.diff(divergences)
-    if np.isnan(steps).all():
+    if not len(steps) or np.isnan(steps).all():
         return float("nan"), float("nan")
     at = int(np.nanargmax(steps))
     return float(steps[at]), float(at + 2)
@@ -155,7 +155,9 @@ def fitted_kpis(
 ) -> DataFrame:
     """Entropy, divergence shift, ARCH statistic and smoothing parameters, one row per regular series."""
     figures = ["entropy", "max_kl_shift", "max_kl_index", "arch_stat", "holt_alpha", "holt_beta"]
-    narrow = df.select(*keys, ts, df[value].cast("double").alias(value))
+    # A given number of partitions is kept as it is: the work is in the fits, not in the few bytes.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    narrow = df.select(*keys, ts, df[value].cast("double").alias(value)).repartition(partitions, *keys)
     types = dict(narrow.dtypes)
     schema = ", ".join([*(f"{k} {types[k]}" for k in keys), *(f"{f} double" for f in figures)])
 

@@ -8,16 +8,15 @@ from pyspark.sql import functions as F
 from airq.functions.geo import haversine_km, unit_vector
 from airq.operators.scale import lookup_join
 
-# The unit cube around the earth is split 8 x 8 x 8 per level; the last level's cells are about 50 m wide.
-LEVELS = 6
-FANOUT_BITS = 3
+# The unit cube around the earth is split into 2**bits cells per axis; the last cells are about 50 m wide.
+LEVEL_BITS = (3, 8, 13, 18)
 # Slack for rounding and for distances that count as equal (a few millimetres, on a unit sphere).
 SLACK = 1e-9
 _AXES = ("x", "y", "z")
 
 
 def _finest_cell(v: Column) -> Column:
-    cells = 1 << (FANOUT_BITS * LEVELS)
+    cells = 1 << LEVEL_BITS[-1]
     index = F.floor((v + F.lit(1.0)) / F.lit(2.0) * F.lit(float(cells)))
     return F.greatest(F.lit(0), F.least(F.lit(cells - 1), index)).cast("int")
 
@@ -38,14 +37,6 @@ def _squared_difference(axis: str, other: Column) -> Column:
     return d * d
 
 
-def _keep_possible(candidates: DataFrame, point: list[str]) -> DataFrame:
-    """Drop cells that lie farther away than the best known site of their point."""
-    bound = F.min("_far").over(Window.partitionBy(*point))
-    return candidates.withColumn("_bound", bound).where(F.col("_near") <= F.col("_bound") + F.lit(SLACK)).drop(
-        "_near", "_far", "_bound"
-    )
-
-
 def nearest_site(
     points: DataFrame,
     sites: DataFrame,
@@ -77,34 +68,40 @@ def nearest_site(
 
     start = _with_vector(points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(lat, lon).distinct(), lat, lon)
     point = [lat, lon, *by]
-    candidates = None
-    for level in range(1, LEVELS + 1):
-        shift = FANOUT_BITS * (LEVELS - level)
+    candidates, above = None, 0
+    for bits in LEVEL_BITS:
+        shift = LEVEL_BITS[-1] - bits
         cell = [F.shiftright(f"f{a}", shift).alias(f"c{a}") for a in _AXES]
-        known = [F.struct("sx", "sy", "sz")]
-        sample = [F.min(known[0]).alias("_one"), F.max(known[0]).alias("_two")]
-        cells = place.groupBy(*by, *cell).agg(*sample)
+        known = F.struct("sx", "sy", "sz")
+        cells = place.groupBy(*by, *cell).agg(F.min(known).alias("_one"), F.max(known).alias("_two"))
         if candidates is None:
             # At most 512 cells per group: one short list, held as a scalar, opens the search.
             roots = cells.agg(F.collect_list(F.struct(*by, "cx", "cy", "cz", "_one", "_two"))).scalar()
-            opened = start.withColumn("_roots", roots).select(*start.columns, F.inline("_roots"))
+            opened = start.withColumns({"_roots": roots, "_bound": F.lit(float("inf"))}).select(
+                *start.columns, "_bound", F.inline("_roots")
+            )
         else:
-            parents = cells.withColumns({f"p{a}": F.shiftright(f"c{a}", FANOUT_BITS) for a in _AXES})
-            keys = [*by, "px", "py", "pz"]
-            candidates = candidates.withColumnsRenamed({f"c{a}": f"p{a}" for a in _AXES})
-            opened = lookup_join(candidates, parents, keys, "inner").drop("px", "py", "pz")
-        width = 2.0 / (1 << (FANOUT_BITS * level))
+            parents = cells.withColumns({f"p{a}": F.shiftright(f"c{a}", bits - above) for a in _AXES})
+            opened = lookup_join(candidates, parents, [*by, "px", "py", "pz"], "inner")
+        width = 2.0 / (1 << bits)
         near = F.sqrt(sum((_squared_gap(a, width) for a in _AXES), F.lit(0.0)))
         reach = [
             F.sqrt(sum((_squared_difference(a, F.col(f"{s}.s{a}")) for a in _AXES), F.lit(0.0))) for s in ("_one", "_two")
         ]
         if exclude_same_place:
             reach = [F.when(r > F.lit(SLACK), r) for r in reach]
-        opened = opened.withColumns({"_near": near, "_far": F.coalesce(F.least(*reach), F.lit(float("inf")))})
-        candidates = _keep_possible(opened.drop("_one", "_two"), point)
-
-    final = place.select(*by, *[F.col(f"f{a}").alias(f"c{a}") for a in _AXES], "_lat", "_lon", site_id)
-    measured = lookup_join(candidates, final, [*by, "cx", "cy", "cz"], "inner").withColumn(
+        # The bound of the level above drops most cells before the rows of a point are brought together.
+        possible = opened.withColumns({"_near": near, "_far": F.least(F.coalesce(F.least(*reach), "_bound"), "_bound")}).where(
+            F.col("_near") <= F.col("_bound") + F.lit(SLACK)
+        )
+        candidates = possible.select(
+            lat, lon, *by, *_AXES, "_near", *[F.col(f"c{a}").alias(f"p{a}") for a in _AXES],
+            F.min("_far").over(Window.partitionBy(*point)).alias("_bound"),
+        ).where(F.col("_near") <= F.col("_bound") + F.lit(SLACK)).drop("_near")
+        above = bits
+
+    final = place.select(*by, *[F.col(f"f{a}").alias(f"p{a}") for a in _AXES], "_lat", "_lon", site_id)
+    measured = lookup_join(candidates, final, [*by, "px", "py", "pz"], "inner").withColumn(
         "km", F.round(haversine_km(lat, lon, "_lat", "_lon"), 6)
     )
     if exclude_same_place:

@@ -48,16 +48,15 @@ def nearest_by_capability(
     with_km: bool = False,
 ) -> DataFrame:
     """Sensors with the nearest station of each capability; null where no station has it."""
-    flagged = stations.select(
-        F.col(site_lat).alias("lat"),
-        F.col(site_lon).alias("lon"),
-        F.col(station).alias("_station"),
-        F.explode(
-            F.array(*[F.when(F.col(flag) == 1, F.lit(closest)) for flag, closest in schemas.CAPABILITIES.values()])
-        ).alias("_closest"),
-    ).where(F.col("_closest").isNotNull())
-    found = nearest_site(sensors, flagged, "_station", group="_closest")
     names = [closest for _, closest in schemas.CAPABILITIES.values()]
+    flags = [F.col(flag).cast("int").alias(closest) for flag, closest in schemas.CAPABILITIES.values()]
+    flagged = (
+        stations.select(F.col(site_lat).alias("lat"), F.col(site_lon).alias("lon"), F.col(station).alias("_station"), *flags)
+        .unpivot(["lat", "lon", "_station"], names, "_closest", "_flag")
+        .where(F.col("_flag") == 1)
+        .drop("_flag")
+    )
+    found = nearest_site(sensors, flagged, "_station", group="_closest")
     pick = [F.max(F.when(F.col("_closest") == n, F.col("_station"))).alias(n) for n in names]
     if with_km:
         pick += [F.max(F.when(F.col("_closest") == n, F.col("km"))).alias(f"{n}_km") for n in names]

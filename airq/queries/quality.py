@@ -169,19 +169,19 @@ def _(spark, folder):
     return found.withColumns({"lumpiness": F.round("lumpiness", 4), "stability": F.round("stability", 6)})
 
 
-_SHIFT = f"""{_SERIES}, r AS (SELECT sensor_id, row_number() {_W} AS pos, timestamp, avg({_X}) OVER w AS m, var_samp({_X}) OVER w AS v,
+_SHIFT = f"""{_SERIES}, r AS (SELECT sensor_id, row_number() {_W} AS pos, timestamp, CAST(sum(value) OVER w AS DOUBLE) / nullif(count(value) OVER w, 0) AS m, var_samp({_X}) OVER w AS v,
 count(*) OVER w AS n FROM series WINDOW w AS (PARTITION BY sensor_id ORDER BY timestamp ROWS BETWEEN {WIDTH - 1} PRECEDING AND CURRENT ROW)),
 f AS (SELECT sensor_id, pos, CASE WHEN n = {WIDTH} THEN m END AS m, CASE WHEN n = {WIDTH} THEN v END AS v FROM r),
 d AS (SELECT sensor_id, pos - {WIDTH} AS i, abs(m - lag(m, {WIDTH}) OVER o) AS dm, abs(v - lag(v, {WIDTH}) OVER o) AS dv FROM f
 WINDOW o AS (PARTITION BY sensor_id ORDER BY pos))
-SELECT sensor_id, round(max(dm), 4) AS max_level_shift, arg_min(i, (-round(dm, 7), i)) FILTER (dm IS NOT NULL) AS max_level_index,
+SELECT sensor_id, max(dm) AS max_level_shift, arg_min(i, (-dm, i)) FILTER (dm IS NOT NULL) AS max_level_index,
 round(max(dv), 2) AS max_var_shift, arg_min(i, (-round(dv, 7), i)) FILTER (dv IS NOT NULL) AS max_var_index FROM d GROUP BY 1"""
 
 
 @query("kpi_level_var_shift", _SHIFT)
 def _(spark, folder):
     found = kpi.largest_shifts(half_day_series(spark, folder), KEY, width=WIDTH)
-    return found.withColumns({"max_level_shift": F.round("max_level_shift", 4), "max_var_shift": F.round("max_var_shift", 2)})
+    return _rounded(found, "max_var_shift", places=2)
 
 
 @query("kpi_native_all")
