@@ -19,6 +19,10 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _two_digits(c: Column) -> Column:
+    return F.lpad(c.cast("string"), 2, "0")
+
+
 def bin_start(ts: str | Column, step_seconds: int) -> Column:
     """Start of the regular bin (counted from the epoch) that holds ``ts``."""
     seconds = F.unix_seconds(_col(ts).cast("timestamp"))
@@ -106,7 +110,7 @@ def calendar_struct(ts: str | Column, bins_per_day: int = BINS_PER_DAY) -> Colum
         week_fraction.alias("day_num"),
         F.cos(week_fraction * turn).alias("day_cos"),
         F.sin(week_fraction * turn).alias("day_sin"),
-        F.format_string("%02d:%02d", F.hour(c), minute_of_bin).alias("time_cat"),
+        F.concat(_two_digits(F.hour(c)), F.lit(":"), _two_digits(minute_of_bin)).alias("time_cat"),
         bin_index.alias("time_bin"),
         F.hour(c).alias("hour_bin"),
         minute_of_bin.alias("min_bin"),

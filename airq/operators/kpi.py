@@ -1,129 +1,138 @@
 """Quality figures of a series in native window and aggregate expressions.
 
 Input is a regular series: one row per key and bin (see ``resample.bin_means`` and ``gap_fill``), so the
-rows of a key are bounded by the bins of its time span, however many raw readings it sent.
+rows of a key are bounded by the bins of its time span, however many raw readings it sent. All windows
+share one partitioning and one order and the final aggregate groups by the same keys, so any set of
+figures costs one shuffle and one sort; the terms of figures not asked for are pruned.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airq.functions.stats import kurtosis_sample_sd, mean, mean_over, skewness_sample_sd
 
 TILE = 48
+VALUE_BINS = 10
+
+
+def series_terms(df: DataFrame, keys: list[str], value: str, ts: str, width: int = TILE, bins: int = VALUE_BINS) -> DataFrame:
+    """The terms all figures are sums, maxima or variances of, per row of a series."""
+    order = Window.partitionBy(*keys).orderBy(ts)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    running = order.rowsBetween(Window.unboundedPreceding, 0)
+    frame = order.rowsBetween(-(width - 1), 0)
+    x = F.col("_x")
+    rows = df.select(*keys, ts, F.col(value).alias("_x"))
+
+    first = rows.select(
+        "*",
+        F.row_number().over(order).alias("_at"),
+        (x <= F.percentile("_x", F.lit(0.5)).over(whole)).alias("_below"),
+        F.min("_x").over(whole).alias("_low"),
+        F.max("_x").over(whole).alias("_high"),
+        (x - mean_over("_x", whole)).alias("_centred"),
+        mean_over("_x", frame).alias("_mean"),
+        F.var_samp("_x").over(frame).alias("_var"),
+    )
+    level = F.ceil(F.try_divide(x - F.col("_low"), (F.col("_high") - F.col("_low")) / F.lit(bins)))
+    full = F.col("_at") >= width
+    second = first.withColumns(
+        {
+            "_level": F.when(x.isNotNull(), F.greatest(F.lit(1), level)),
+            "_mean": F.when(full, F.col("_mean")),
+            "_var": F.when(full, F.col("_var")),
+        }
+    )
+    third = second.select(
+        "*",
+        (F.col("_below") != F.lag("_below").over(order)).cast("long").alias("_flip"),
+        (F.col("_centred") * F.lag("_centred").over(order)).alias("_pair"),
+        F.coalesce(F.col("_level") == F.lag("_level").over(order), F.lit(False)).alias("_goes_on"),
+        F.abs(F.col("_mean") - F.lag("_mean", width).over(order)).alias("_mean_shift"),
+        F.abs(F.col("_var") - F.lag("_var", width).over(order)).alias("_var_shift"),
+    )
+    began = F.max(F.when(~F.col("_goes_on"), F.col("_at"))).over(running)
+    return third.withColumn("_run", F.when(F.col("_level").isNotNull(), F.col("_at") - began + 1))
+
+
+def moment_figures() -> list[Column]:
+    return [
+        mean("_x").alias("mw"),
+        F.stddev_samp("_x").alias("sd"),
+        skewness_sample_sd("_x").alias("skewness"),
+        kurtosis_sample_sd("_x").alias("kurtosis"),
+    ]
 
 
-def _whole(keys: list[str]):
-    return Window.partitionBy(*keys)
+def crossing_figure() -> Column:
+    return F.coalesce(F.sum("_flip"), F.lit(0)).alias("crossing_points")
 
 
-def _ordered(keys: list[str], ts: str):
-    return Window.partitionBy(*keys).orderBy(ts)
+def flat_figure() -> Column:
+    return F.coalesce(F.max("_run"), F.lit(0)).cast("long").alias("flat_spots")
+
+
+def acf1_figure() -> Column:
+    lagged = F.try_divide(F.sum("_pair"), F.count("_pair") + F.lit(1.0))
+    spread = F.try_divide(F.sum(F.col("_centred") * F.col("_centred")), F.count("_centred"))
+    return F.try_divide(lagged, spread).alias("acf1")
+
+
+def tile_figures(width: int = TILE) -> list[Column]:
+    """The rolling figures at the end of a tile are the tile's own."""
+    ends = F.col("_at") % width == 0
+
+    def between(c: str) -> Column:
+        return F.when(F.count(F.lit(1)) >= 2 * width, F.var_samp(F.when(ends, F.col(c)))).otherwise(F.lit(0.0))
+
+    return [between("_var").alias("lumpiness"), between("_mean").alias("stability")]
+
+
+def shift_figures(width: int = TILE) -> list[Column]:
+    figures = []
+    for c, label in (("_mean_shift", "level"), ("_var_shift", "var")):
+        place = F.when(F.col(c).isNotNull(), F.struct(-F.col(c), F.col("_at")))
+        first = F.min_by(F.col("_at") - width, place).cast("long")
+        figures += [F.max(c).alias(f"max_{label}_shift"), first.alias(f"max_{label}_index")]
+    return figures
 
 
 def moments(df: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
-    return df.groupBy(*keys).agg(
-        mean(value).alias("mw"),
-        F.stddev_samp(value).alias("sd"),
-        skewness_sample_sd(value).alias("skewness"),
-        kurtosis_sample_sd(value).alias("kurtosis"),
-    )
+    """Mean, sample deviation, skewness and kurtosis; needs no order."""
+    return df.select(*keys, F.col(value).alias("_x")).groupBy(*keys).agg(*moment_figures())
 
 
 def crossing_points(df: DataFrame, keys: list[str], value: str = "value", ts: str = "timestamp") -> DataFrame:
     """How often neighbours lie on different sides of the median; pairs with a null do not count."""
-    median = F.percentile(value, F.lit(0.5)).over(_whole(keys))
-    below = df.select(*keys, ts, (F.col(value) <= median).alias("_below"))
-    flipped = below.withColumn("_flip", F.col("_below") != F.lag("_below").over(_ordered(keys, ts)))
-    return flipped.groupBy(*keys).agg(F.coalesce(F.sum(F.col("_flip").cast("long")), F.lit(0)).alias("crossing_points"))
+    return series_terms(df, keys, value, ts).groupBy(*keys).agg(crossing_figure())
 
 
-def flat_spots(df: DataFrame, keys: list[str], value: str = "value", ts: str = "timestamp", bins: int = 10) -> DataFrame:
+def flat_spots(df: DataFrame, keys: list[str], value: str = "value", ts: str = "timestamp", bins: int = VALUE_BINS) -> DataFrame:
     """Longest run inside one of ``bins`` equal-width value bins; a null ends a run."""
-    w, o = _whole(keys), _ordered(keys, ts)
-    low, high = F.min(value).over(w), F.max(value).over(w)
-    level = F.ceil(F.try_divide(F.col(value) - low, (high - low) / F.lit(bins)))
-    binned = df.select(*keys, ts, F.when(F.col(value).isNotNull(), F.greatest(F.lit(1), level)).alias("_bin"))
-    same = F.coalesce(F.col("_bin") == F.lag("_bin").over(o), F.lit(False))
-    starts = binned.withColumn("_start", (~same).cast("int"))
-    runs = starts.withColumn("_run", F.sum("_start").over(o.rowsBetween(Window.unboundedPreceding, 0)))
-    return runs.groupBy(*keys, "_run").agg(F.count("_bin").alias("_n")).groupBy(*keys).agg(F.max("_n").alias("flat_spots"))
+    return series_terms(df, keys, value, ts, bins=bins).groupBy(*keys).agg(flat_figure())
 
 
 def acf1(df: DataFrame, keys: list[str], value: str = "value", ts: str = "timestamp") -> DataFrame:
     """Autocorrelation at lag 1 over the complete pairs."""
-    centred = df.select(*keys, ts, (F.col(value) - mean_over(value, _whole(keys))).alias("_d"))
-    pairs = centred.withColumn("_p", F.col("_d") * F.lag("_d").over(_ordered(keys, ts)))
-    lagged = F.try_divide(F.sum("_p"), F.count("_p") + F.lit(1.0))
-    spread = F.try_divide(F.sum(F.col("_d") * F.col("_d")), F.count("_d"))
-    return pairs.groupBy(*keys).agg(F.try_divide(lagged, spread).alias("acf1"))
+    return series_terms(df, keys, value, ts).groupBy(*keys).agg(acf1_figure())
 
 
-def tile_variation(
-    df: DataFrame, keys: list[str], value: str = "value", ts: str = "timestamp", width: int = TILE
-) -> DataFrame:
+def tile_variation(df: DataFrame, keys: list[str], value: str = "value", ts: str = "timestamp", width: int = TILE) -> DataFrame:
     """Lumpiness and stability: variance of the tiles' variances and of their means, over full tiles."""
-    position = F.row_number().over(_ordered(keys, ts)) - 1
-    tiled = df.select(*keys, value, F.floor(position / F.lit(width)).alias("_tile"))
-    tiles = tiled.groupBy(*keys, "_tile").agg(
-        F.count(F.lit(1)).alias("_n"), F.var_samp(value).alias("_var"), mean(value).alias("_mean")
-    )
-    full = F.col("_n") == width
-    enough = F.sum("_n") >= 2 * width
-
-    def between(c: str) -> Column:
-        return F.when(enough, F.var_samp(F.when(full, F.col(c)))).otherwise(F.lit(0.0))
-
-    return tiles.groupBy(*keys).agg(between("_var").alias("lumpiness"), between("_mean").alias("stability"))
+    return series_terms(df, keys, value, ts, width).groupBy(*keys).agg(*tile_figures(width))
 
 
-def largest_shifts(
-    df: DataFrame, keys: list[str], value: str = "value", ts: str = "timestamp", width: int = TILE
-) -> DataFrame:
+def largest_shifts(df: DataFrame, keys: list[str], value: str = "value", ts: str = "timestamp", width: int = TILE) -> DataFrame:
     """Largest change of the rolling mean and of the rolling variance between neighbouring windows.
 
     The index is the 1-based position of the last row of the earlier window; ties take the first.
     """
-    o = _ordered(keys, ts)
-    frame = o.rowsBetween(-(width - 1), 0)
-    rolled = df.select(
-        *keys,
-        ts,
-        F.row_number().over(o).alias("_at"),
-        F.count(F.lit(1)).over(frame).alias("_rows"),
-        mean_over(value, frame).alias("_mean"),
-        F.var_samp(value).over(frame).alias("_var"),
-    )
-    rolled = rolled.select(
-        *keys,
-        ts,
-        "_at",
-        *[F.when(F.col("_rows") == width, F.col(c)).alias(c) for c in ("_mean", "_var")],
-    )
-    changes = rolled.select(
-        *keys,
-        (F.col("_at") - width).alias("_index"),
-        *[F.abs(F.col(c) - F.lag(c, width).over(o)).alias(c) for c in ("_mean", "_var")],
-    )
-    picks = []
-    for c, label in (("_mean", "level"), ("_var", "var")):
-        first = F.min_by("_index", F.when(F.col(c).isNotNull(), F.struct(-F.col(c), F.col("_index"))))
-        picks += [F.max(c).alias(f"max_{label}_shift"), first.cast("long").alias(f"max_{label}_index")]
-    return changes.groupBy(*keys).agg(*picks)
+    return series_terms(df, keys, value, ts, width).groupBy(*keys).agg(*shift_figures(width))
 
 
 def native_kpis(df: DataFrame, keys: list[str], value: str = "value", ts: str = "timestamp", width: int = TILE) -> DataFrame:
-    """All figures of this module, one row per series. The series are shuffled by their keys once."""
-    regular = df.select(*keys, ts, value).repartition(*keys)
-    tables = [
-        moments(regular, keys, value),
-        crossing_points(regular, keys, value, ts),
-        flat_spots(regular, keys, value, ts),
-        acf1(regular, keys, value, ts),
-        tile_variation(regular, keys, value, ts, width),
-        largest_shifts(regular, keys, value, ts, width),
-    ]
-    return reduce(lambda a, b: a.join(b, keys), tables)
+    """All figures of this module, one row per series, in one pass."""
+    figures = [*moment_figures(), crossing_figure(), flat_figure(), acf1_figure(), *tile_figures(width), *shift_figures(width)]
+    return series_terms(df, keys, value, ts, width).groupBy(*keys).agg(*figures)

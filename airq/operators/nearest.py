@@ -130,6 +130,7 @@ def nearest_by_prefix(needles: DataFrame, sites: DataFrame, needle: str, site: s
         .select(needle)
         .distinct()
         .select(needle, F.explode(lengths).alias("_length"))
+        .where(F.length(needle) >= F.col("_length"))
         .select(needle, F.col(needle).substr(F.lit(1), F.col("_length")).alias("_prefix"), "_length")
     )
     answers = lookup_join(asked, known, ["_prefix"]).groupBy(needle).agg(

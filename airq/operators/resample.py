@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airq import schemas
 from airq.functions.calendar import bin_start
 from airq.functions.stats import mean
 from airq.operators.clean import without_type
-from airq.operators.scale import lookup_join
 
 HOUR = 3600
 # A grid is laid out in blocks of this many bins, so no array grows with the length of a series.
@@ -57,17 +56,31 @@ def time_grid(spans: DataFrame, step: int, first: str = "first", last: str = "la
 def gap_fill(df: DataFrame, keys: list[str], step: int = HOUR, ts: str = "timestamp") -> DataFrame:
     """Complete the regular grid of each key between its first and last time with null rows.
 
-    Rows off their key's grid are left out and duplicates stay, as in a right join from the grid. Present
-    rows never shuffle: only the distinct (key, bin) pairs are compared with the grid.
+    Rows off their key's grid are left out and duplicates stay, as in a right join from the grid. Each row
+    brings along the empty bins up to its successor, so one shuffle by key does it. Input is binned
+    (see ``bin_means``), which bounds a key's rows by its bins.
     """
-    spans = df.groupBy(*keys).agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
-    placed = lookup_join(df, spans.select(*keys, "first"), keys, "inner")
-    present = placed.where(
-        (F.unix_micros(ts) - F.unix_micros("first")) % (step * 1_000_000) == 0
-    ).select(*df.columns)
-    grid = time_grid(spans, step, name=ts)
-    missing = grid.join(present.select(*keys, ts).distinct(), [*keys, ts], "left_anti")
-    return present.unionByName(missing, allowMissingColumns=True)
+    tick = step * 1_000_000
+    order = Window.partitionBy(*keys).orderBy("_at")
+    first = F.min("_at").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    rest = [c for c in df.columns if c not in (*keys, ts)]
+    placed = (
+        df.where(F.col(ts).isNotNull())
+        .withColumn("_at", F.unix_micros(ts))
+        .withColumn("_off", (F.col("_at") - first) % tick)
+        .where(F.col("_off") == 0)
+        .withColumn("_next", F.lead("_at").over(order))
+    )
+    until = F.greatest(F.col("_at"), F.coalesce(F.col("_next"), F.col("_at")) - F.lit(tick))
+    bins = F.sequence(F.col("_at"), until, F.lit(tick).cast("long"))
+    filled = placed.select(*keys, *rest, "_at", F.explode(bins).alias("_bin"))
+    own = F.col("_bin") == F.col("_at")
+    return filled.select(
+        *[
+            F.timestamp_micros("_bin").alias(c) if c == ts else F.col(c) if c in keys else F.when(own, F.col(c)).alias(c)
+            for c in df.columns
+        ]
+    )
 
 
 def unpivot_measures(df: DataFrame, ids: list[str], measures: list[str]) -> DataFrame:

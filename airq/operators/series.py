@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airq import schemas
@@ -19,10 +19,11 @@ def build_series(
 
     Input is regular (one row per key and bin of ``step`` seconds), so a part of ``max_points`` bins
     bounds every array whatever the length of a series. Nulls keep their place in every array.
+    One shuffle by key serves both the start of a series and its arrays.
     """
-    starts = df.groupBy(*keys).agg(F.min(ts).alias("_start"))
-    offset = F.unix_seconds(ts) - F.unix_seconds("_start")
-    placed = lookup_join(df, starts, keys).withColumn("part", F.floor(offset / F.lit(step * max_points)).cast("int"))
+    start = F.min(ts).over(Window.partitionBy(*keys))
+    offset = F.unix_seconds(ts) - F.unix_seconds(start)
+    placed = df.withColumn("part", F.floor(offset / F.lit(step * max_points)).cast("int"))
     points = F.array_sort(F.collect_list(F.struct(F.col(ts).alias("_t"), *measures)))
     rows = placed.groupBy(*keys, "part").agg(
         points.alias("_points"), F.count(F.lit(1)).alias("n"), F.min(ts).alias("first"), F.max(ts).alias("last")
@@ -94,10 +95,11 @@ def coordinate_history(df: DataFrame, key: str = "sensor_id", ts: str = "timesta
 def sensor_dimension(df: DataFrame, key: str = "sensor_id", ts: str = "timestamp") -> DataFrame:
     """One row per sensor: location, type and position at its latest time, and the number of positions."""
     attributes = ["location", "sensor_type", "lon", "lat"]
-    latest = df.groupBy(key).agg(F.max(F.struct(F.col(ts), *attributes)).alias("_latest"))
-    positions = coordinate_history(df, key, ts).groupBy(key).agg(F.count(F.lit(1)).alias("positions"))
-    return lookup_join(latest, positions, [key]).select(
-        key, *[F.col(f"_latest.{c}").alias(c) for c in attributes], "positions"
+    per_position = df.groupBy(key, "lon", "lat").agg(F.max(F.struct(F.col(ts), *attributes)).alias("_latest"))
+    return (
+        per_position.groupBy(key)
+        .agg(F.max("_latest").alias("_latest"), F.count(F.lit(1)).alias("positions"))
+        .select(key, *[F.col(f"_latest.{c}").alias(c) for c in attributes], "positions")
     )
 
 

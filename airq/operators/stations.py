@@ -99,14 +99,22 @@ def join_weather(
     return lookup_join(left, right, [closest, "_hour"]).drop("_hour").select(*df.columns, *columns)
 
 
-def join_all_weather(df: DataFrame, products: dict[str, DataFrame], out: str = "dwddim") -> DataFrame:
-    """Each product from the nearest station that offers it, packed into one struct."""
-    joined = df
+def join_all_weather(df: DataFrame, products: dict[str, DataFrame], out: str = "dwddim", ts: str = "timestamp") -> DataFrame:
+    """Each product from the nearest station that offers it, packed into one struct.
+
+    Many rows share their stations and hour. The products are joined to these distinct combinations,
+    and the rows meet the packed result once, whatever the number of products.
+    """
+    closest = [schemas.CAPABILITIES[p][1] for p in products]
+    link = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in closest])
+    keyed = df.withColumns({"_link": link, "_hour": F.date_trunc("hour", F.col(ts))})
+    combined = keyed.select("_link", "_hour", *closest).where(F.col("_hour").isNotNull()).distinct()
+    combined = combined.withColumnRenamed("_hour", "timestamp")
     for product, weather in products.items():
-        closest = schemas.CAPABILITIES[product][1]
-        joined = join_weather(joined, weather, closest, schemas.WEATHER_COLUMNS[product])
+        combined = join_weather(combined, weather, schemas.CAPABILITIES[product][1], schemas.WEATHER_COLUMNS[product])
     fields = [c for p in products for c in schemas.WEATHER_COLUMNS[p]]
-    return joined.withColumn(out, F.struct(*fields)).drop(*fields)
+    packed = combined.select("_link", F.col("timestamp").alias("_hour"), F.struct(*fields).alias(out))
+    return lookup_join(keyed, packed, ["_link", "_hour"]).select(*df.columns, out)
 
 
 def weather_long(products: dict[str, DataFrame], station: str = "STATIONS_ID", ts: str = "timestamp") -> DataFrame:

@@ -9,7 +9,7 @@ from airq.operators.clean import keep_usable, scale_by_maximum, usable_sensors
 from airq.operators.kpi_fit import fitted_kpis
 from airq.operators.quality import describe, first_ranked, first_seen_order, null_report, rmse
 from airq.operators.scale import exact_quantiles
-from airq.queries.base import HALF_DAYS, OBS, half_day_series, observations, query, sql_stamp, stamp, table
+from airq.queries.base import HALF_DAYS, OBS, ORACLES, half_day_series, observations, query, sql_stamp, stamp, table
 
 WIDTH = 10
 KEY = ["sensor_id"]
@@ -114,13 +114,15 @@ def _rounded(df, *columns, places=6):
 
 _MOMENTS = f"""{_SERIES}, s AS (SELECT sensor_id, {_X} AS x FROM series WHERE value IS NOT NULL),
 c AS (SELECT sensor_id, x, x - avg(x) OVER (PARTITION BY sensor_id) AS d FROM s),
-m AS (SELECT sensor_id, avg(x) AS mw, stddev_samp(x) AS sd, avg(d*d*d) AS m3, avg(d*d*d*d) AS m4 FROM c GROUP BY 1)
-SELECT sensor_id, round(mw, 6) AS mw, round(sd, 6) AS sd, round(m3 / (sd*sd*sd), 6) AS skewness, round(m4 / (sd*sd*sd*sd) - 3, 6) AS kurtosis FROM m"""
+e AS (SELECT sensor_id, CAST(sum(value) AS DOUBLE) / count(value) AS mw FROM series GROUP BY 1),
+m AS (SELECT sensor_id, stddev_samp(x) AS sd, avg(d*d*d) AS m3, avg(d*d*d*d) AS m4 FROM c GROUP BY 1)
+SELECT sensor_id, mw, round(sd, 6) AS sd, round(m3 / (sd*sd*sd), 6) AS skewness, round(m4 / (sd*sd*sd*sd) - 3, 6) AS kurtosis
+FROM m JOIN e USING (sensor_id)"""
 
 
 @query("kpi_moments", _MOMENTS)
 def _(spark, folder):
-    return _rounded(kpi.moments(half_day_series(spark, folder), KEY), "mw", "sd", "skewness", "kurtosis")
+    return _rounded(kpi.moments(half_day_series(spark, folder), KEY), "sd", "skewness", "kurtosis")
 
 
 @query(
@@ -184,9 +186,17 @@ def _(spark, folder):
     return _rounded(found, "max_var_shift", places=2)
 
 
-@query("kpi_native_all")
+_FIGURES = ["kpi_moments", "kpi_crossing_points", "kpi_flat_spots", "kpi_acf1", "kpi_lumpiness_stability", "kpi_level_var_shift"]
+
+
+@query(
+    "kpi_native_all",
+    "SELECT * FROM " + " JOIN ".join(f"({ORACLES[n]}) AS {n}" + (" USING (sensor_id)" if i else "") for i, n in enumerate(_FIGURES)),
+)
 def _(spark, folder):
-    return kpi.native_kpis(half_day_series(spark, folder), KEY, width=WIDTH)
+    found = kpi.native_kpis(half_day_series(spark, folder), KEY, width=WIDTH)
+    found = _rounded(found, "sd", "skewness", "kurtosis", "stability")
+    return _rounded(_rounded(_rounded(found, "acf1", places=8), "lumpiness", places=4), "max_var_shift", places=2)
 
 
 @query("kpi_fitted_all")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from airq.functions.geo import geohash
 from airq.operators.series import build_series, geo_series, long_series, position_lists, sensor_dimension, series_to_rows, tile_series
 from airq.operators.resample import geo_time_aggregate
-from airq.queries.base import HALF_DAY, HALF_DAYS, OBS, half_day_series, observations, query, sensors, sql_lat, sql_lon, sql_stamp, stamp
+from airq.queries.base import HALF_DAY, HALF_DAYS, OBS, ORACLES, half_day_series, observations, query, sensors, sql_lat, sql_lon, sql_stamp, stamp
 from airq.queries.resampling import augmented
 from airq.queries.values import _GEOHASH
 
@@ -94,10 +94,16 @@ def _(spark, folder):
     )
 
 
-@query("geo_series")
+@query(
+    "geo_series",
+    f"""SELECT hash, min(year) AS start_year, count(*) AS n,
+string_agg(coalesce(CAST(CAST(P1 AS DECIMAL(18,4)) AS VARCHAR), '-'), ',' ORDER BY year, month, day, time_bin) AS P1
+FROM ({ORACLES['geo_time_aggregate']}) GROUP BY hash""",
+)
 def _(spark, folder):
     series = geo_series(geo_time_aggregate(augmented(spark, folder)))
-    return series.select("hash", "start_year", F.size("P1").alias("n"), F.array_join(F.transform("P1", lambda v: v.cast("string")), ",", "-").alias("P1"))
+    texts = F.transform("P1", lambda v: v.cast("decimal(18,4)").cast("string"))
+    return series.select("hash", "start_year", F.size("P1").cast("long").alias("n"), F.array_join(texts, ",", "-").alias("P1"))
 
 
 _MOVES = (
