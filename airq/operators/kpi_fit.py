@@ -1,4 +1,4 @@
-"""Quality figures that need a model fit per series, by Arrow batches of one regular series each.
+"""Quality figures that need a model fit per series, by Arrow batches of sorted regular series.
 
 The estimators are declared substitutes for those of statistics packages: Burg's recursion with an
 AIC order for the spectrum, a Gaussian kernel with the usual rule-of-thumb width, least squares for the ARCH
@@ -7,6 +7,8 @@ regression, and a one-step squared-error search for the smoothing parameters.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -157,16 +159,34 @@ def fitted_kpis(
     figures = ["entropy", "max_kl_shift", "max_kl_index", "arch_stat", "holt_alpha", "holt_beta"]
     # A given number of partitions is kept as it is: the work is in the fits, not in the few bytes.
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    narrow = df.select(*keys, ts, df[value].cast("double").alias(value)).repartition(partitions, *keys)
+    narrow = (
+        df.select(*keys, ts, df[value].cast("double").alias(value))
+        .repartition(partitions, *keys)
+        .sortWithinPartitions(*keys, ts)
+        .drop(ts)
+    )
     types = dict(narrow.dtypes)
     schema = ", ".join([*(f"{k} {types[k]}" for k in keys), *(f"{f} double" for f in figures)])
 
-    def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        x = rows.sort_values(ts)[value].to_numpy(dtype=float, na_value=np.nan)
-        kl, at = kl_shift(x, width)
-        alpha, beta = holt_parameters(x)
-        found = [spectral_entropy(x), kl, at, arch_statistic(x, lags), alpha, beta]
-        return pd.DataFrame([[*key, *found]], columns=[*keys, *figures])
-
-    fitted = narrow.groupBy(*keys).applyInPandas(fit, schema)
+    def fit(key: tuple, x: np.ndarray) -> list:
+        return [*key, spectral_entropy(x), *kl_shift(x, width), arch_statistic(x, lags), *holt_parameters(x)]
+
+    def fit_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Batches hold many short series or a piece of a long one; a task keeps one series at a time."""
+        key, pieces = None, []
+        for batch in batches:
+            found = []
+            for next_key, rows in batch.groupby(keys, sort=False, dropna=False):
+                next_key = tuple(None if pd.isna(k) else k for k in next_key)
+                if next_key != key and pieces:
+                    found.append(fit(key, np.concatenate(pieces)))
+                    pieces = []
+                key = next_key
+                pieces.append(rows[value].to_numpy(dtype=float, na_value=np.nan))
+            if found:
+                yield pd.DataFrame(found, columns=[*keys, *figures])
+        if pieces:
+            yield pd.DataFrame([fit(key, np.concatenate(pieces))], columns=[*keys, *figures])
+
+    fitted = narrow.mapInPandas(fit_sorted, schema)
     return fitted.select(*keys, *[F.nanvl(f, F.lit(None).cast("double")).alias(f) for f in figures])

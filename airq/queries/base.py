@@ -97,10 +97,15 @@ def stations(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def family(spark: SparkSession, folder: str, sensor_type: str) -> DataFrame:
-    """The events that stand for one sensor type, in the columns of its archive files."""
+def families(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Per sensor type, the events that stand for it in the columns of its archive files."""
+    rows = placed(spark, folder)
+    return {sensor_type: _family(rows, sensor_type) for sensor_type in FAMILIES}
+
+
+def _family(rows: DataFrame, sensor_type: str) -> DataFrame:
     event, first, second = FAMILIES[sensor_type]
-    rows = placed(spark, folder).where(F.col("variable") == event)
+    rows = rows.where(F.col("variable") == event)
     filled = {first: F.col("value").cast("double"), second: F.get_json_object("props", "$.k").cast("double")}
     measures = [
         filled.get(c, F.lit(None).cast("double")).alias(c) for c in schemas.SENSOR_MEASURES[sensor_type]
@@ -118,9 +123,13 @@ def family(spark: SparkSession, folder: str, sensor_type: str) -> DataFrame:
 
 def weather(spark: SparkSession, folder: str, event: str = "view", column: str = "TT_TU", step: str = "hour") -> DataFrame:
     """Hourly means of one event type over 20 stations, standing for a weather product."""
-    rows = observations(spark, folder).where(F.col("variable") == event)
+    return weather_of(observations(spark, folder), event, column, step)
+
+
+def weather_of(rows: DataFrame, event: str, column: str, step: str = "hour") -> DataFrame:
     return (
-        rows.groupBy((F.col("sensor_id") % 20).alias("STATIONS_ID"), F.date_trunc(step, "timestamp").alias("timestamp"))
+        rows.where(F.col("variable") == event)
+        .groupBy((F.col("sensor_id") % 20).alias("STATIONS_ID"), F.date_trunc(step, "timestamp").alias("timestamp"))
         .agg(mean("value").alias(column))
     )
 

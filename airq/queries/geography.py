@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from airq import schemas
 from airq.functions.geo import geohash
 from airq.operators.nearest import nearest_site
@@ -45,15 +43,17 @@ def _(spark, folder):
     return nearest_site(places, places, "sensor_id", exclude_same_place=True)
 
 
-@query(
-    "nearest_by_geohash_prefix",
-    f"""WITH {PLACED}, {_GEOHASH}, sites AS (SELECT DISTINCT hash AS site FROM placed JOIN hashes USING (lat, lon) WHERE sensor_id % 3 = 0),
+_PREFIX = f"""WITH {PLACED}, {STATIONS}, places AS (SELECT lat, lon FROM placed UNION SELECT geoBreite, geoLaenge FROM stations),
+{_GEOHASH.replace("FROM placed", "FROM places")}, sites AS (SELECT DISTINCT hash AS site FROM stations JOIN hashes ON lat = geoBreite AND lon = geoLaenge),
+needles AS (SELECT DISTINCT hash FROM placed JOIN hashes USING (lat, lon)),
 shared AS (SELECT h.hash, s.site, (SELECT count(*) FROM (SELECT unnest(range(1, 13)) AS i)
-  WHERE substr(h.hash, 1, i) = substr(s.site, 1, i)) AS n FROM hashes h, sites s),
+  WHERE substr(h.hash, 1, i) = substr(s.site, 1, i)) AS n FROM needles h, sites s),
 best AS (SELECT hash, arg_min(site, (-n, site)) AS nearest FROM shared GROUP BY 1)
-SELECT event_id, hash, nearest FROM placed JOIN hashes USING (lat, lon) JOIN best USING (hash)""",
-)
+SELECT event_id, hash, nearest FROM placed JOIN hashes USING (lat, lon) JOIN best USING (hash)"""
+
+
+@query("nearest_by_geohash_prefix", _PREFIX)
 def _(spark, folder):
     rows = placed(spark, folder).withColumn("hash", geohash("lat", "lon"))
-    sites = rows.where(F.col("sensor_id") % 3 == 0).select(F.col("hash").alias("site")).distinct()
+    sites = stations(spark, folder).select(geohash("geoBreite", "geoLaenge").alias("site"))
     return nearest_station_hash(rows, sites, "hash", "site").select("event_id", "hash", "nearest")

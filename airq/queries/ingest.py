@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from airq.functions.text import sanitise_columns
-from airq.queries.base import FAMILIES, FAMILY_UNION, OBS, family, lat_of, lon_of, observations, query, sql_lat, sql_lon, sql_stamp, stamp, table
+from airq.queries.base import FAMILY_UNION, OBS, families, lat_of, lon_of, observations, query, sql_lat, sql_lon, sql_stamp, stamp, table
 from airq.session import scratch_path
 from airq.sources.sensors import explode_snapshot, flatten_structs, read_sensor_csv, read_sensor_metadata, read_snapshot, unify
 from airq.sources.tables import local_rows, write_csv_report, write_snapshot, write_table
@@ -29,16 +29,15 @@ _UNIFIED_SQL = f"WITH {FAMILY_UNION} SELECT * REPLACE ({sql_stamp('timestamp')}
 
 @query("schema_union", _UNIFIED_SQL)
 def _(spark, folder):
-    unified = unify([family(spark, folder, t) for t in FAMILIES])
+    unified = unify(list(families(spark, folder).values()))
     return unified.withColumn("timestamp", stamp("timestamp"))
 
 
 @query("csv_families", _UNIFIED_SQL)
 def _(spark, folder):
     frames = []
-    for sensor_type in FAMILIES:
+    for sensor_type, rows in families(spark, folder).items():
         path = scratch_path(spark, sensor_type.lower())
-        rows = family(spark, folder, sensor_type)
         rows.write.option("sep", ";").option("header", True).option(
             "timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
         ).csv(path)

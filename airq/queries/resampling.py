@@ -12,13 +12,12 @@ from airq.operators.resample import bin_means, gap_fill, geo_time_aggregate, hou
 from airq.operators.stations import join_weather
 from airq.plans.sensor_kpis import coverage
 from airq.queries.base import (
-    FAMILIES,
     FAMILY_UNION,
     HALF_DAY,
     OBS,
     PLACED,
     VARIABLES,
-    family,
+    families,
     observations,
     placed,
     query,
@@ -28,7 +27,7 @@ from airq.queries.base import (
     sql_weather,
     stamp,
     table,
-    weather,
+    weather_of,
 )
 from airq.queries.values import _EASTER_STEPS, _GEOHASH
 from airq.sources.sensors import unify
@@ -126,11 +125,12 @@ def _(spark, folder):
 
 def augmented(spark, folder):
     """Unified observations with calendar, geohash and the hourly weather of five products."""
-    rows = add_geohash(add_calendar(unify([family(spark, folder, t) for t in FAMILIES])))
+    rows = add_geohash(add_calendar(unify(list(families(spark, folder).values()))))
     rows = rows.withColumn("closest", (F.col("sensor_id") % 20).cast("long"))
     names = {"view": "TT_TU", "click": "F", "purchase": "D", "signup": "R1", "error": "SD_SO"}
+    events = observations(spark, folder)
     for event, column in names.items():
-        rows = join_weather(rows, weather(spark, folder, event, column), "closest", [column])
+        rows = join_weather(rows, weather_of(events, event, column), "closest", [column])
     dwd = [F.col(c) if c in rows.columns else F.lit(None).cast("double").alias(c) for c in schemas.WEATHER_FIELDS]
     return rows.withColumn("dwddim", F.struct(*dwd))
 

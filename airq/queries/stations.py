@@ -61,7 +61,7 @@ def _(spark, folder):
     return lookup_join(rows, right, ["dwd_id", "day"]).select("event_id", "F")
 
 
-_SKEWED = f"""WITH {OBS}, dim AS (SELECT DISTINCT sensor_id, sensor_id * 2 AS twice FROM obs WHERE sensor_id % 2 = 0)
+_SKEWED = f"""WITH {OBS}, dim AS (SELECT DISTINCT sensor_id, sensor_id * 2 AS twice FROM obs WHERE variable = 'view')
 SELECT event_id, twice FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 4 WHEN event_id % 3 = 1 THEN sensor_id END AS k FROM obs)
 LEFT JOIN dim ON k = sensor_id"""
 
@@ -71,7 +71,7 @@ def _(spark, folder):
     """A third of the rows on one key and a third without any: hot keys leave the shuffle."""
     rows = observations(spark, folder)
     hot = F.when(F.col("event_id") % 3 == 0, F.lit(4).cast("long")).when(F.col("event_id") % 3 == 1, F.col("sensor_id"))
-    dim = rows.where(F.col("sensor_id") % 2 == 0).select("sensor_id", (F.col("sensor_id") * 2).alias("twice")).distinct()
+    dim = rows.where(F.col("variable") == "view").select("sensor_id", (F.col("sensor_id") * 2).alias("twice")).distinct()
     fact = rows.select("event_id", hot.alias("sensor_id"))
     return split_join(fact, dim, ["sensor_id"], heavy_rows=200).select("event_id", "twice")
 
@@ -158,9 +158,10 @@ def _(spark, folder):
 
 _DEVIATION = (
     f"{OBS}, {sql_weather('weather', 'view', 'TT_TU', 'hour')}, readings AS (SELECT sensor_id, "
-    f"date_trunc('hour', timestamp) AS timestamp, {sql_mean('value')} AS value FROM obs WHERE variable = 'click' AND sensor_id % 7 <> 0 "
-    "GROUP BY 1, 2), deviations AS (SELECT r.sensor_id, r.timestamp, r.value, w.TT_TU, r.value - w.TT_TU AS diff FROM readings r "
-    "LEFT JOIN weather w ON w.STATIONS_ID = r.sensor_id % 20 AND w.timestamp = r.timestamp), "
+    f"date_trunc('hour', timestamp) AS timestamp, {sql_mean('value')} AS value FROM obs WHERE variable = 'click' "
+    "GROUP BY 1, 2), linked AS (SELECT *, nullif(sensor_id % 20, 7) AS station FROM readings), "
+    "deviations AS (SELECT r.sensor_id, r.timestamp, r.value, w.TT_TU, r.value - w.TT_TU AS diff FROM linked r "
+    "LEFT JOIN weather w ON w.STATIONS_ID = station AND w.timestamp = r.timestamp WHERE station IS NOT NULL), "
     "errors AS (SELECT sensor_id, avg(diff * diff) AS mse FROM deviations GROUP BY 1)"
 )
 
@@ -168,7 +169,7 @@ _DEVIATION = (
 def _deviations(spark, folder):
     rows = observations(spark, folder).where(F.col("variable") == "click")
     hourly = rows.groupBy("sensor_id", F.date_trunc("hour", "timestamp").alias("timestamp")).agg(mean("value").alias("value"))
-    linked = hourly.withColumn("closestTemp", F.when(F.col("sensor_id") % 7 != 0, F.col("sensor_id") % 20))
+    linked = hourly.withColumn("closestTemp", F.nullif(F.col("sensor_id") % 20, F.lit(7)))
     return deviation_from_station(linked, weather(spark, folder))
 
 
@@ -209,12 +210,12 @@ def _location_sql() -> str:
     columns = ", ".join(f"sensor_id % {k} AS {c}" for c, k in _CLOSEST.items())
     cells = ", ".join(f"round({sql_mean(f"CASE WHEN variable = '{v}' THEN value END")}, 8) AS {v}" for v in VARIABLES)
     outer = ", ".join(f"round({sql_mean(f"CASE WHEN variable = '{v}' THEN value END")}, 8) AS {v}DWD" for v in VARIABLES[:2])
-    return f"""WITH {OBS}, sensors AS (SELECT DISTINCT sensor_id, sensor_id % 12 AS location, {columns} FROM obs WHERE sensor_id % 5 < 3),
+    return f"""WITH {OBS}, sensors AS (SELECT DISTINCT sensor_id, sensor_id % 12 AS location, {columns} FROM obs),
 days AS (SELECT *, date_trunc('day', timestamp) AS t FROM obs),
 local AS (SELECT location, t, {cells} FROM days JOIN sensors USING (sensor_id) GROUP BY 1, 2),
 links AS (SELECT DISTINCT location, unnest([{', '.join(_CLOSEST)}]) AS station FROM sensors),
-weather AS (SELECT sensor_id % 6 AS station, t, variable, value FROM days WHERE variable IN ('click', 'error')
-  AND event_id > 900 * (sensor_id % 6)),
+weather AS (SELECT sensor_id % 6 AS station, t, variable, value FROM days WHERE variable = 'error'
+  OR (variable = 'click' AND timestamp >= TIMESTAMP '2024-01-05 00:00:00')),
 of_location AS (SELECT location, t, variable, value, min(t) OVER (PARTITION BY location, variable) AS a FROM weather JOIN links USING (station)),
 begun AS (SELECT location, max(a) AS start FROM of_location GROUP BY 1),
 dwd AS (SELECT location, t, {outer} FROM of_location JOIN begun USING (location) WHERE t >= start GROUP BY 1, 2)
@@ -225,12 +226,12 @@ SELECT location, {sql_stamp('t')} AS timestamp, {', '.join(VARIABLES)}, clickDWD
 def _(spark, folder):
     rows = observations(spark, folder).withColumn("timestamp", F.date_trunc("day", "timestamp"))
     dim = (
-        rows.where(F.col("sensor_id") % 5 < 3)
-        .select("sensor_id", (F.col("sensor_id") % 12).alias("location"), *[(F.col("sensor_id") % k).alias(c) for c, k in _CLOSEST.items()])
+        rows.select("sensor_id", (F.col("sensor_id") % 12).alias("location"), *[(F.col("sensor_id") % k).alias(c) for c, k in _CLOSEST.items()])
         .distinct()
     )
     station = F.col("sensor_id") % 6
-    readings = rows.where(F.col("variable").isin("click", "error") & (F.col("event_id") > station * 900))
+    late = (F.col("variable") == "click") & (F.col("timestamp") >= F.lit("2024-01-05 00:00:00").cast("timestamp"))
+    readings = rows.where((F.col("variable") == "error") | late)
     long = readings.select(station.alias("STATIONS_ID"), "timestamp", "variable", "value")
     wide = location_wide(rows, dim, long, VARIABLES, VARIABLES[:2])
     rounded = {c: F.round(c, 8) for c in [*VARIABLES, "clickDWD", "errorDWD"]}

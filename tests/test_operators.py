@@ -227,6 +227,24 @@ def test_fitted_figures():
     assert np.array_equal(kpi_fit.longest_stretch(np.array([1, np.nan, 2, 3, np.nan])), [2, 3])
 
 
+def test_fitted_kpis_over_batches(spark):
+    """Series cut by small batches give what the whole series give; null keys are a series too."""
+    rng = np.random.default_rng(9)
+    data = {k: rng.normal(size=60 + 10 * (k or 0)) for k in (1, 2, 3, None)}
+    rows = [(k, hours(i), float(v)) for k, x in data.items() for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "sensor_id int, timestamp timestamp, value double").repartition(5)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        found = {r.sensor_id: r for r in kpi_fit.fitted_kpis(df, ["sensor_id"], width=10, lags=4).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert set(found) == set(data)
+    for k, x in data.items():
+        assert math.isclose(found[k].entropy, kpi_fit.spectral_entropy(x)) and math.isclose(found[k].arch_stat, kpi_fit.arch_statistic(x, 4))
+        assert math.isclose(found[k].max_kl_shift, kpi_fit.kl_shift(x, 10)[0])
+
+
 def test_kl_shift_in_blocks_equals_rows(monkeypatch):
     rng = np.random.default_rng(6)
     x = np.concatenate((rng.normal(0, 1, 90), rng.normal(4, 2, 90)))
