@@ -157,11 +157,12 @@ def fitted_kpis(
 ) -> DataFrame:
     """Entropy, divergence shift, ARCH statistic and smoothing parameters, one row per regular series."""
     figures = ["entropy", "max_kl_shift", "max_kl_index", "arch_stat", "holt_alpha", "holt_beta"]
-    # A given number of partitions is kept as it is: the work is in the fits, not in the few bytes.
+    # Partitions are not merged by size here: the work is in the fits, not in the few bytes. A digest of the
+    # keys keeps this shuffle apart from one by the keys themselves, which would be merged.
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     narrow = (
         df.select(*keys, ts, df[value].cast("double").alias(value))
-        .repartition(partitions, *keys)
+        .repartition(partitions, F.xxhash64(*keys))
         .sortWithinPartitions(*keys, ts)
         .drop(ts)
     )
