@@ -59,6 +59,17 @@ def series_to_rows(series: DataFrame, keys: list[str], measures: list[str]) -> D
     )
 
 
+def _with_parts(df: DataFrame, sizes: DataFrame, key: str) -> DataFrame:
+    """Each row with the number of parts of its group.
+
+    Only groups of several parts are joined. There are at most as many of them as the points of the whole
+    table fill parts, so this side is broadcast and the rows of a large group are never brought together.
+    """
+    return df.join(F.broadcast(sizes.where(F.col("_parts") > 1)), key, "left").withColumn(
+        "_parts", F.coalesce(F.col("_parts"), F.lit(1))
+    )
+
+
 def tile_series(
     series: DataFrame, measures: list[str], prefix: int = 5, max_points: int = MAX_POINTS, key: str = "hash"
 ) -> DataFrame:
@@ -73,9 +84,7 @@ def tile_series(
     )
     sizes = tiled.groupBy("hash_bin").agg(F.ceil(F.sum(F.size(measures[0])) / F.lit(max_points)).alias("_parts"))
     digest = F.conv(F.substring(F.md5(F.concat_ws("/", key, "_piece")), 1, 12), 16, 10).cast("long")
-    spread = lookup_join(tiled, sizes, ["hash_bin"]).withColumn(
-        "part", (digest % F.greatest(F.col("_parts"), F.lit(1))).cast("int")
-    )
+    spread = _with_parts(tiled, sizes, "hash_bin").withColumn("part", (digest % F.col("_parts")).cast("int"))
     entries = F.array_sort(F.collect_list(F.struct(key, "_piece", *measures)))
     rows = spread.groupBy("hash_bin", "part").agg(F.max("start_year").alias("start_year"), entries.alias("_entries"))
     return rows.select(
@@ -107,9 +116,7 @@ def position_lists(df: DataFrame, key: str = "sensor_id", ts: str = "timestamp",
     """The positions of a sensor as arrays in order of appearance, in parts of bounded expected size."""
     history = coordinate_history(df, key, ts)
     sizes = history.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_points)).alias("_parts"))
-    spread = lookup_join(history, sizes, [key]).withColumn(
-        "part", F.pmod(F.xxhash64("lon", "lat"), F.col("_parts")).cast("int")
-    )
+    spread = _with_parts(history, sizes, key).withColumn("part", F.pmod(F.xxhash64("lon", "lat"), F.col("_parts")).cast("int"))
     points = F.array_sort(F.collect_list(F.struct("first_seen", "lon", "lat")))
     return (
         spread.groupBy(key, "part")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from airq.functions.geo import geohash
 from airq.operators.series import build_series, geo_series, long_series, position_lists, sensor_dimension, series_to_rows, tile_series
 from airq.operators.resample import geo_time_aggregate
+from airq.operators.scale import lookup_join
 from airq.queries.base import HALF_DAY, HALF_DAYS, OBS, ORACLES, half_day_series, observations, query, sensors, sql_lat, sql_lon, sql_stamp, stamp
 from airq.queries.resampling import augmented
 from airq.queries.values import _GEOHASH
@@ -83,7 +84,7 @@ def _(spark, folder):
     series = build_series(half_day_series(spark, folder), ["sensor_id"], ["value"], HALF_DAY)
     places = sensors(spark, folder).select("sensor_id", F.concat(geohash("lat", "lon"), F.lit("#"), F.col("sensor_id").cast("string")).alias("hash"))
     # Two sensors may share a place, so the hash carries the sensor's number.
-    tiles = tile_series(series.withColumn("start_year", F.year("first")).join(places, "sensor_id"), ["value"])
+    tiles = tile_series(lookup_join(series.withColumn("start_year", F.year("first")), places, ["sensor_id"], "inner"), ["value"])
     inner = F.transform("value", lambda a: F.array_join(F.transform(a, lambda v: v.cast("string")), ",", "-"))
     return tiles.select(
         "hash_bin",

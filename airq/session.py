@@ -17,6 +17,7 @@ def local_session(cpus: int = 8, memory: str = "16g", shuffle_partitions: int |
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -28,8 +29,8 @@ def local_session(cpus: int = 8, memory: str = "16g", shuffle_partitions: int |
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    A session without that setting is a single-machine one (tests); only then a temporary
-    folder of this machine is used, and remembered for the rest of the session.
+    Without that setting a local session (tests) gets a temporary folder of this machine, remembered for
+    the rest of the session; on a cluster such a folder would not be shared, so there it is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -37,6 +38,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="airq-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder

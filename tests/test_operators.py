@@ -273,6 +273,27 @@ def test_tiles_split_but_whole(spark):
     assert len(parts) > 2 and sorted(h for p in parts for h in p.hashes) == [r[0] for r in rows[:40]]
 
 
+def test_positions_split_but_whole(spark):
+    rows = [(1, float(i), 48.0, hours(i)) for i in range(30)] + [(2, 9.0, 48.0, T0)]
+    df = spark.createDataFrame(rows, "sensor_id int, lon double, lat double, timestamp timestamp")
+    whole = {r.sensor_id: r for r in series.position_lists(df).collect()}
+    assert whole[1].lon == [float(i) for i in range(30)] and whole[2].part == 0
+    parts = [r for r in series.position_lists(df, max_points=8).collect() if r.sensor_id == 1]
+    assert len(parts) > 1 and sorted(v for p in parts for v in p.lon) == whole[1].lon
+
+
+def test_hot_tile_is_not_brought_together(spark):
+    """The arrays are shuffled by tile and part, never by tile alone."""
+    df = spark.createDataFrame([("u0wt8aaaaaaa", 2018, [1.0])], "hash string, start_year int, P1 array<double>")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = series.tile_series(df, ["P1"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert any("hash_bin" in l and "part" in l for l in text.splitlines() if "Exchange hashpartitioning" in l)
+
+
 def test_lags_before_scaling(spark):
     df = series_df(spark, [1, 2, None, 4, 10])
     out = features.feature_table(df, ["sensor_id"], ["timestamp"], ["value"], "value", (1,)).orderBy("timestamp").collect()
