@@ -25,6 +25,8 @@ def plan_bytes(df: DataFrame) -> int | None:
     Filters, projections, unions and aggregates never raise the figure of their inputs and joins
     multiply it; only row-generating nodes can exceed it.
     """
+    if not hasattr(df, "_jdf"):
+        return None
     plan = df._jdf.queryExecution().optimizedPlan()
     text = plan.toString()
     if "Generate " in text or "InPandas" in text:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -81,6 +82,10 @@ def _archive_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     members = [n for n in archive.namelist() if "produkt_" in n]
                     if not members:
                         raise ValueError("no produkt_ member")
+                    with archive.open(members[0]) as member:
+                        while member.read(1 << 20):
+                            pass
+                    # Only an archive that is whole to its end gives lines.
                     with archive.open(members[0]) as member:
                         reader = io.TextIOWrapper(member, encoding="ISO-8859-1")
                         header = next(reader, "").rstrip("\r\n")
@@ -92,7 +97,7 @@ def _archive_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                 lines = []
                         if lines:
                             yield _line_frame(path, members[0], header, lines)
-            except (zipfile.BadZipFile, ValueError, OSError) as problem:
+            except (zipfile.BadZipFile, zlib.error, ValueError, OSError, EOFError, RuntimeError) as problem:
                 yield pd.DataFrame({"path": [path], "name": None, "header": None, "line": None, "error": [str(problem)]})
 
 

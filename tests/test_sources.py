@@ -91,6 +91,9 @@ def test_two_tiers(spark, tmp_path):
     archive(tmp_path / "r" / "stundenwerte_TU_00044_akt.zip", head + "  44;2017020101;3;   9.9;82;eor\n")
     archive(tmp_path / "r" / "stundenwerte_TU_04928_bad.zip", "x", member="other.txt")
     (tmp_path / "r" / "stundenwerte_TU_04928_torn.zip").write_bytes(b"no zip")
+    whole = (tmp_path / "h" / "stundenwerte_TU_04928_hist.zip").read_bytes()
+    at = whole.index(b"-999")
+    (tmp_path / "h" / "stundenwerte_TU_04928_flip.zip").write_bytes(whole[:at] + b"-998" + whole[at + 4 :])
     stations = spark.createDataFrame([(4928,)], "Stations_id int")
     df = weather.read_product(spark, str(tmp_path / "h"), str(tmp_path / "r"), "temperature", stations)
     rows = sorted((r.STATIONS_ID, r.timestamp, r.TT_TU, r.RF_TU) for r in df.collect())
