@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airq.llm import language, quality_model
+import public_tokenizers
+from airq.llm import byte_bpe, language, quality_model, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,3 +37,14 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return quality_model.score_quality(docs, quality_model.fit_quality(docs, table(spark, folder, "labels")))
+
+
+@query("op3_byte_bpe")
+def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.digest_documents(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query("op8_token_count")
+def op8_token_count(spark: SparkSession, folder: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
