@@ -166,7 +166,7 @@ def fit_quality(
 ) -> QualityModel:
     """Learn from labelled rows whose id is not held out (crc32 of the id as text, modulo 3, is 1).
 
-    Training uses at most about ``per_class`` rows of each label, whole texts; rows with a null label, id or
+    Training uses at most about ``per_class`` rows of each label (so their ids may be broadcast), whole texts; rows with a null label, id or
     text are left out, of repeated ids in ``labels`` one distinct label each counts.
     """
     marked = (
@@ -176,7 +176,7 @@ def fit_quality(
     )
     chosen = sample_by_class(marked, "_id", "_label", per_class)
     texts = docs.select(F.col(id_column).alias("_doc"), F.col(text_column).alias("_text")).where(F.col("_text").isNotNull())
-    rows = texts.join(chosen, F.col("_doc") == F.col("_id")).select("_id", "_text", "_label").toArrow()
+    rows = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("_id", "_text", "_label").toArrow()
     order = pc.sort_indices(rows, [("_id", "ascending"), ("_label", "ascending"), ("_text", "ascending")])
     rows = rows.take(order)
     return train(rows["_text"].to_pylist(), rows["_label"].to_numpy().astype(np.int64), settings)
