@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from airq.llm import byte_bpe, language, quality_model, token_count
+from airq.llm import byte_bpe, jaccard_join, language, quality_model, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +48,8 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_token_count")
 def op8_token_count(spark: SparkSession, folder: str) -> DataFrame:
     return token_count.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+@query("op5_jaccard_join")
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, folder, "documents"))
