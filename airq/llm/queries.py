@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from airq.llm import byte_bpe, jaccard_join, language, quality_model, token_count
+from airq.llm import byte_bpe, jaccard_join, language, quality_model, token_count, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +53,38 @@ def op8_token_count(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_jaccard_join")
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, folder, "documents"))
+
+
+URL_RULES = [
+    ("net", "/", url_filter.BLOCK),
+    ("example.net", "/en/", url_filter.ALLOW),
+    ("example.com", "/de/", url_filter.BLOCK),
+    ("org", "/fr/", url_filter.ALLOW),
+]
+
+URL_SQL = r"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages
+), parts AS (
+    SELECT page_id,
+        coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1, 's'),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1, 's'), '') AS path
+    FROM cut
+), ruled AS (
+    SELECT *, CASE
+        WHEN ('.' || host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+        WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+        WHEN ('.' || host) LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+        WHEN ('.' || host) LIKE '%.net' AND path LIKE '/%' THEN 'net/'
+    END AS rule FROM parts
+)
+SELECT page_id, host, path, rule,
+    CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+
+@query("op9_url_filter", URL_SQL)
+def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, folder, "pages"), URL_RULES)
