@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from airq.llm import byte_bpe, jaccard_join, language, quality_model, token_count, url_filter
+from airq.llm import byte_bpe, html_text, jaccard_join, language, quality_model, token_count, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +88,8 @@ FROM ruled
 @query("op9_url_filter", URL_SQL)
 def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, folder, "pages"), URL_RULES)
+
+
+@query("op4_html_text")
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract_text(table(spark, folder, "pages"))
