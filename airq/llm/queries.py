@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from airq.llm import byte_bpe, html_text, jaccard_join, language, quality_model, token_count, url_filter
+from airq.llm import byte_bpe, decision_list, html_text, jaccard_join, language, quality_model, token_count, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,3 +93,10 @@ def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_html_text")
 def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract_text(table(spark, folder, "pages"))
+
+
+@query("op7_quality_rules")
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    rules = decision_list.fit_rules(docs, table(spark, folder, "labels"))
+    return decision_list.apply_rules(decision_list.text_statistics(docs), rules)
