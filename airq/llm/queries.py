@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
-from airq.llm import byte_bpe, decision_list, html_text, jaccard_join, language, quality_model, token_count, url_filter
+from airq.llm import (
+    byte_bpe,
+    decision_list,
+    fingerprint,
+    html_text,
+    jaccard_join,
+    language,
+    quality_model,
+    token_count,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +110,8 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     rules = decision_list.fit_rules(docs, table(spark, folder, "labels"))
     return decision_list.apply_rules(decision_list.text_statistics(docs), rules)
+
+
+@query("op1_fingerprint")
+def op1_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.fingerprint_documents(table(spark, folder, "documents"))
