@@ -14,6 +14,7 @@ from airq.llm import (
     html_text,
     jaccard_join,
     language,
+    packing,
     quality_model,
     token_count,
     url_filter,
@@ -115,3 +116,9 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_fingerprint")
 def op1_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.fingerprint_documents(table(spark, folder, "documents"))
+
+
+@query("op6_packing")
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return packing.pack(docs, packing.word_count(docs["text"]))
