@@ -58,7 +58,7 @@ class QualityModel:
 
 def features(texts: list[str], bits: int) -> list[list[tuple[np.ndarray, np.ndarray]]]:
     """Per family, arrays of the bucket of every occurrence, text after text, and where each text starts."""
-    chars, starts = code_points([t + " " for t in texts])
+    chars, starts = code_points([f" {t} " for t in texts])
     space = (chars == 32) | ((chars >= 9) & (chars <= 13))
     shift = np.uint64(64 - bits)
     # words: runs of characters that are not white space
@@ -73,7 +73,7 @@ def features(texts: list[str], bits: int) -> list[list[tuple[np.ndarray, np.ndar
         same = (words[reach:] == words[:-reach]) & (owner[reach:] == owner[:-reach])
         back[reach:][same] = reach
     pattern = back * np.uint64(64)
-    pattern[1:] += back[:-1]
+    pattern[1:] += np.where(owner[1:] == owner[:-1], back[:-1], np.uint64(0))
     # character n-grams within a word and its edges
     plain = np.where(space, np.uint32(0), chars).astype(np.uint32)
     two = plain[:-1] * np.uint32(0x01000193) + plain[1:]
