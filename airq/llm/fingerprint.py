@@ -28,7 +28,8 @@ SMALLEST_BITS = 1
 # A signature character is one of this many, from this code point on (a run of assigned CJK characters).
 ALPHABET, FIRST = 4096, 0x4E00
 # Bytes that one step hashes together; a longer text is hashed in such pieces.
-PIECE = 1 << 20
+PIECE_BITS = 20
+PIECE = 1 << PIECE_BITS
 
 
 def fingerprint(text: bytes) -> str:
@@ -55,7 +56,7 @@ def fingerprint(text: bytes) -> str:
 
 def _down(at: np.ndarray) -> np.ndarray:
     """``BASE ** -at`` modulo 2**64, for any positions, from the table of one piece."""
-    low, high = at & (PIECE - 1), at >> 20
+    low, high = at & (PIECE - 1), at >> PIECE_BITS
     out = powers(PIECE)[1][low]
     if high.any():
         step = pow(BASE, -PIECE, 1 << 64)

@@ -82,6 +82,14 @@ class Page:
     elements: list[Element] = field(default_factory=lambda: [Element("", "", -1, False, False)])
     blocks: list[tuple[int, str, str, int]] = field(default_factory=list)
 
+    def lies_on(self, at: int, labels: list[str]) -> bool:
+        """Whether the path of an element has these labels, given from the element up to the root."""
+        for label in labels:
+            if at <= 0 or self.elements[at].label != label:
+                return False
+            at = self.elements[at].parent
+        return at == 0
+
     def path(self, at: int) -> str:
         labels = []
         while at > 0:
@@ -223,7 +231,8 @@ def main_text(page: Page, path: str | None) -> str:
     container, in one of the elements around it, belongs to the text.
     """
     elements = page.elements
-    chosen = {i for i in range(len(elements)) if path and not elements[i].aside and page.path(i) == path}
+    labels = path.split(">")[::-1] if path else []
+    chosen = {i for i in range(len(elements)) if labels and not elements[i].aside and page.lies_on(i, labels)}
     chosen = chosen or {best_container(page)}
     inside = [i in chosen for i in range(len(elements))]
     around = set()
