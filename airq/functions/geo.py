@@ -22,7 +22,7 @@ class Box(NamedTuple):
     lon_max: float
 
 
-# The two areas of interest around Stuttgart.
+# The two areas of interest.
 REGION = Box(48.3, 49.1, 8.9, 9.5)
 CITY = Box(48.6, 49.0, 9.0, 9.4)
 
@@ -37,11 +37,19 @@ def in_box(lat: str | Column, lon: str | Column, box: Box) -> Column:
 
 
 def _quantised(lat: Column, lon: Column, bits: int) -> tuple[Column, Column]:
-    """Both coordinates as integers of ``bits`` bits; null when either is null or 0."""
-    present = (lat != 0) & (lon != 0)
+    """Both coordinates as integers of ``bits`` bits.
+
+    Null when either is null, 0, NaN or infinite, or when the latitude is outside [-90, 90]. Longitudes are
+    taken round the globe into [-180, 180); the north pole belongs to the last cell below it.
+    """
+    known = ~F.isnan(lat) & ~F.isnan(lon) & (F.abs(lon) < F.lit(1e15))
+    present = known & (lat != 0) & (lon != 0) & (lat >= F.lit(-90.0)) & (lat <= F.lit(90.0))
     scale = F.lit(float(1 << bits))
-    qa = F.when(present, F.floor((lat + F.lit(90.0)) / F.lit(180.0) * scale))
-    qo = F.when(present, F.floor((lon + F.lit(180.0)) / F.lit(360.0) * scale))
+    turns = F.floor((lon + F.lit(180.0)) / F.lit(360.0)).cast("double")
+    east = F.when((lon < -180) | (lon >= 180), lon - turns * F.lit(360.0)).otherwise(lon)
+    last = F.lit((1 << bits) - 1).cast("bigint")
+    qa = F.when(present, F.least(F.floor((lat + F.lit(90.0)) / F.lit(180.0) * scale), last))
+    qo = F.when(present, F.least(F.floor((east + F.lit(180.0)) / F.lit(360.0) * scale), last))
     return qa, qo
 
 
@@ -51,7 +59,7 @@ def _spread(q: Column, kind: str) -> Column:
 
 
 def geohash(lat: str | Column, lon: str | Column, precision: int = 12) -> Column:
-    """Base-32 geohash of up to 12 characters; null when a coordinate is null or 0."""
+    """Base-32 geohash of up to 12 characters; null for a coordinate that has none (see ``_quantised``)."""
     qa, qo = _quantised(_col(lat), _col(lon), 30)
     code = _spread(qo, "bigint") * 2 + _spread(qa, "bigint")
     digits = F.lpad(F.conv(code.cast("string"), 10, 32), 12, "0")
@@ -59,7 +67,7 @@ def geohash(lat: str | Column, lon: str | Column, precision: int = 12) -> Column
 
 
 def geohash_u64(lat: str | Column, lon: str | Column) -> Column:
-    """The 64-bit geohash as an unsigned decimal string; null when a coordinate is null or 0."""
+    """The 64-bit geohash as an unsigned decimal string; null for a coordinate that has none."""
     qa, qo = _quantised(_col(lat), _col(lon), 32)
     wide = "decimal(20,0)"
     return (_spread(qo, wide) * 2 + _spread(qa, wide)).cast(wide).cast("string")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +35,14 @@ def station_tag(c: str | Column) -> Column:
     return F.format_string("_%05d_", _col(c))
 
 
+def _allowed_in_name(c: str) -> bool:
+    return c in "-._" or c.isalnum()
+
+
 def sanitise_name(name: str) -> str:
-    return re.sub(r"(?u)[^-\w.]", "", str(name).strip().replace(" ", "_"))
+    """Column name without surrounding white space, with underscores for blanks, and only letters, digits, ``-``, ``.`` and ``_``."""
+    joined = "_".join(str(name).strip().split(" "))
+    return "".join(c for c in joined if _allowed_in_name(c))
 
 
 def sanitise_columns(df: DataFrame) -> DataFrame:

@@ -68,12 +68,12 @@ def keep_usable(df: DataFrame, usable: DataFrame, key: str = "sensor_id") -> Dat
 
 
 def with_group_minimum(df: DataFrame, keys: list[str], column: str, name: str) -> DataFrame:
-    """The group's minimum on every row, by a pre-aggregated lookup."""
-    return lookup_join(df, df.groupBy(*keys).agg(F.min(column).alias(name)), keys)
+    """The group's minimum on every row, by a pre-aggregated lookup; null keys are a group."""
+    return lookup_join(df, df.groupBy(*keys).agg(F.min(column).alias(name)), keys, null_safe=True)
 
 
 def scale_by_maximum(df: DataFrame, keys: list[str], column: str = "value") -> DataFrame:
-    """Divide by the group's maximum; null where that maximum is 0."""
+    """Divide by the group's maximum; null where that maximum is 0. Null keys are a group."""
     tops = df.groupBy(*keys).agg(F.max(column).alias("_top"))
-    joined = lookup_join(df, tops, keys)
+    joined = lookup_join(df, tops, keys, null_safe=True)
     return joined.withColumn(column, F.try_divide(F.col(column), F.col("_top"))).drop("_top").select(*df.columns)

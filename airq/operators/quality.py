@@ -24,17 +24,19 @@ def lifetime_summary(df: DataFrame, keys: list[str], ts: str = "timestamp") -> D
 
 
 def first_ranked(df: DataFrame, keys: list[str], order: str, k: int = 5) -> DataFrame:
-    """Rows whose rank by ``order`` within the key is at most ``k``, ties included.
+    """Rows whose rank by ``order`` within the key is at most ``k``, ties included; nulls rank first.
 
     Equal values are counted before the shuffle and only the ``k`` smallest distinct values of a key leave
-    a task; the rank of a value is one more than the rows before it. No key is sorted whole.
+    a task; the rank of a value is one more than the rows before it. No key is sorted whole. Null keys are a
+    group.
     """
-    counted = df.where(F.col(order).isNotNull()).groupBy(*keys, order).agg(F.count(F.lit(1)).alias("_n"))
+    counted = df.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("_n"))
     window = Window.partitionBy(*keys).orderBy(order)
     smallest = counted.withColumn("_place", F.row_number().over(window)).where(F.col("_place") <= k)
     before = F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1))
     ranked = smallest.withColumn("rank", (F.coalesce(before, F.lit(0)) + 1).cast("int")).where(F.col("rank") <= k)
-    return lookup_join(df, ranked.drop("_n", "_place"), [*keys, order], "inner").select(*df.columns, "rank")
+    found = lookup_join(df, ranked.drop("_n", "_place"), [*keys, order], "inner", null_safe=True)
+    return found.select(*df.columns, "rank")
 
 
 def first_seen_order(df: DataFrame, key: str = "sensor_id", ts: str = "timestamp") -> DataFrame:
@@ -98,8 +100,9 @@ def null_report(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def hashed_sample(df: DataFrame, key: str, every: int, remainder: int = 0) -> DataFrame:
-    """Reproducible sample: the keys that fall in one of ``every`` buckets."""
-    return df.where(F.pmod(F.col(key), F.lit(every)) == remainder)
+    """Reproducible sample: the keys whose hash falls in one of ``every`` buckets."""
+    digest = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return df.where(digest % every == remainder)
 
 
 def random_sample(df: DataFrame, fraction: float, with_replacement: bool = True, seed: int = 42) -> DataFrame:

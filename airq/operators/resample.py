@@ -57,8 +57,9 @@ def gap_fill(df: DataFrame, keys: list[str], step: int = HOUR, ts: str = "timest
     """Complete the regular grid of each key between its first and last time with null rows.
 
     Rows off their key's grid are left out and duplicates stay, as in a right join from the grid. Each row
-    brings along the empty bins up to its successor, so one shuffle by key does it. Input is binned
-    (see ``bin_means``), which bounds a key's rows by its bins.
+    brings along the empty bins up to its successor, so one shuffle by key does it; a wide gap is filled in
+    blocks, so no array grows with it. Input is binned (see ``bin_means``), which bounds a key's rows by
+    its bins.
     """
     tick = step * 1_000_000
     order = Window.partitionBy(*keys).orderBy("_at")
@@ -72,8 +73,11 @@ def gap_fill(df: DataFrame, keys: list[str], step: int = HOUR, ts: str = "timest
         .withColumn("_next", F.lead("_at").over(order))
     )
     until = F.greatest(F.col("_at"), F.coalesce(F.col("_next"), F.col("_at")) - F.lit(tick))
-    bins = F.sequence(F.col("_at"), until, F.lit(tick).cast("long"))
-    filled = placed.select(*keys, *rest, "_at", F.explode(bins).alias("_bin"))
+    blocks = F.sequence(F.col("_at"), until, F.lit(tick * GRID_BLOCK).cast("long"))
+    blocked = placed.select(*keys, *rest, "_at", until.alias("_until"), F.explode(blocks).alias("_block"))
+    stop = F.least(F.col("_block") + F.lit(tick * (GRID_BLOCK - 1)).cast("long"), F.col("_until"))
+    bins = F.sequence(F.col("_block"), stop, F.lit(tick).cast("long"))
+    filled = blocked.select(*keys, *rest, "_at", F.explode(bins).alias("_bin"))
     own = F.col("_bin") == F.col("_at")
     return filled.select(
         *[

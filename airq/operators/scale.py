@@ -9,61 +9,40 @@ from pyspark.sql import functions as F
 
 from airq.session import materialise
 
-# A side is broadcast only when the optimiser's size for its whole plan is below this.
-BROADCAST_BYTES = 32 * 1024 * 1024
-# A key with at least this many rows is taken out of the shuffle.
+# A key with at least this many rows is taken out of the shuffle, and so many keys at most.
 HEAVY_ROWS = 5_000_000
-
-
-# Unpivoting repeats a row once per column, which the optimiser's figure leaves out.
-UNPIVOT_FACTOR = 32
-
-
-def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size for the plan, or None where that figure is no upper bound.
-
-    Filters, projections, unions and aggregates never raise the figure of their inputs and joins
-    multiply it; only row-generating nodes can exceed it.
-    """
-    if not hasattr(df, "_jdf"):
-        return None
-    plan = df._jdf.queryExecution().optimizedPlan()
-    text = plan.toString()
-    if "Generate " in text or "InPandas" in text:
-        return None
-    return int(str(plan.stats().sizeInBytes())) * UNPIVOT_FACTOR ** text.count("Expand ")
-
-
-def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    size = plan_bytes(df)
-    return size is not None and size <= limit
+HEAVY_KEYS = 1000
 
 
 def lookup_join(
-    fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left", broadcast_bytes: int = BROADCAST_BYTES
+    fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left", null_safe: bool = False
 ) -> DataFrame:
     """Equi-join of a fact with a table that has one row (or a small constant number) per key.
 
-    A dimension of checked size is broadcast and the fact is not shuffled. Beyond that size both sides
-    shuffle, and adaptive execution cuts a partition that a hot key (or null keys) made too big into
-    several tasks, each with its copy of the few matching dimension rows; the fact is the side that
-    may be cut for both ``left`` and ``inner``. For a fact known to be dominated by few keys see
-    ``split_join``, which keeps those out of the shuffle altogether.
+    No side is broadcast by a hint: adaptive execution turns the join into a broadcast by the size it has
+    measured. Otherwise both sides shuffle, and a partition that a hot key (or null keys) made too big is cut
+    into several tasks, each with its copy of the few matching dimension rows; the fact is the side that may
+    be cut for both ``left`` and ``inner``. For a fact known to be dominated by few keys see ``split_join``.
+    With ``null_safe`` null keys match each other, as they do in a window or a group.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup_join supports left and inner, not {how}")
-    return fact.join(F.broadcast(dim) if is_small(dim, broadcast_bytes) else dim, on, how)
+    if not null_safe:
+        return fact.join(dim, on, how)
+    keys = {k: f"_key_{i}" for i, k in enumerate(on)}
+    right = dim.withColumnsRenamed(keys)
+    same = reduce(Column.__and__, [fact[k].eqNullSafe(right[other]) for k, other in keys.items()])
+    return fact.join(right, same, how).drop(*keys.values())
 
 
 def split_join(
-    fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left", heavy_rows: int = HEAVY_ROWS
+    fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left", heavy_rows: int = HEAVY_ROWS, heavy_keys: int = HEAVY_KEYS
 ) -> DataFrame:
     """``lookup_join`` for a stored fact with hot keys: they are joined apart, without a shuffle.
 
-    Keys with ``heavy_rows`` rows or more are counted first (combined before the shuffle). There are at
-    most ``rows / heavy_rows`` of them, so they and their dimension rows are bounded and broadcast;
-    only the light keys shuffle. Null keys match nothing and stay out of the shuffle too. The fact is
-    read three times, so it should be a table, not a long plan.
+    The ``heavy_keys`` largest of the keys with ``heavy_rows`` rows or more are found first (combined before
+    the shuffle); that number bounds what is broadcast. All other keys shuffle. Null keys match nothing and
+    stay out of the shuffle too. The fact is read three times, so it should be a table, not a long plan.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"split_join supports left and inner, not {how}")
@@ -72,6 +51,8 @@ def split_join(
         fact.groupBy(*on)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") >= heavy_rows)
+        .orderBy(F.col("_rows").desc(), *on)
+        .limit(heavy_keys)
         .select(*on, F.lit(True).alias("_heavy"))
     )
     no_key = reduce(Column.__or__, [F.col(c).isNull() for c in on])
@@ -85,10 +66,7 @@ def split_join(
 
 def keep_keys(fact: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows of ``fact`` whose key occurs in ``keys`` (a semi-join that survives hot keys)."""
-    distinct = keys.select(*on).distinct()
-    if is_small(distinct):
-        return fact.join(F.broadcast(distinct), on, "left_semi")
-    return lookup_join(fact, distinct, on, "inner").select(*fact.columns)
+    return lookup_join(fact, keys.select(*on).distinct(), on, "inner").select(*fact.columns)
 
 
 def global_order(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:

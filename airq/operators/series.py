@@ -1,99 +1,77 @@
-"""Series as arrays: one row per entity, and back to rows."""
+"""Series as arrays: one row per entity and calendar year, and back to rows.
+
+The calendar year bounds the arrays by the bins of a year, whatever the length of a series or the number of
+entities, so that results have one form at every size.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airq import schemas
 from airq.operators.scale import lookup_join
 
-# Upper bound for the points held by one row; a longer series continues in the entity's next part.
-MAX_POINTS = 1_000_000
-
 
 def build_series(
-    df: DataFrame, keys: list[str], measures: list[str], step: int, ts: str = "timestamp", max_points: int = MAX_POINTS
+    df: DataFrame, keys: list[str], measures: list[str], ts: str = "timestamp", period: str = "year"
 ) -> DataFrame:
-    """Parallel arrays in time order, with ``part``, ``n``, ``first`` and ``last``.
+    """Parallel arrays in time order per key and calendar ``period``, with ``year`` (of the period's start), ``n``, ``first``, ``last``.
 
-    Input is regular (one row per key and bin of ``step`` seconds), so a part of ``max_points`` bins
-    bounds every array whatever the length of a series. Nulls keep their place in every array.
-    One shuffle by key serves both the start of a series and its arrays.
+    Input is regular (one row per key and bin). Nulls keep their place in every array.
     """
-    start = F.min(ts).over(Window.partitionBy(*keys))
-    offset = F.unix_seconds(ts) - F.unix_seconds(start)
-    placed = df.withColumn("part", F.floor(offset / F.lit(step * max_points)).cast("int"))
     points = F.array_sort(F.collect_list(F.struct(F.col(ts).alias("_t"), *measures)))
-    rows = placed.groupBy(*keys, "part").agg(
+    rows = df.groupBy(*keys, F.date_trunc(period, F.col(ts)).alias("period")).agg(
         points.alias("_points"), F.count(F.lit(1)).alias("n"), F.min(ts).alias("first"), F.max(ts).alias("last")
     )
     arrays = [F.col(f"_points.{m}").alias(m) for m in measures]
-    return rows.select(*keys, "part", "n", "first", "last", F.col("_points._t").alias("times"), *arrays)
+    return rows.select(
+        *keys, "period", F.year("period").alias("year"), "n", "first", "last", F.col("_points._t").alias("times"), *arrays
+    )
 
 
-def geo_series(aggregated: DataFrame, max_points: int = MAX_POINTS) -> DataFrame:
-    """Series table of the geo-time aggregate: ``hash, start_year`` and one array per measure."""
+def geo_series(aggregated: DataFrame) -> DataFrame:
+    """Series table of the geo-time aggregate: ``hash, year, start_year`` and one array per measure.
+
+    ``start_year`` is the first year of the whole hash, on each of its rows.
+    """
     stamp = F.timestamp_seconds(
         F.unix_seconds(F.make_timestamp("year", "month", "day", F.lit(0), F.lit(0), F.lit(0))) + F.col("time_bin") * 900
     )
-    series = build_series(aggregated.withColumn("timestamp", stamp), ["hash"], schemas.SERIES_MEASURES, 900, max_points=max_points)
-    return series.select(
-        "hash", "part", F.year("first").alias("start_year"), "times", *schemas.SERIES_MEASURES
+    series = build_series(aggregated.withColumn("timestamp", stamp), ["hash"], schemas.SERIES_MEASURES)
+    started = aggregated.groupBy("hash").agg(F.min("year").cast("int").alias("start_year"))
+    return lookup_join(series, started, ["hash"], null_safe=True).select(
+        "hash", "year", "start_year", "times", *schemas.SERIES_MEASURES
     )
 
 
-def long_series(series: DataFrame, min_length: int, measure: str = "P1") -> DataFrame:
-    """Series with more than ``min_length`` points, counted over all parts of an entity."""
-    sized = series.withColumn(f"N_{measure}", F.size(measure))
-    if "part" not in series.columns:
-        return sized.where(F.col(f"N_{measure}") > min_length)
-    totals = sized.groupBy("hash").agg(F.sum(f"N_{measure}").alias("_total")).where(F.col("_total") > min_length)
-    return lookup_join(sized, totals, ["hash"], "inner").drop("_total")
+def long_series(series: DataFrame, min_length: int, measure: str = "P1", key: str = "hash") -> DataFrame:
+    """Series with more than ``min_length`` points, counted over all years of an entity; ``N_<measure>`` is that count."""
+    totals = series.groupBy(key).agg(F.sum(F.size(measure)).alias(f"N_{measure}")).where(F.col(f"N_{measure}") > min_length)
+    return lookup_join(series, totals, [key], "inner", null_safe=True)
 
 
 def series_to_rows(series: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
-    """Parallel arrays back to one row per point; ``position`` counts from 0 within a part."""
+    """Parallel arrays back to one row per point; ``position`` counts from 0 within a row's arrays."""
     return series.select(*keys, F.posexplode(F.arrays_zip(*measures)).alias("position", "_point")).select(
         *keys, "position", *[F.col(f"_point.{m}").alias(m) for m in measures]
     )
 
 
-def _with_parts(df: DataFrame, sizes: DataFrame, key: str) -> DataFrame:
-    """Each row with the number of parts of its group.
+def tile_of(hash_column: str | Column, prefix: int = 5) -> Column:
+    return F.substring(hash_column, 1, prefix)
 
-    Only groups of several parts are joined. There are at most as many of them as the points of the whole
-    table fill parts, so this side is broadcast and the rows of a large group are never brought together.
-    """
-    return df.join(F.broadcast(sizes.where(F.col("_parts") > 1)), key, "left").withColumn(
-        "_parts", F.coalesce(F.col("_parts"), F.lit(1))
-    )
 
+def tile_series(series: DataFrame, measures: list[str], prefix: int = 5, key: str = "hash") -> DataFrame:
+    """Series by geohash tile: ``hash_bin, start_year``, hash, year and its arrays.
 
-def tile_series(
-    series: DataFrame, measures: list[str], prefix: int = 5, max_points: int = MAX_POINTS, key: str = "hash"
-) -> DataFrame:
-    """Arrays of arrays per geohash tile, ordered by hash.
-
-    A tile with more than ``max_points`` points is spread over several parts by a digest of the hash, so
-    no row grows with the number of sensors in a tile; every series is in exactly one part.
+    ``start_year`` is the latest of the tile's entities, on each of its rows. The hashes and years of a tile
+    stay rows of their own, as a tile may hold any number of sensors.
     """
-    piece = F.col("part") if "part" in series.columns else F.lit(0)
-    tiled = series.select(
-        F.substring(key, 1, prefix).alias("hash_bin"), key, piece.alias("_piece"), "start_year", *measures
-    )
-    sizes = tiled.groupBy("hash_bin").agg(F.ceil(F.sum(F.size(measures[0])) / F.lit(max_points)).alias("_parts"))
-    digest = F.conv(F.substring(F.md5(F.concat_ws("/", key, "_piece")), 1, 12), 16, 10).cast("long")
-    spread = _with_parts(tiled, sizes, "hash_bin").withColumn("part", (digest % F.col("_parts")).cast("int"))
-    entries = F.array_sort(F.collect_list(F.struct(key, "_piece", *measures)))
-    rows = spread.groupBy("hash_bin", "part").agg(F.max("start_year").alias("start_year"), entries.alias("_entries"))
-    return rows.select(
-        "hash_bin",
-        "part",
-        "start_year",
-        F.col(f"_entries.{key}").alias("hashes"),
-        *[F.col(f"_entries.{m}").alias(m) for m in measures],
-    )
+    tiled = series.withColumn("hash_bin", tile_of(key, prefix))
+    started = tiled.groupBy("hash_bin").agg(F.max("start_year").alias("_tile_start"))
+    joined = lookup_join(tiled, started, ["hash_bin"], null_safe=True)
+    return joined.select("hash_bin", F.col("_tile_start").alias("start_year"), key, "year", *measures)
 
 
 def coordinate_history(df: DataFrame, key: str = "sensor_id", ts: str = "timestamp") -> DataFrame:
@@ -112,14 +90,7 @@ def sensor_dimension(df: DataFrame, key: str = "sensor_id", ts: str = "timestamp
     )
 
 
-def position_lists(df: DataFrame, key: str = "sensor_id", ts: str = "timestamp", max_points: int = MAX_POINTS) -> DataFrame:
-    """The positions of a sensor as arrays in order of appearance, in parts of bounded expected size."""
-    history = coordinate_history(df, key, ts)
-    sizes = history.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_points)).alias("_parts"))
-    spread = _with_parts(history, sizes, key).withColumn("part", F.pmod(F.xxhash64("lon", "lat"), F.col("_parts")).cast("int"))
-    points = F.array_sort(F.collect_list(F.struct("first_seen", "lon", "lat")))
-    return (
-        spread.groupBy(key, "part")
-        .agg(points.alias("_points"))
-        .select(key, "part", F.col("_points.lon").alias("lon"), F.col("_points.lat").alias("lat"))
-    )
+def position_lists(df: DataFrame, key: str = "sensor_id", ts: str = "timestamp") -> DataFrame:
+    """The positions of a sensor in order of appearance, one row each: ``key, rank, lon, lat, first_seen``."""
+    order = Window.partitionBy(key).orderBy("first_seen", "lon", "lat")
+    return coordinate_history(df, key, ts).select(key, F.row_number().over(order).alias("rank"), "lon", "lat", "first_seen")

@@ -43,21 +43,27 @@ def _(spark, folder):
 
 @query(
     "rank_first_five",
-    """SELECT l_orderkey, l_linenumber, l_suppkey, rank FROM (SELECT *, CAST(rank() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate) AS INT) AS rank
-FROM lineitem) WHERE rank <= 5""",
+    """SELECT l_orderkey, l_linenumber, k AS l_suppkey, rank FROM (SELECT *, CAST(rank() OVER (PARTITION BY k ORDER BY d NULLS FIRST) AS INT) AS rank
+FROM (SELECT *, nullif(l_suppkey, 3) AS k, CASE WHEN l_orderkey % 500 <> 0 THEN l_shipdate END AS d FROM lineitem)) WHERE rank <= 5""",
 )
 def _(spark, folder):
-    rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
+    """One supplier has a null key, some lines have no date."""
+    rows = table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.nullif("l_suppkey", F.lit(3)).alias("l_suppkey"),
+        F.when(F.col("l_orderkey") % 500 != 0, F.col("l_shipdate")).alias("l_shipdate"),
+    )
     return first_ranked(rows, ["l_suppkey"], "l_shipdate").drop("l_shipdate")
 
 
 @query(
     "scale_by_max",
     "SELECT c_custkey, CASE WHEN m <> 0 THEN v / m END AS value FROM (SELECT c_custkey, c_acctbal AS v, "
-    "max(c_acctbal) OVER (PARTITION BY c_nationkey) AS m FROM customer)",
+    "max(c_acctbal) OVER (PARTITION BY nullif(c_nationkey, 4)) AS m FROM customer)",
 )
 def _(spark, folder):
-    rows = table(spark, folder, "customer").select("c_custkey", "c_nationkey", F.col("c_acctbal").alias("value"))
+    rows = table(spark, folder, "customer").select("c_custkey", F.nullif("c_nationkey", F.lit(4)).alias("c_nationkey"), F.col("c_acctbal").alias("value"))
     return scale_by_maximum(rows, ["c_nationkey"]).drop("c_nationkey")
 
 

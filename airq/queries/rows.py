@@ -198,7 +198,7 @@ def _(spark, folder):
     return rows.select("event_id", "user_id", "value")
 
 
-@query("sample_by_hash", "SELECT event_id, user_id FROM events WHERE user_id % 10 = 3")
+@query("sample_by_hash", "SELECT event_id, user_id FROM events WHERE CAST('0x' || md5(CAST(user_id AS VARCHAR))[1:8] AS BIGINT) % 10 = 3")
 def _(spark, folder):
     return hashed_sample(table(spark, folder, "events"), "user_id", 10, 3).select("event_id", "user_id")
 
@@ -206,3 +206,19 @@ def _(spark, folder):
 @query("random_sample")
 def _(spark, folder):
     return random_sample(table(spark, folder, "events"), 0.1).select("event_id", "value")
+
+
+@query(
+    "random_sample_facts",
+    "SELECT true AS only_given_rows, true AS share_is_near, true AS repeats_occur",
+)
+def _(spark, folder):
+    """What holds of a sample with replacement, whatever rows it draws: all are given rows, and about the share asked for."""
+    rows = table(spark, folder, "events").select("event_id", "value")
+    drawn = random_sample(rows, 0.5).groupBy("event_id", "value").agg(F.count(F.lit(1)).alias("drawn"))
+    both = rows.withColumn("given", F.lit(1)).join(drawn, ["event_id", "value"], "full")
+    return both.agg(
+        (F.count("given") == F.count(F.lit(1))).alias("only_given_rows"),
+        (F.abs(F.sum("drawn") / F.sum("given") - 0.5) < 0.1).alias("share_is_near"),
+        (F.max("drawn") > 1).alias("repeats_occur"),
+    )

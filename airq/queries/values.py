@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from airq.functions import text
 from airq.functions.calendar import add_calendar, hour_from_parts, is_holiday, packed_hour
-from airq.functions.geo import add_geohash, common_prefix_length, geohash_u64, haversine_km
+from airq.functions.geo import add_geohash, common_prefix_length, geohash, geohash_u64, haversine_km
 from airq.queries.base import PLACED, SENSORS, lat_of, lon_of, observations, placed, query, sensors, sql_lat, sql_lon, sql_stamp, stamp, table
 from airq.sources.weather import archives_of_stations
 
@@ -75,6 +75,24 @@ def _(spark, folder):
     return rows.withColumn("tile", F.substring("hash", 1, 5))
 
 
+_ODD_PLACES = """raw AS (SELECT c_custkey, CASE WHEN c_custkey % 97 = 0 THEN CAST('nan' AS DOUBLE) ELSE CAST(c_custkey % 41 * 10 - 200 AS DOUBLE) END AS a,
+  CASE WHEN c_custkey % 89 = 0 THEN NULL ELSE CAST(c_custkey % 109 * 10 - 540 AS DOUBLE) END AS o FROM customer),
+placed AS (SELECT c_custkey, CASE WHEN a = 90 THEN CAST(89.99999999 AS DOUBLE) ELSE a END AS lat, o - 360 * floor((o + 180) / 360) AS lon
+  FROM raw WHERE a BETWEEN -90 AND 90 AND a <> 0 AND o <> 0)"""
+
+
+@query(
+    "geohash_edges",
+    f"WITH {_ODD_PLACES}, {_GEOHASH} SELECT c_custkey, hash FROM customer LEFT JOIN placed USING (c_custkey) LEFT JOIN hashes USING (lat, lon)",
+)
+def _(spark, folder):
+    """Poles, longitudes round the globe, coordinates out of range, NaN and null."""
+    key = F.col("c_custkey")
+    lat = F.when(key % 97 == 0, F.lit(float("nan"))).otherwise((key % 41 * 10 - 200).cast("double"))
+    lon = F.when(key % 89 != 0, (key % 109 * 10 - 540).cast("double"))
+    return table(spark, folder, "customer").select("c_custkey", geohash(lat, lon).alias("hash"))
+
+
 @query(
     "geohash_u64",
     f"""WITH {SENSORS},

@@ -111,3 +111,20 @@ def test_transformers_survive_saving(spark, tmp_path):
     again = CalendarTransformer.load(str(tmp_path / "c"))
     out = GeohashTransformer(inputCols=["lat", "lon"], outputCol="geohash").transform(again.transform(df)).first()
     assert out.datedim.year == 2018 and out.geohash.hash == "u0wt8bhsje04"
+
+
+def test_geohash_of_odd_coordinates(spark):
+    nan, inf = float("nan"), float("inf")
+    places = [(nan, 9.0), (9.0, nan), (90.5, 9.0), (-91.0, 9.0), (inf, 9.0), (9.0, -inf), (None, 9.0), (9.0, None)]
+    places += [(48.0, 9.0), (48.0, 369.0), (48.0, -351.0), (48.0, 180.0), (48.0, -180.0), (90.0, 9.0), (-90.0, 9.0)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(places)], "i int, lat double, lon double")
+    rows = df.select("i", geo.geohash("lat", "lon").alias("h"), geo.geohash_u64("lat", "lon").alias("u")).orderBy("i").collect()
+    assert all(r.h is None and r.u is None for r in rows[:8])
+    assert rows[8].h == rows[9].h == rows[10].h and rows[8].u == rows[9].u
+    assert rows[11].h == rows[12].h and rows[13].h[0] in "uvyz" and rows[14].h[0] in "hjnp"
+    assert all(len(r.h) == 12 and 0 <= int(r.u) < 1 << 64 for r in rows[8:])
+
+
+def test_sanitise_name_by_its_rule():
+    cases = {" a b ": "a_b", "x/y": "xy", "m.n-o_p": "m.n-o_p", "Höhe (m)": "Höhe_m", "": "", "a  b": "a__b", "5%": "5"}
+    assert {k: text.sanitise_name(k) for k in cases} == cases

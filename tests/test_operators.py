@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from airq import schemas
 from airq.functions.geo import haversine_km
 from airq.operators import clean, features, kpi, kpi_fit, model, quality, resample, scale, series, stations
 from airq.operators.nearest import nearest_by_prefix, nearest_site
@@ -31,7 +32,7 @@ def test_split_join_equals_plain_join(spark, how):
     fact = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k int")
     dim = spark.createDataFrame([(k, k * 2) for k in range(0, 50, 2)] + [(7, 14)], "k int, v int")
     expected = sorted(map(tuple, fact.join(dim, ["k"], how).select("i", "v").collect()))
-    for found in (scale.split_join(fact, dim, ["k"], how, heavy_rows=100), scale.lookup_join(fact, dim, ["k"], how, broadcast_bytes=0)):
+    for found in (scale.split_join(fact, dim, ["k"], how, heavy_rows=100), scale.lookup_join(fact, dim, ["k"], how)):
         assert sorted(map(tuple, found.select("i", "v").collect())) == expected
 
 
@@ -258,40 +259,64 @@ def test_kl_shift_in_blocks_equals_rows(monkeypatch):
 
 def test_series_keeps_nulls_in_place(spark):
     df = spark.createDataFrame([(1, hours(2), 3.0, None), (1, hours(0), None, 7.0), (1, hours(1), 2.0, 8.0)], "k int, timestamp timestamp, a double, b double")
-    row = series.build_series(df, ["k"], ["a", "b"], 3600).first()
+    row = series.build_series(df, ["k"], ["a", "b"]).first()
     assert row.a == [None, 2.0, 3.0] and row.b == [7.0, 8.0, None] and row.n == 3
-    parts = series.build_series(df, ["k"], ["a"], 3600, max_points=2).orderBy("part").collect()
-    assert [p.a for p in parts] == [[None, 2.0], [3.0]]
+    parts = series.build_series(df, ["k"], ["a"], period="hour").orderBy("period").collect()
+    assert [p.a for p in parts] == [[None], [2.0], [3.0]]
 
 
-def test_tiles_split_but_whole(spark):
-    rows = [(f"u0wt8{i:07d}", 2018, [float(i), None]) for i in range(40)] + [("u0wx1aaaaaaa", 2017, [1.0])]
-    df = spark.createDataFrame(rows, "hash string, start_year int, P1 array<double>")
-    whole = {r.hash_bin: r for r in series.tile_series(df, ["P1"]).collect()}
-    assert len(whole["u0wt8"].hashes) == 40 and whole["u0wt8"].P1[3] == [3.0, None] and whole["u0wx1"].part == 0
-    parts = [r for r in series.tile_series(df, ["P1"], max_points=16).collect() if r.hash_bin == "u0wt8"]
-    assert len(parts) > 2 and sorted(h for p in parts for h in p.hashes) == [r[0] for r in rows[:40]]
+def test_series_of_two_years_keep_one_start(spark):
+    day = [(y, 1, d, b) for y in (2017, 2018) for d in (1, 2) for b in (0, 1)]
+    names = {m: "cast(null as double)" for m in schemas.SERIES_MEASURES}
+    rows = spark.createDataFrame([(h, *d) for h in ("a", None) for d in day], "hash string, year int, month int, day int, time_bin int")
+    got = series.geo_series(rows.selectExpr("*", *[f"{e} as {m}" for m, e in names.items() if m not in rows.columns])).collect()
+    assert sorted((r.hash or "", r.year, r.start_year, len(r.times)) for r in got) == [
+        ("", 2017, 2017, 4), ("", 2018, 2017, 4), ("a", 2017, 2017, 4), ("a", 2018, 2017, 4),
+    ]
 
 
-def test_positions_split_but_whole(spark):
-    rows = [(1, float(i), 48.0, hours(i)) for i in range(30)] + [(2, 9.0, 48.0, T0)]
-    df = spark.createDataFrame(rows, "sensor_id int, lon double, lat double, timestamp timestamp")
-    whole = {r.sensor_id: r for r in series.position_lists(df).collect()}
-    assert whole[1].lon == [float(i) for i in range(30)] and whole[2].part == 0
-    parts = [r for r in series.position_lists(df, max_points=8).collect() if r.sensor_id == 1]
-    assert len(parts) > 1 and sorted(v for p in parts for v in p.lon) == whole[1].lon
+def test_tiles_keep_hash_and_year_apart(spark):
+    rows = [(f"u0wt8{i:07d}", 2018 + i % 2, y, [float(i), None]) for i in range(4) for y in (2018, 2019)] + [("u0wx1aaaaaaa", 2017, 2017, [1.0])]
+    df = spark.createDataFrame(rows, "hash string, start_year int, year int, P1 array<double>")
+    got = series.tile_series(df, ["P1"]).collect()
+    assert len(got) == len(rows)
+    assert {(r.hash_bin, r.start_year) for r in got} == {("u0wt8", 2019), ("u0wx1", 2017)}
 
 
-def test_hot_tile_is_not_brought_together(spark):
-    """The arrays are shuffled by tile and part, never by tile alone."""
-    df = spark.createDataFrame([("u0wt8aaaaaaa", 2018, [1.0])], "hash string, start_year int, P1 array<double>")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = series.tile_series(df, ["P1"])._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-    assert any("hash_bin" in l and "part" in l for l in text.splitlines() if "Exchange hashpartitioning" in l)
+def test_positions_in_order_of_appearance(spark):
+    rows = [(1, float(i % 7), 48.0, hours(i)) for i in range(30)] + [(2, 9.0, 48.0, T0), (None, 9.0, None, T0)]
+    df = spark.createDataFrame(rows, "sensor_id int, lon double, lat double, timestamp timestamp")
+    got = series.position_lists(df).orderBy("sensor_id", "rank").collect()
+    assert [(r.sensor_id, r.rank, r.lon) for r in got] == [(None, 1, 9.0), *[(1, i + 1, float(i)) for i in range(7)], (2, 1, 9.0)]
+
+
+def test_null_keys_are_a_group(spark):
+    df = spark.createDataFrame([(None, 2.0), (None, 4.0), (1, None), (1, 5.0), (1, 5.0)], "k int, value double")
+    scaled = sorted(map(tuple, clean.scale_by_maximum(df, ["k"]).collect()), key=str)
+    assert scaled == sorted([(None, 0.5), (None, 1.0), (1, None), (1, 1.0), (1, 1.0)], key=str)
+    least = clean.with_group_minimum(df, ["k"], "value", "least")
+    assert {(r.k, r.least) for r in least.collect()} == {(None, 2.0), (1, 5.0)}
+    expected = df.selectExpr("k", "value", "rank() over (partition by k order by value) as rank").where("rank <= 2")
+    got = quality.first_ranked(df, ["k"], "value", 2)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+
+
+def test_a_wide_gap_is_filled_in_blocks(spark):
+    df = spark.createDataFrame([(1, dt.datetime(1900, 1, 1), 1.0), (1, dt.datetime(2024, 1, 1), 2.0)], "k int, timestamp timestamp, value double")
+    filled = resample.gap_fill(df, ["k"], 900)
+    row = filled.selectExpr("count(*) as n", "count(distinct timestamp) as d", "count(value) as v").first()
+    days = (dt.datetime(2024, 1, 1) - dt.datetime(1900, 1, 1)).days
+    assert (row.n, row.d, row.v) == (days * 96 + 1, days * 96 + 1, 2)
+
+
+def test_wide_compressible_table_is_not_broadcast(spark, tmp_path):
+    """The file is far below the broadcast limit, its rows are far above it."""
+    fact = spark.range(1000).withColumnRenamed("id", "k").repartition(2)
+    spark.range(40_000).selectExpr("id as k", "repeat('x', 2000) as wide").coalesce(1).write.parquet(str(tmp_path / "d"))
+    dim = spark.read.parquet(str(tmp_path / "d")).groupBy("k").agg(F.max("wide").alias("wide"))
+    joined = scale.lookup_join(fact, dim, ["k"])
+    assert joined.agg(F.sum(F.length("wide"))).first()[0] == 1000 * 2000
+    assert "broadcast" not in joined._jdf.queryExecution().logical().toString().lower()
 
 
 def test_lags_before_scaling(spark):
