@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from airq import schemas
 from airq.functions.stats import mean
-from airq.operators.resample import bin_means, gap_fill
+from airq.operators.resample import HOUR, bin_means, gap_fill
 from airq.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,6 +134,12 @@ def weather_of(rows: DataFrame, event: str, column: str, step: str = "hour") ->
     )
 
 
+def hourly_series(spark: SparkSession, folder: str) -> DataFrame:
+    """Gap-free hourly means per sensor, as decimals."""
+    means = bin_means(observations(spark, folder), ["sensor_id"], ["value"], HOUR)
+    return gap_fill(means, ["sensor_id"], HOUR).withColumn("value", F.col("value").cast("decimal(18,6)"))
+
+
 def half_day_series(spark: SparkSession, folder: str) -> DataFrame:
     """Gap-free half-day means per sensor, as decimals."""
     means = bin_means(observations(spark, folder), ["sensor_id"], ["value"], HALF_DAY)
@@ -203,11 +209,18 @@ def sql_family(sensor_type: str) -> str:
 
 FAMILY_UNION = f"{PLACED}, unified AS ({' UNION ALL '.join(sql_family(t) for t in FAMILIES)})"
 
-HALF_DAYS = (
-    f"{OBS}, means AS (SELECT sensor_id, {sql_bin('timestamp', HALF_DAY)} AS timestamp, {sql_mean('value')} AS value "
-    "FROM obs GROUP BY 1, 2), "
-    "spans AS (SELECT sensor_id, min(timestamp) AS a, max(timestamp) AS b FROM means GROUP BY 1), "
-    "grid AS (SELECT sensor_id, unnest(generate_series(a, b, INTERVAL 12 HOUR)) AS timestamp FROM spans), "
-    "series AS (SELECT g.sensor_id, g.timestamp, CAST(m.value AS DECIMAL(18,6)) AS value FROM grid g "
-    "LEFT JOIN means m ON g.sensor_id = m.sensor_id AND g.timestamp = m.timestamp)"
-)
+
+def sql_series(step: int, label: str) -> str:
+    """Gap-free means per sensor in steps of that many seconds."""
+    return (
+        f"{OBS}, means AS (SELECT sensor_id, {sql_bin('timestamp', step)} AS timestamp, {sql_mean('value')} AS value "
+        "FROM obs GROUP BY 1, 2), "
+        "spans AS (SELECT sensor_id, min(timestamp) AS a, max(timestamp) AS b FROM means GROUP BY 1), "
+        f"grid AS (SELECT sensor_id, unnest(generate_series(a, b, INTERVAL {label})) AS timestamp FROM spans), "
+        "series AS (SELECT g.sensor_id, g.timestamp, CAST(m.value AS DECIMAL(18,6)) AS value FROM grid g "
+        "LEFT JOIN means m ON g.sensor_id = m.sensor_id AND g.timestamp = m.timestamp)"
+    )
+
+
+HALF_DAYS = sql_series(HALF_DAY, "12 HOUR")
+HOURS = sql_series(HOUR, "1 HOUR")

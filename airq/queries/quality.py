@@ -1,4 +1,4 @@
-"""Ranks, summaries and the quality figures of half-day series."""
+"""Ranks, summaries and quality figures: native ones of hourly series, fitted ones of half-day series."""
 
 from __future__ import annotations
 
@@ -9,11 +9,14 @@ from airq.operators.clean import keep_usable, scale_by_maximum, usable_sensors
 from airq.operators.kpi_fit import fitted_kpis
 from airq.operators.quality import describe, first_ranked, first_seen_order, null_report, rmse
 from airq.operators.scale import exact_quantiles
-from airq.queries.base import HALF_DAYS, OBS, ORACLES, half_day_series, observations, query, sql_stamp, stamp, table
+from airq.queries.base import HOURS, OBS, ORACLES, half_day_series, hourly_series, observations, query, sql_stamp, stamp, table
 
-WIDTH = 10
+# Rows of a tile: hours of two days for the native figures, half days of five for the fitted ones.
+WIDTH = 48
+FIT_WIDTH = 10
+FIT_LAGS = 4
 KEY = ["sensor_id"]
-_SERIES = f"WITH {HALF_DAYS}"
+_SERIES = f"WITH {HOURS}"
 _X = "CAST(value AS DOUBLE)"
 _W = "OVER (PARTITION BY sensor_id ORDER BY timestamp)"
 
@@ -128,7 +131,7 @@ FROM m JOIN e USING (sensor_id)"""
 
 @query("kpi_moments", _MOMENTS)
 def _(spark, folder):
-    return _rounded(kpi.moments(half_day_series(spark, folder), KEY), "sd", "skewness", "kurtosis")
+    return _rounded(kpi.moments(hourly_series(spark, folder), KEY), "sd", "skewness", "kurtosis")
 
 
 @query(
@@ -139,7 +142,7 @@ f AS (SELECT sensor_id, below <> lag(below) {_W} AS flip FROM b)
 SELECT sensor_id, CAST(coalesce(sum(CAST(flip AS INT)), 0) AS BIGINT) AS crossing_points FROM f GROUP BY 1""",
 )
 def _(spark, folder):
-    return kpi.crossing_points(half_day_series(spark, folder), KEY)
+    return kpi.crossing_points(hourly_series(spark, folder), KEY)
 
 
 @query(
@@ -152,7 +155,7 @@ g AS (SELECT *, sum(st) {_W} AS run FROM s), n AS (SELECT sensor_id, run, count(
 SELECT sensor_id, max(n) AS flat_spots FROM n GROUP BY 1""",
 )
 def _(spark, folder):
-    return kpi.flat_spots(half_day_series(spark, folder), KEY)
+    return kpi.flat_spots(hourly_series(spark, folder), KEY)
 
 
 @query(
@@ -162,7 +165,7 @@ p AS (SELECT sensor_id, d, d * lag(d) {_W} AS q FROM c)
 SELECT sensor_id, round((sum(q) / (count(q) + 1)) / (sum(d*d) / count(d)), 8) AS acf1 FROM p GROUP BY 1""",
 )
 def _(spark, folder):
-    return _rounded(kpi.acf1(half_day_series(spark, folder), KEY), "acf1", places=8)
+    return _rounded(kpi.acf1(hourly_series(spark, folder), KEY), "acf1", places=8)
 
 
 @query(
@@ -173,7 +176,7 @@ SELECT sensor_id, round(CASE WHEN sum(n) < {2 * WIDTH} THEN 0 ELSE var_samp(v) F
 round(CASE WHEN sum(n) < {2 * WIDTH} THEN 0 ELSE var_samp(m) FILTER (n = {WIDTH}) END, 6) AS stability FROM a GROUP BY 1""",
 )
 def _(spark, folder):
-    found = kpi.tile_variation(half_day_series(spark, folder), KEY, width=WIDTH)
+    found = kpi.tile_variation(hourly_series(spark, folder), KEY, width=WIDTH)
     return found.withColumns({"lumpiness": F.round("lumpiness", 4), "stability": F.round("stability", 6)})
 
 
@@ -188,7 +191,7 @@ round(max(dv), 2) AS max_var_shift, arg_min(i, (-round(dv, 7), i)) FILTER (dv IS
 
 @query("kpi_level_var_shift", _SHIFT)
 def _(spark, folder):
-    found = kpi.largest_shifts(half_day_series(spark, folder), KEY, width=WIDTH)
+    found = kpi.largest_shifts(hourly_series(spark, folder), KEY, width=WIDTH)
     return _rounded(found, "max_var_shift", places=2)
 
 
@@ -200,14 +203,14 @@ _FIGURES = ["kpi_moments", "kpi_crossing_points", "kpi_flat_spots", "kpi_acf1",
     "SELECT * FROM " + " JOIN ".join(f"({ORACLES[n]}) AS {n}" + (" USING (sensor_id)" if i else "") for i, n in enumerate(_FIGURES)),
 )
 def _(spark, folder):
-    found = kpi.native_kpis(half_day_series(spark, folder), KEY, width=WIDTH)
+    found = kpi.native_kpis(hourly_series(spark, folder), KEY, width=WIDTH)
     found = _rounded(found, "sd", "skewness", "kurtosis", "stability")
     return _rounded(_rounded(_rounded(found, "acf1", places=8), "lumpiness", places=4), "max_var_shift", places=2)
 
 
 @query("kpi_fitted_all")
 def _(spark, folder):
-    return fitted_kpis(half_day_series(spark, folder), KEY, width=WIDTH, lags=4)
+    return fitted_kpis(half_day_series(spark, folder), KEY, width=FIT_WIDTH, lags=FIT_LAGS)
 
 
 for _name, _columns in {
@@ -219,4 +222,4 @@ for _name, _columns in {
 
     @query(_name)
     def _(spark, folder, columns=tuple(_columns)):
-        return fitted_kpis(half_day_series(spark, folder), KEY, width=WIDTH, lags=4).select("sensor_id", *columns)
+        return fitted_kpis(half_day_series(spark, folder), KEY, width=FIT_WIDTH, lags=FIT_LAGS).select("sensor_id", *columns)
