@@ -73,14 +73,14 @@ def nearest_station_hash(df: DataFrame, stations: DataFrame, needle: str, site:
 def combine_products(products: dict[str, DataFrame], station: str = "STATIONS_ID", ts: str = "timestamp") -> DataFrame:
     """All products in one table with one row per station and hour, each product's columns null where it is silent.
 
-    One aggregate over the union takes the place of a chain of outer joins.
+    One aggregate over the union takes the place of a chain of outer joins. Of several rows of a product for
+    one hour a whole one is kept (the largest), never a mixture.
     """
-    aligned = []
-    for product, df in products.items():
-        aligned.append(df.select(station, ts, *schemas.WEATHER_COLUMNS[product]))
+    aligned = [df.select(station, ts, F.struct(*schemas.WEATHER_COLUMNS[p]).alias(f"_{p}")) for p, df in products.items()]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), aligned)
-    fields = [c for p in products for c in schemas.WEATHER_COLUMNS[p]]
-    return union.groupBy(station, ts).agg(*[F.max(c).alias(c) for c in fields])
+    packed = union.groupBy(station, ts).agg(*[F.max(f"_{p}").alias(f"_{p}") for p in products])
+    fields = [F.col(f"_{p}.{c}").alias(c) for p in products for c in schemas.WEATHER_COLUMNS[p]]
+    return packed.select(station, ts, *fields)
 
 
 def join_weather(

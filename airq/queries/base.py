@@ -134,6 +134,23 @@ def weather_of(rows: DataFrame, event: str, column: str, step: str = "hour") ->
     )
 
 
+# Which event type stands for which weather column; a second numeric column of a product is twice the first.
+WEATHER_EVENTS = {"TT_TU": "view", "R1": "signup", "V_N": "purchase", "SD_SO": "error", "F": "click"}
+TWICE = {"RF_TU": "TT_TU", "RS_IND": "R1", "WRTR": "R1", "D": "F"}
+
+
+def five_products(spark: SparkSession, folder: str, step: str = "hour") -> dict[str, DataFrame]:
+    """All weather products of 20 stations, each from one event type."""
+    rows = observations(spark, folder)
+    found = {}
+    for product, columns in schemas.WEATHER_COLUMNS.items():
+        column = next(c for c in columns if c in WEATHER_EVENTS)
+        readings = weather_of(rows, WEATHER_EVENTS[column], column, step)
+        others = {c: F.col(TWICE[c]) * 2 if c in TWICE else F.lit(None).cast("string") for c in columns if c != column}
+        found[product] = readings.withColumns(others)
+    return found
+
+
 def hourly_series(spark: SparkSession, folder: str) -> DataFrame:
     """Gap-free hourly means per sensor, as decimals."""
     means = bin_means(observations(spark, folder), ["sensor_id"], ["value"], HOUR)
@@ -224,3 +241,13 @@ def sql_series(step: int, label: str) -> str:
 
 HALF_DAYS = sql_series(HALF_DAY, "12 HOUR")
 HOURS = sql_series(HOUR, "1 HOUR")
+
+
+def sql_five(step: str = "hour") -> str:
+    """The same products side by side, as view ``five`` of ``obs``."""
+    cells = [f"{sql_mean(f"CASE WHEN variable = '{e}' THEN value END")} AS {c}" for c, e in WEATHER_EVENTS.items()]
+    twice = [f"2 * {c} AS {t}" for t, c in TWICE.items()]
+    return (
+        f"single AS (SELECT sensor_id % 20 AS STATIONS_ID, date_trunc('{step}', timestamp) AS timestamp, {', '.join(cells)} "
+        f"FROM obs GROUP BY 1, 2), five AS (SELECT *, {', '.join(twice)} FROM single)"
+    )

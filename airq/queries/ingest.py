@@ -178,16 +178,16 @@ def _(spark, folder):
 @query(
     "two_tier_load",
     f"""WITH {OBS}, tiers AS (SELECT sensor_id AS STATIONS_ID, date_trunc('day', timestamp) AS timestamp, max(value) AS TT_TU, 0 AS tier
-FROM obs WHERE variable IN ('view', 'click') GROUP BY 1, 2 UNION ALL
-SELECT sensor_id, date_trunc('day', timestamp), min(value), 1 FROM obs WHERE variable IN ('view', 'error') GROUP BY 1, 2)
+FROM obs WHERE variable IN ('view', 'click', 'signup') GROUP BY 1, 2 UNION ALL
+SELECT sensor_id, date_trunc('day', timestamp), min(value), 1 FROM obs WHERE variable IN ('view', 'error', 'purchase') GROUP BY 1, 2)
 SELECT STATIONS_ID, {sql_stamp('timestamp')} AS timestamp, CAST(arg_max(TT_TU, tier) AS DOUBLE) AS TT_TU FROM tiers
 GROUP BY STATIONS_ID, timestamp""",
 )
 def _(spark, folder):
     rows = observations(spark, folder).withColumn("timestamp", F.date_trunc("day", "timestamp"))
     keys = [F.col("sensor_id").alias("STATIONS_ID"), "timestamp"]
-    older = rows.where(F.col("variable").isin("view", "click")).groupBy(*keys).agg(F.max("value").alias("TT_TU"))
-    newer = rows.where(F.col("variable").isin("view", "error")).groupBy(*keys).agg(F.min("value").alias("TT_TU"))
+    older = rows.where(F.col("variable").isin("view", "click", "signup")).groupBy(*keys).agg(F.max("value").alias("TT_TU"))
+    newer = rows.where(F.col("variable").isin("view", "error", "purchase")).groupBy(*keys).agg(F.min("value").alias("TT_TU"))
     both = combine_tiers(older, newer)
     return both.select("STATIONS_ID", stamp("timestamp").alias("timestamp"), F.col("TT_TU").cast("double").alias("TT_TU"))
 

@@ -128,9 +128,12 @@ def augmented(spark, folder):
     rows = add_geohash(add_calendar(unify(list(families(spark, folder).values()))))
     rows = rows.withColumn("closest", (F.col("sensor_id") % 20).cast("long"))
     names = {"view": "TT_TU", "click": "F", "purchase": "D", "signup": "R1", "error": "SD_SO"}
-    events = observations(spark, folder)
-    for event, column in names.items():
-        rows = join_weather(rows, weather_of(events, event, column), "closest", [column])
+    # the products share stations and hours, so they are one table and one join
+    hours = observations(spark, folder).groupBy(
+        (F.col("sensor_id") % 20).alias("STATIONS_ID"), F.date_trunc("hour", "timestamp").alias("timestamp")
+    )
+    products = hours.agg(*[mean(F.when(F.col("variable") == event, F.col("value"))).alias(column) for event, column in names.items()])
+    rows = join_weather(rows, products, "closest", list(names.values()))
     dwd = [F.col(c) if c in rows.columns else F.lit(None).cast("double").alias(c) for c in schemas.WEATHER_FIELDS]
     return rows.withColumn("dwddim", F.struct(*dwd))
 

@@ -19,7 +19,9 @@ from airq.operators.stations import (
     readings_of,
     weather_long,
 )
-from airq.queries.base import OBS, STATIONS, VARIABLES, observations, query, sql_mean, sql_stamp, sql_weather, stamp, stations, table, weather
+from airq.queries.base import (
+    OBS, STATIONS, VARIABLES, five_products, observations, query, sql_five, sql_mean, sql_stamp, sql_weather, stamp, stations, table, weather,
+)
 
 
 @query(
@@ -124,27 +126,26 @@ def _(spark, folder):
     return readings_of(readings, active_stations(seen, "2024-01-30 12:00:00")).select("event_id", "STATIONS_ID")
 
 
+_NUMBERS = [c for c in schemas.WEATHER_FIELDS if c != "V_N_I"]
+
+
 @query(
     "combine_products",
-    f"""WITH {OBS}, {sql_weather('a', 'view', 'TT_TU')}, {sql_weather('b', 'click', 'SD_SO')}
-SELECT coalesce(a.STATIONS_ID, b.STATIONS_ID) AS STATIONS_ID, {sql_stamp('coalesce(a.timestamp, b.timestamp)')} AS timestamp, TT_TU, SD_SO
-FROM a FULL JOIN b ON a.STATIONS_ID = b.STATIONS_ID AND a.timestamp = b.timestamp""",
+    f"WITH {OBS}, {sql_five()} SELECT STATIONS_ID, {sql_stamp('timestamp')} AS timestamp, {', '.join(_NUMBERS)} FROM five",
 )
 def _(spark, folder):
-    temperature = weather(spark, folder).withColumn("RF_TU", F.lit(None).cast("double"))
-    both = combine_products({"temperature": temperature, "sun": weather(spark, folder, "click", "SD_SO")})
-    return both.drop("RF_TU").withColumn("timestamp", stamp("timestamp"))
+    return combine_products(five_products(spark, folder)).drop("V_N_I").withColumn("timestamp", stamp("timestamp"))
 
 
 @query(
     "weather_long",
-    f"""WITH {OBS}, {sql_weather('a', 'click', 'F')}
-SELECT STATIONS_ID, {sql_stamp('timestamp')} AS timestamp, 'F' AS variable, F AS value FROM a UNION ALL
-SELECT STATIONS_ID, {sql_stamp('timestamp')}, 'D', F * 2 FROM a""",
+    f"WITH {OBS}, {sql_five()} "
+    + " UNION ALL ".join(
+        f"SELECT STATIONS_ID, {sql_stamp('timestamp')} AS timestamp, '{c}' AS variable, {c} AS value FROM five WHERE {c} IS NOT NULL" for c in _NUMBERS
+    ),
 )
 def _(spark, folder):
-    wind = weather(spark, folder, "click", "F").withColumn("D", F.col("F") * 2)
-    return weather_long({"wind": wind}).withColumn("timestamp", stamp("timestamp"))
+    return weather_long(five_products(spark, folder)).withColumn("timestamp", stamp("timestamp"))
 
 
 @query(
@@ -211,17 +212,18 @@ _CLOSEST = {"closestPerc": 5, "closestCloud": 4, "closestSun": 3, "closestWind":
 def _location_sql() -> str:
     columns = ", ".join(f"sensor_id % {k} AS {c}" for c, k in _CLOSEST.items())
     cells = ", ".join(f"round({sql_mean(f"CASE WHEN variable = '{v}' THEN value END")}, 8) AS {v}" for v in VARIABLES)
-    outer = ", ".join(f"round({sql_mean(f"CASE WHEN variable = '{v}' THEN value END")}, 8) AS {v}DWD" for v in VARIABLES[:2])
+    outer = ", ".join(f"round({sql_mean(f"CASE WHEN variable = '{v}' THEN value END")}, 8) AS {v}DWD" for v in VARIABLES)
+    names = ', '.join(f'{v}DWD' for v in VARIABLES)
     return f"""WITH {OBS}, sensors AS (SELECT DISTINCT sensor_id, sensor_id % 12 AS location, {columns} FROM obs),
 days AS (SELECT *, date_trunc('day', timestamp) AS t FROM obs),
 local AS (SELECT location, t, {cells} FROM days JOIN sensors USING (sensor_id) GROUP BY 1, 2),
 links AS (SELECT DISTINCT location, unnest([{', '.join(_CLOSEST)}]) AS station FROM sensors),
-weather AS (SELECT sensor_id % 6 AS station, t, variable, value FROM days WHERE variable = 'error'
-  OR (variable = 'click' AND timestamp >= TIMESTAMP '2024-01-05 00:00:00')),
+weather AS (SELECT sensor_id % 6 AS station, t, variable, value FROM days WHERE variable <> 'click'
+  OR timestamp >= TIMESTAMP '2024-01-05 00:00:00'),
 of_location AS (SELECT location, t, variable, value, min(t) OVER (PARTITION BY location, variable) AS a FROM weather JOIN links USING (station)),
 begun AS (SELECT location, max(a) AS start FROM of_location GROUP BY 1),
 dwd AS (SELECT location, t, {outer} FROM of_location JOIN begun USING (location) WHERE t >= start GROUP BY 1, 2)
-SELECT location, {sql_stamp('t')} AS timestamp, {', '.join(VARIABLES)}, clickDWD, errorDWD FROM local LEFT JOIN dwd USING (location, t)"""
+SELECT location, {sql_stamp('t')} AS timestamp, {', '.join(VARIABLES)}, {names} FROM local LEFT JOIN dwd USING (location, t)"""
 
 
 @query("location_wide", _location_sql())
@@ -232,9 +234,9 @@ def _(spark, folder):
         .distinct()
     )
     station = F.col("sensor_id") % 6
-    late = (F.col("variable") == "click") & (F.col("timestamp") >= F.lit("2024-01-05 00:00:00").cast("timestamp"))
-    readings = rows.where((F.col("variable") == "error") | late)
+    late = F.col("timestamp") >= F.lit("2024-01-05 00:00:00").cast("timestamp")
+    readings = rows.where((F.col("variable") != "click") | late)
     long = readings.select(station.alias("STATIONS_ID"), "timestamp", "variable", "value")
-    wide = location_wide(rows, dim, long, VARIABLES, VARIABLES[:2])
-    rounded = {c: F.round(c, 8) for c in [*VARIABLES, "clickDWD", "errorDWD"]}
+    wide = location_wide(rows, dim, long, VARIABLES, VARIABLES)
+    rounded = {c: F.round(c, 8) for c in [*VARIABLES, *[f"{v}DWD" for v in VARIABLES]]}
     return wide.withColumns({**rounded, "timestamp": stamp("timestamp")})

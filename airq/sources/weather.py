@@ -8,7 +8,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from airq import schemas
@@ -54,15 +54,21 @@ def stations_in_box(catalogue: DataFrame, box: Box) -> DataFrame:
     return catalogue.where(in_box("geoBreite", "geoLaenge", box))
 
 
-def read_archives(spark: SparkSession, root: str) -> DataFrame:
-    """Zip archives below ``root`` as ``(path, content)``, one row per file."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "stundenwerte_*.zip")
-        .load(root)
-        .select("path", "content")
-    )
+def _archive_files(spark: SparkSession) -> DataFrameReader:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "stundenwerte_*.zip")
+
+
+def read_archives(spark: SparkSession, root: str, stations: DataFrame | None = None) -> DataFrame:
+    """Zip archives below ``root`` as ``(path, content)``, one row per file.
+
+    With ``stations`` the listing is filtered by file name first, and only the archives of these stations are
+    read. The listing is the driver's own: it holds one name per file of a reader's load.
+    """
+    files = _archive_files(spark).load(root)
+    if stations is not None:
+        paths = [r["path"] for r in archives_of_stations(files.select("path"), stations).collect()]
+        files = _archive_files(spark).load(paths) if paths else files.limit(0)
+    return files.select("path", "content")
 
 
 def archives_of_stations(files: DataFrame, stations: DataFrame, path: str = "path", station: str = "Stations_id") -> DataFrame:
@@ -115,12 +121,15 @@ def rejected_archives(lines: DataFrame) -> DataFrame:
 
 
 def parse_product(lines: DataFrame, product: str, sentinels: tuple[float, ...] = (-999.0,)) -> DataFrame:
-    """Product rows: columns found by their header name, ``eor`` left out, sentinels null."""
+    """Product rows: columns found by their header name, ``eor`` left out, sentinels null.
+
+    A line with fewer cells than the header has nulls for the rest; blank lines are no rows.
+    """
     names = F.transform(F.split("header", ";"), lambda c: F.trim(c))
     cells = F.transform(F.split("line", ";"), lambda c: F.trim(c))
-    row = F.map_from_arrays(names, F.slice(cells, 1, F.size(names)))
+    row = F.map_from_arrays(names, F.transform(names, lambda c, i: F.try_element_at(cells, i + 1)))
     schema = schemas.product_schema(product)
-    ok = lines.where(F.col("error").isNull() & (F.size(cells) >= F.size(names))).withColumn("_row", row)
+    ok = lines.where(F.col("error").isNull() & (F.trim("line") != "")).withColumn("_row", row)
     typed = ok.select(
         "path", *[F.try_element_at("_row", F.lit(f.name)).try_cast(f.dataType.simpleString()).alias(f.name) for f in schema.fields]
     )
@@ -150,7 +159,7 @@ def read_product(spark: SparkSession, historical_root: str, recent_root: str, pr
     """One hourly product of the given stations from both tiers."""
     tiers = []
     for root in (historical_root, recent_root):
-        files = archives_of_stations(read_archives(spark, root), stations)
+        files = read_archives(spark, root, stations)
         tiers.append(parse_product(unpack_archives(files), product).drop("path"))
     return combine_tiers(*tiers)
 
