@@ -1,23 +1,22 @@
-"""Quality figures that need a model fit per series, by Arrow batches of sorted regular series.
+"""The spectral entropy of a series, by Arrow batches of sorted regular series, and all fitted figures together.
 
-The estimators are declared substitutes for those of statistics packages: Burg's recursion with an
-AIC order for the spectrum, a Gaussian kernel with the usual rule-of-thumb width, least squares for the ARCH
-regression, and a one-step squared-error search for the smoothing parameters.
+The spectrum is that of an autoregression (Burg's recursion, order by AIC): a declared substitute for the
+estimator of a statistics package. The recursion has no form in aggregates, so a task reads its series
+one after another; the other fitted figures are native (see ``kpi_models``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TILE = 48
-ARCH_LAGS = 24
-GRID_POINTS = 100
-BLOCK = 500
+from airq.operators.kpi_models import ARCH_LAGS, TILE, arch_statistic, holt_parameters, kl_shift
+from airq.operators.scale import lookup_join
 
 
 def longest_stretch(x: np.ndarray) -> np.ndarray:
@@ -69,94 +68,8 @@ def spectral_entropy(x: np.ndarray) -> float:
     return float(-(share * np.log(share)).sum() / np.log(len(share)))
 
 
-def kl_shift(x: np.ndarray, width: int = TILE) -> tuple[float, float]:
-    """Largest increase of the divergence between neighbouring windows, and its 1-based position.
-
-    The window ending at row t is compared with the one ending ``width - 1`` rows later; the position is
-    the t of the later of the two compared divergences. Rows are taken in blocks, so memory stays flat.
-    """
-    known = x[~np.isnan(x)]
-    if len(x) <= 2 * width or len(known) < 2 or np.ptp(known) == 0:
-        return float("nan"), float("nan")
-    grid = np.linspace(known.min(), known.max(), GRID_POINTS)
-    q75, q25 = np.percentile(known, [75, 25])
-    sd = known.std(ddof=1)
-    scale = min(sd, (q75 - q25) / 1.34) or sd
-    bandwidth = 0.9 * scale * len(known) ** -0.2
-    floor = np.exp(-0.5 * 38.0**2) / np.sqrt(2 * np.pi)
-
-    divergences = np.full(len(x), np.nan)
-    last = len(x) - 2 * (width - 1)
-    for begin in range(0, last, BLOCK):
-        rows = x[begin : begin + BLOCK + 2 * (width - 1)]
-        density = np.exp(-0.5 * ((grid - rows[:, None]) / bandwidth) ** 2) / (bandwidth * np.sqrt(2 * np.pi))
-        known_rows = ~np.isnan(rows)
-        density = np.where(known_rows[:, None], np.maximum(density, floor), 0.0)
-        sums = np.lib.stride_tricks.sliding_window_view(density, width, axis=0).sum(axis=-1)
-        counts = np.lib.stride_tricks.sliding_window_view(known_rows, width).sum(axis=-1)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            means = sums / counts[:, None]
-            earlier, later = means[: 1 - width], means[width - 1 :]
-            spread = (earlier * (np.log(earlier) - np.log(later))).sum(axis=1) * (grid[1] - grid[0])
-        divergences[begin + width - 1 : begin + width - 1 + len(spread)] = spread
-    steps = np.diff(divergences)
-    if not len(steps) or np.isnan(steps).all():
-        return float("nan"), float("nan")
-    at = int(np.nanargmax(steps))
-    return float(steps[at]), float(at + 2)
-
-
-def arch_statistic(x: np.ndarray, lags: int = ARCH_LAGS) -> float:
-    """R squared of the demeaned squares regressed on their own lags, complete rows only."""
-    squares = (x - np.nanmean(x)) ** 2 if not np.isnan(x).all() else x
-    if len(squares) <= lags + 1:
-        return float("nan")
-    windows = np.lib.stride_tricks.sliding_window_view(squares, lags + 1)
-    windows = windows[~np.isnan(windows).any(axis=1)]
-    if len(windows) <= lags + 1:
-        return float("nan")
-    target = windows[:, -1]
-    design = np.column_stack((np.ones(len(windows)), windows[:, :-1]))
-    fitted = design @ np.linalg.lstsq(design, target, rcond=None)[0]
-    total = float(((target - target.mean()) ** 2).sum())
-    return 1.0 - float(((target - fitted) ** 2).sum()) / total if total > 0 else float("nan")
-
-
-def holt_errors(x: np.ndarray, alpha: np.ndarray, beta: np.ndarray) -> np.ndarray:
-    """Sum of squared one-step errors for every pair of smoothing parameters at once."""
-    level = np.full(alpha.shape, x[0])
-    trend = np.full(alpha.shape, x[1] - x[0])
-    total = np.zeros(alpha.shape)
-    for value in x[1:]:
-        error = value - level - trend
-        total += error * error
-        level = level + trend + alpha * error
-        trend = trend + beta * error
-    return total
-
-
-def holt_parameters(x: np.ndarray) -> tuple[float, float]:
-    """Level and trend smoothing of an additive-trend smoother with the lowest squared error, beta at most alpha."""
-    x = longest_stretch(x)
-    if len(x) < 4 or np.ptp(x) == 0:
-        return float("nan"), float("nan")
-    centre, reach = (0.5, 0.5), 0.4999
-    for _ in range(6):
-        steps = np.linspace(-reach, reach, 11)
-        alpha, beta = np.meshgrid(centre[0] + steps, centre[1] + steps, indexing="ij")
-        alpha, beta = np.clip(alpha, 1e-4, 0.9999), np.clip(beta, 1e-4, 0.9999)
-        beta = np.minimum(alpha, beta)
-        errors = holt_errors(x, alpha, beta)
-        best = np.unravel_index(int(np.argmin(errors)), errors.shape)
-        centre, reach = (float(alpha[best]), float(beta[best])), reach * 0.25
-    return centre
-
-
-def fitted_kpis(
-    df: DataFrame, keys: list[str], value: str = "value", ts: str = "timestamp", width: int = TILE, lags: int = ARCH_LAGS
-) -> DataFrame:
-    """Entropy, divergence shift, ARCH statistic and smoothing parameters, one row per regular series."""
-    figures = ["entropy", "max_kl_shift", "max_kl_index", "arch_stat", "holt_alpha", "holt_beta"]
+def spectral_entropies(df: DataFrame, keys: list[str], value: str = "value", ts: str = "timestamp") -> DataFrame:
+    """``entropy`` of every regular series; null for a constant or too short one."""
     # Partitions are not merged by size here: the work is in the fits, not in the few bytes. A digest of the
     # keys keeps this shuffle apart from one by the keys themselves, which would be merged.
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -167,10 +80,7 @@ def fitted_kpis(
         .drop(ts)
     )
     types = dict(narrow.dtypes)
-    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), *(f"{f} double" for f in figures)])
-
-    def fit(key: tuple, x: np.ndarray) -> list:
-        return [*key, spectral_entropy(x), *kl_shift(x, width), arch_statistic(x, lags), *holt_parameters(x)]
+    schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "entropy double"])
 
     def fit_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Batches hold many short series or a piece of a long one; a task keeps one series at a time."""
@@ -180,14 +90,27 @@ def fitted_kpis(
             for next_key, rows in batch.groupby(keys, sort=False, dropna=False):
                 next_key = tuple(None if pd.isna(k) else k for k in next_key)
                 if next_key != key and pieces:
-                    found.append(fit(key, np.concatenate(pieces)))
+                    found.append([*key, spectral_entropy(np.concatenate(pieces))])
                     pieces = []
                 key = next_key
                 pieces.append(rows[value].to_numpy(dtype=float, na_value=np.nan))
             if found:
-                yield pd.DataFrame(found, columns=[*keys, *figures])
+                yield pd.DataFrame(found, columns=[*keys, "entropy"])
         if pieces:
-            yield pd.DataFrame([fit(key, np.concatenate(pieces))], columns=[*keys, *figures])
+            yield pd.DataFrame([[*key, spectral_entropy(np.concatenate(pieces))]], columns=[*keys, "entropy"])
 
     fitted = narrow.mapInPandas(fit_sorted, schema)
-    return fitted.select(*keys, *[F.nanvl(f, F.lit(None).cast("double")).alias(f) for f in figures])
+    return fitted.select(*keys, F.nanvl("entropy", F.lit(None).cast("double")).alias("entropy"))
+
+
+def fitted_kpis(
+    df: DataFrame, keys: list[str], value: str = "value", ts: str = "timestamp", width: int = TILE, lags: int = ARCH_LAGS
+) -> DataFrame:
+    """Entropy, divergence shift, ARCH statistic and smoothing parameters, one row per regular series."""
+    parts = [
+        spectral_entropies(df, keys, value, ts),
+        kl_shift(df, keys, value, ts, width),
+        arch_statistic(df, keys, value, ts, lags),
+        holt_parameters(df, keys, value, ts),
+    ]
+    return reduce(lambda a, b: lookup_join(a, b, keys, "inner", null_safe=True), parts)

@@ -12,6 +12,7 @@ from airq.operators.kpi_fit import fitted_kpis
 from airq.operators.resample import HOUR, bin_means, gap_fill, unpivot_measures
 from airq.operators.scale import lookup_join
 from airq.operators.series import sensor_dimension
+from airq.session import materialise
 
 HOURLY_MEASURES = ["P1", "P2", "humidity", "temperature"]
 SERIES_KEYS = ["location", "sensor_type", "sensor_id", "variable"]
@@ -31,11 +32,14 @@ def long_table(hourly: DataFrame, last_day: str | None = None, min_rows: int = 2
 
 
 def series_kpis(long: DataFrame, sensors: DataFrame, width: int = 48, lags: int = 24) -> DataFrame:
-    """All 19 figures per location, sensor type, sensor and variable."""
-    labelled = lookup_join(long, sensors.select("sensor_id", "location", "sensor_type"), ["sensor_id"], "inner")
-    return native_kpis(labelled, SERIES_KEYS, width=width).join(
-        fitted_kpis(labelled, SERIES_KEYS, width=width, lags=lags), SERIES_KEYS
-    )
+    """All 19 figures per location, sensor type, sensor and variable; null labels are values like others.
+
+    The long table is written once, as several passes read it.
+    """
+    labels = sensors.select("sensor_id", "location", "sensor_type")
+    labelled = materialise(lookup_join(long, labels, ["sensor_id"], "inner", null_safe=True))
+    native = native_kpis(labelled, SERIES_KEYS, width=width)
+    return lookup_join(native, fitted_kpis(labelled, SERIES_KEYS, width=width, lags=lags), SERIES_KEYS, "inner", null_safe=True)
 
 
 def sensor_kpis(observations: DataFrame, last_day: str | None = None, min_rows: int = 200) -> DataFrame:

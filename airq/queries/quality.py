@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from airq.operators import kpi
+from airq.operators import kpi, kpi_models
 from airq.operators.clean import keep_usable, scale_by_maximum, usable_sensors
-from airq.operators.kpi_fit import fitted_kpis
+from airq.operators.kpi_fit import fitted_kpis, spectral_entropies
 from airq.operators.quality import describe, first_ranked, first_seen_order, null_report, rmse
 from airq.operators.scale import exact_quantiles
-from airq.queries.base import HOURS, OBS, ORACLES, half_day_series, hourly_series, observations, query, sql_stamp, stamp, table
+from airq.queries.base import HALF_DAYS, HOURS, OBS, ORACLES, half_day_series, hourly_series, observations, query, sql_stamp, stamp, table
 
 # Rows of a tile: hours of two days for the native figures, half days of five for the fitted ones.
 WIDTH = 48
@@ -208,18 +208,81 @@ def _(spark, folder):
     return _rounded(_rounded(_rounded(found, "acf1", places=8), "lumpiness", places=4), "max_var_shift", places=2)
 
 
-@query("kpi_fitted_all")
+_P = "OVER (PARTITION BY sensor_id)"
+_FIT = f"""WITH RECURSIVE {HALF_DAYS}, v AS (SELECT sensor_id, timestamp, CAST(value AS DOUBLE) AS x FROM series),
+every AS (SELECT DISTINCT sensor_id FROM v)"""
+
+
+def _arch_sql(lags: int) -> str:
+    """The lags made orthogonal one after another, as in the operator."""
+    names = [f"c{k}" for k in range(lags + 1)]
+    steps = [
+        f"squares AS (SELECT sensor_id, timestamp, pow(x - avg(x) {_P}, 2) AS c0 FROM v)",
+        "lagged AS (SELECT sensor_id, c0, "
+        + ", ".join(f"lag(c0, {k}) OVER (PARTITION BY sensor_id ORDER BY timestamp) AS c{k}" for k in range(1, lags + 1))
+        + " FROM squares)",
+        f"g0 AS (SELECT sensor_id, c0 - avg(c0) {_P} AS y, {', '.join(f'{c} - avg({c}) {_P} AS {c}' for c in names)} FROM lagged "
+        f"WHERE {' AND '.join(f'{c} IS NOT NULL' for c in names)})",
+    ]
+    for k in range(1, lags + 1):
+        left = ["c0", *names[k + 1 :]]
+        cells = ", ".join(f"{c} - coalesce(sum({c} * c{k}) {_P} / nullif(sum(c{k} * c{k}) {_P}, 0), 0) * c{k} AS {c}" for c in left)
+        steps.append(f"g{k} AS (SELECT sensor_id, y, {cells} FROM g{k - 1})")
+    return (
+        f"{_FIT}, {', '.join(steps)}, r AS (SELECT sensor_id, CASE WHEN count(*) > {lags + 1} THEN 1 - sum(c0 * c0) / nullif(sum(y * y), 0) END AS a "
+        f"FROM g{lags} GROUP BY 1) SELECT sensor_id, round(a, 6) AS arch_stat FROM every LEFT JOIN r USING (sensor_id)"
+    )
+
+
+@query("kpi_arch", _arch_sql(FIT_LAGS))
 def _(spark, folder):
-    return fitted_kpis(half_day_series(spark, folder), KEY, width=FIT_WIDTH, lags=FIT_LAGS)
+    return _rounded(kpi_models.arch_statistic(half_day_series(spark, folder), KEY, lags=FIT_LAGS), "arch_stat")
+
+
+@query(
+    "kpi_holt",
+    f"""{_FIT}, r AS (SELECT *, sum(CASE WHEN x IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY sensor_id ORDER BY timestamp) AS run FROM v),
+c AS (SELECT sensor_id, run, count(*) AS n FROM r WHERE x IS NOT NULL GROUP BY 1, 2),
+b AS (SELECT sensor_id, arg_max(run, (n, -run)) AS run FROM c GROUP BY 1),
+p AS (SELECT sensor_id, x, row_number() OVER (PARTITION BY sensor_id ORDER BY timestamp) AS pos FROM r JOIN b USING (sensor_id, run) WHERE x IS NOT NULL),
+ok AS (SELECT sensor_id, max(pos) AS last, max(x) FILTER (pos = 1) AS x1, max(x) FILTER (pos = 2) AS x2 FROM p GROUP BY 1 HAVING count(*) >= 4 AND min(x) < max(x)),
+pairs AS (SELECT i / CAST(20 AS DOUBLE) AS a, j / CAST(20 AS DOUBLE) AS b FROM range(1, 20) t(i), range(1, 20) u(j) WHERE j <= i),
+fold AS (SELECT sensor_id, CAST(1 AS BIGINT) AS pos, a, b, x1 AS level, x2 - x1 AS trend, CAST(0 AS DOUBLE) AS sse FROM ok, pairs
+  UNION ALL SELECT sensor_id, pos, a, b, level + trend + a * e, trend + b * e, sse + e * e
+  FROM (SELECT f.sensor_id, p.pos, a, b, level, trend, sse, p.x - level - trend AS e FROM fold f JOIN p ON p.sensor_id = f.sensor_id AND p.pos = f.pos + 1)),
+best AS (SELECT f.sensor_id, arg_min(a, (sse, a, b)) AS holt_alpha, arg_min(b, (sse, a, b)) AS holt_beta
+  FROM fold f JOIN ok ON ok.sensor_id = f.sensor_id AND f.pos = ok.last GROUP BY 1)
+SELECT sensor_id, holt_alpha, holt_beta FROM every LEFT JOIN best USING (sensor_id)""",
+)
+def _(spark, folder):
+    return kpi_models.holt_parameters(half_day_series(spark, folder), KEY)
 
 
-for _name, _columns in {
-    "kpi_entropy": ["entropy"],
-    "kpi_kl_shift": ["max_kl_shift", "max_kl_index"],
-    "kpi_arch": ["arch_stat"],
-    "kpi_holt": ["holt_alpha", "holt_beta"],
-}.items():
+@query(
+    "kpi_kl_shift",
+    f"""{_FIT}, n AS (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY timestamp) AS pos FROM v),
+f AS (SELECT sensor_id, min(x) AS lo, max(x) AS hi, count(x) AS known, count(*) AS n, stddev_samp(x) AS sd,
+  (quantile_cont(x, 0.75) - quantile_cont(x, 0.25)) / CAST(1.34 AS DOUBLE) AS iqr FROM n GROUP BY 1),
+h AS (SELECT sensor_id, lo, (hi - lo) / 99 AS gap, CAST(0.9 AS DOUBLE) * CASE WHEN least(sd, iqr) > 0 THEN least(sd, iqr) ELSE sd END
+  * pow(CAST(known AS DOUBLE), -0.2) AS h FROM f WHERE n > {2 * FIT_WIDTH} AND known >= 2 AND hi > lo),
+d AS (SELECT sensor_id, pos, g, gap, CASE WHEN x IS NOT NULL THEN greatest(exp(-0.5 * pow((lo + g * gap - x) / h, 2)) / (h * sqrt(2 * pi())), {kpi_models.FLOOR!r}) END AS d
+  FROM n JOIN h USING (sensor_id), range(100) t(g)),
+m AS (SELECT *, CASE WHEN pos >= {FIT_WIDTH} THEN avg(d) OVER (PARTITION BY sensor_id, g ORDER BY pos ROWS {FIT_WIDTH - 1} PRECEDING) END AS m FROM d),
+t AS (SELECT sensor_id, pos, m * (ln(m) - ln(lead(m, {FIT_WIDTH - 1}) OVER (PARTITION BY sensor_id, g ORDER BY pos))) * gap AS t FROM m),
+k AS (SELECT sensor_id, pos, CASE WHEN count(t) = 100 THEN sum(t) END AS k FROM t GROUP BY 1, 2),
+s AS (SELECT sensor_id, pos, k - lag(k) OVER (PARTITION BY sensor_id ORDER BY pos) AS s FROM k),
+r AS (SELECT sensor_id, max(s) AS s, CAST(arg_min(pos, (-round(s, 9), pos)) FILTER (s IS NOT NULL) AS DOUBLE) AS pos FROM s GROUP BY 1)
+SELECT sensor_id, round(s, 6) AS max_kl_shift, pos AS max_kl_index FROM every LEFT JOIN r USING (sensor_id)""",
+)
+def _(spark, folder):
+    return _rounded(kpi_models.kl_shift(half_day_series(spark, folder), KEY, width=FIT_WIDTH), "max_kl_shift")
+
+
+@query("kpi_entropy")
+def _(spark, folder):
+    return spectral_entropies(half_day_series(spark, folder), KEY)
+
 
-    @query(_name)
-    def _(spark, folder, columns=tuple(_columns)):
-        return fitted_kpis(half_day_series(spark, folder), KEY, width=FIT_WIDTH, lags=FIT_LAGS).select("sensor_id", *columns)
+@query("kpi_fitted_all")
+def _(spark, folder):
+    return fitted_kpis(half_day_series(spark, folder), KEY, width=FIT_WIDTH, lags=FIT_LAGS)

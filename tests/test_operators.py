@@ -216,15 +216,6 @@ def test_fitted_figures():
     wave = np.sin(np.arange(400) / 5) + 0.01 * noise
     assert kpi_fit.spectral_entropy(noise) > 0.95 > kpi_fit.spectral_entropy(wave)
     assert math.isnan(kpi_fit.spectral_entropy(np.full(20, 3.0)))
-    alpha, beta = kpi_fit.holt_parameters(np.cumsum(noise))
-    assert alpha > 0.7 and beta <= alpha
-    arch = np.zeros(600)
-    for t in range(1, 600):
-        arch[t] = rng.normal() * math.sqrt(0.2 + 0.8 * arch[t - 1] ** 2)
-    assert kpi_fit.arch_statistic(arch) > kpi_fit.arch_statistic(rng.normal(size=600))
-    x = np.concatenate((rng.normal(0, 1, 150), rng.normal(6, 1, 150)))
-    shift, index = kpi_fit.kl_shift(x)
-    assert shift > 0 and 48 <= index <= 300
     assert np.array_equal(kpi_fit.longest_stretch(np.array([1, np.nan, 2, 3, np.nan])), [2, 3])
 
 
@@ -237,22 +228,53 @@ def test_fitted_kpis_over_batches(spark):
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
     try:
-        found = {r.sensor_id: r for r in kpi_fit.fitted_kpis(df, ["sensor_id"], width=10, lags=4).collect()}
+        found = {r.sensor_id: r for r in kpi_fit.spectral_entropies(df, ["sensor_id"]).collect()}
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
     assert set(found) == set(data)
     for k, x in data.items():
-        assert math.isclose(found[k].entropy, kpi_fit.spectral_entropy(x)) and math.isclose(found[k].arch_stat, kpi_fit.arch_statistic(x, 4))
-        assert math.isclose(found[k].max_kl_shift, kpi_fit.kl_shift(x, 10)[0])
+        assert math.isclose(found[k].entropy, kpi_fit.spectral_entropy(x))
 
 
-def test_kl_shift_in_blocks_equals_rows(monkeypatch):
+def test_model_figures_against_numpy(spark):
     rng = np.random.default_rng(6)
-    x = np.concatenate((rng.normal(0, 1, 90), rng.normal(4, 2, 90)))
-    x[[5, 60, 100]] = np.nan
-    whole = kpi_fit.kl_shift(x, 12)
-    monkeypatch.setattr(kpi_fit, "BLOCK", 7)
-    assert np.allclose(kpi_fit.kl_shift(x, 12), whole)
+    data = {1: rng.normal(size=120), 2: np.cumsum(rng.normal(size=90)), None: np.concatenate((rng.normal(0, 1, 60), rng.normal(6, 1, 60))), 4: np.full(30, 2.0)}
+    data[1][[30, 31, 80]] = np.nan
+    rows = [(k, hours(i), None if np.isnan(v) else float(v)) for k, x in data.items() for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "sensor_id int, timestamp timestamp, value double")
+    found = {r.sensor_id: r for r in kpi_fit.fitted_kpis(df, ["sensor_id"], width=10, lags=3).collect()}
+    assert set(found) == set(data)
+    for k, x in data.items():
+        squares = (x - np.nanmean(x)) ** 2
+        windows = np.lib.stride_tricks.sliding_window_view(squares, 4)
+        windows = windows[~np.isnan(windows).any(axis=1)]
+        if k == 4:
+            assert found[k].arch_stat is None and found[k].holt_alpha is None and found[k].max_kl_shift is None
+            continue
+        design, target = np.column_stack((np.ones(len(windows)), windows[:, :-1])), windows[:, -1]
+        residual = target - design @ np.linalg.lstsq(design, target, rcond=None)[0]
+        assert math.isclose(found[k].arch_stat, 1 - (residual**2).sum() / ((target - target.mean()) ** 2).sum(), rel_tol=1e-6, abs_tol=1e-9)
+        stretch = kpi_fit.longest_stretch(x)
+
+        def sse(a, b):
+            level, trend, total = stretch[0], stretch[1] - stretch[0], 0.0
+            for v in stretch[1:]:
+                e = v - level - trend
+                total, level, trend = total + e * e, level + trend + a * e, trend + b * e
+            return total
+
+        grid = [(a / 20, b / 20) for a in range(1, 20) for b in range(1, a + 1)]
+        assert (found[k].holt_alpha, found[k].holt_beta) == min(grid, key=lambda p: (sse(*p), p))
+        known = x[~np.isnan(x)]
+        points = np.linspace(known.min(), known.max(), 100)
+        q75, q25 = np.percentile(known, [75, 25])
+        h = 0.9 * min(known.std(ddof=1), (q75 - q25) / 1.34) * len(known) ** -0.2
+        density = np.exp(-0.5 * ((points - x[:, None]) / h) ** 2) / (h * np.sqrt(2 * np.pi))
+        density = np.where(np.isnan(x)[:, None], np.nan, np.maximum(density, np.exp(-0.5 * 38.0**2) / np.sqrt(2 * np.pi)))
+        means = np.array([np.nanmean(density[i : i + 10], axis=0) for i in range(len(x) - 9)])
+        divergence = (means[:-9] * (np.log(means[:-9]) - np.log(means[9:]))).sum(axis=1) * (points[1] - points[0])
+        steps = np.diff(divergence)
+        assert math.isclose(found[k].max_kl_shift, steps.max(), rel_tol=1e-6) and found[k].max_kl_index == steps.argmax() + 11
 
 
 # ---- series and features ----
