@@ -20,6 +20,7 @@ All steps are exact: no pair of different components stays untested unless a fil
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -140,7 +141,7 @@ def prefix_postings(docs: DataFrame, levels, mean: float, settings: Settings) ->
                 grams = np.concatenate([s[:k] for s, k in zip(sets, taken)])
                 at = np.arange(len(row)) - np.repeat(np.cumsum(taken) - taken, taken)
                 spread = salts[(grams >> np.uint64(56)).astype(np.int64)]
-                where = np.array([hash(i) & 0xFFFF for i in part.column(0).to_pylist()], dtype=np.int64)
+                where = np.array([zlib.crc32(str(i).encode()) for i in part.column(0).to_pylist()], dtype=np.int64)
                 salt = np.where(spread > 1, 1 + where[row] % spread, 0)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -159,43 +160,52 @@ def prefix_postings(docs: DataFrame, levels, mean: float, settings: Settings) ->
 def shared_members(postings: DataFrame) -> DataFrame:
     """Rows of n-grams that several documents share, each with the first document of its run (the pivot).
 
-    Runs are read as a stream, so a run of any length needs the memory of one batch. A salted n-gram keeps
-    all its rows.
+    Of a run of two only the second row is sent (``many`` is false), of a longer one all rows, of a salted
+    n-gram all rows of all runs. Runs are read as a stream: a task holds one batch and the first rows of a run.
     """
     kind = dict(postings.dtypes)["doc"]
-    names = ["gram", "salt", "doc", "n", "at", "pivot", "pivot_n", "pivot_at"]
+    names = ["gram", "salt", "doc", "n", "at", "pivot", "pivot_n", "pivot_at", "many"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, first = None, None  # the last row, not yet sent; the first row of its run
+        held = None  # the rows of the last run, as long as they are fewer than three
+        head = None  # the first row of the last run, once rows of it were sent
         for batch in _then_none(b for b in batches if b.num_rows):
-            if batch is None:
-                if held is not None and (first is not held or held["salt"][0].as_py()):
-                    yield _with_pivots(held, [first], np.zeros(1, dtype=np.int64), names)
+            tables = [t for t in (head, held, batch and pa.Table.from_batches([batch])) if t is not None]
+            if not tables:
                 return
-            table = pa.Table.from_batches([batch])
-            rows = table if held is None else pa.concat_tables([held, table])
-            gram = rows["gram"].to_numpy()
-            salt = rows["salt"].to_numpy()
+            rows = pa.concat_tables(tables)
+            gram, salt = rows["gram"].to_numpy(), rows["salt"].to_numpy()
             new = np.ones(len(gram), dtype=bool)
             new[1:] = (gram[1:] != gram[:-1]) | (salt[1:] != salt[:-1])
-            new[0] = held is None or first is held
             starts = np.flatnonzero(new)
-            # run starts as rows; index 0 is the pivot of rows that continue an older run
-            pivots = [rows.slice(0, 1) if first is None or new[0] else first, rows.take(pa.array(starts))]
-            run_of = np.cumsum(new)
-            shared = ~new
-            shared[:-1] |= ~new[1:]
-            shared |= salt > 0
-            send = np.flatnonzero(shared[:-1])
-            if len(send):
-                yield _with_pivots(rows.take(pa.array(send)), pivots, run_of[send], names)
-            held = rows.slice(len(rows) - 1, 1).combine_chunks()
-            first = held if new[-1] else (pivots[1].slice(int(run_of[-1]) - 1, 1) if run_of[-1] else first)
+            sizes = np.diff(np.append(starts, len(gram)))
+            run_of = np.cumsum(new) - 1
+            many = (sizes > 2) | (salt[starts] > 0)
+            if head is not None:
+                many[0] = True
+            send = many[run_of] | (~new & (sizes == 2)[run_of])
+            if head is not None:
+                send[0] = False  # this row was sent with its run's first rows
+            last = int(starts[-1])
+            short = batch is not None and not many[-1]
+            if short:
+                send[last:] = False
+            at = np.flatnonzero(send)
+            if len(at):
+                pivots = rows.select(["doc", "n", "at"]).take(pa.array(starts[run_of[at]]))
+                columns = [*rows.take(pa.array(at)).columns, *pivots.columns, pa.chunked_array([pa.array(many[run_of[at]])])]
+                yield pa.table(columns, names=names).combine_chunks().to_batches()[0]
+            if batch is None:
+                return
+            held = rows.slice(last).combine_chunks() if short else None
+            head = None if short else rows.slice(last, 1).combine_chunks()
 
     return (
         postings.repartition("gram", "salt")
         .sortWithinPartitions("gram", "salt", "doc")
-        .mapInArrow(run, f"gram long, salt int, doc {kind}, n int, at int, pivot {kind}, pivot_n int, pivot_at int")
+        .mapInArrow(
+            run, f"gram long, salt int, doc {kind}, n int, at int, pivot {kind}, pivot_n int, pivot_at int, many boolean"
+        )
     )
 
 
@@ -204,12 +214,6 @@ def _then_none(items):
     yield None
 
 
-def _with_pivots(rows: pa.Table, pivots: list[pa.Table], run_of: np.ndarray, names: list[str]) -> pa.RecordBatch:
-    heads = pa.concat_tables(pivots).select(["doc", "n", "at"]).take(pa.array(run_of))
-    table = pa.table([*rows.columns, *heads.columns], names=names).combine_chunks()
-    return table.to_batches()[0]
-
-
 def plausible(n, at, other_n, other_at, settings: Settings):
     """Length and positional filter as a column: may two sets with this common n-gram be alike enough?"""
     lengths = F.least(n, other_n) * 100 >= F.greatest(n, other_n) * settings.percent
@@ -303,29 +307,29 @@ def suffix_filter(pairs: DataFrame, sketches: DataFrame, settings: Settings) ->
 
 def verify(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     """Those ``(a, b)`` that link, by the full sets of their texts."""
-    ids = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct()
-    texts = pick(docs, ids, settings)
-    side = lambda s: texts.select(F.col("_id").alias(s), F.col("_text").alias(f"t_{s}"))
     kind = dict(pairs.dtypes)["a"]
 
+    def side(s: str) -> DataFrame:
+        texts = pick(docs, pairs.select(F.col(s).alias("_id")).distinct(), settings)
+        return texts.select(F.col("_id").alias(s), F.col("_text").alias(f"t_{s}"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, None)  # rows come sorted by b: a pivot's set is made once
         for batch in batches:
             keep = []
-            for b, s, t in zip(*(batch.column(c).to_pylist() for c in ("b", "t_a", "t_b"))):
-                if last[0] != (b, t):
-                    last = ((b, t), np.unique(shingle_hashes([(t or "").encode()], settings.width)[0]))
-                other = np.unique(shingle_hashes([(s or "").encode()], settings.width)[0])
-                common = len(np.intersect1d(last[1], other, assume_unique=True))
-                keep.append(100 * common >= settings.percent * (len(other) + len(last[1]) - common))
+            for s, t in zip(*(batch.column(c).to_pylist() for c in ("t_a", "t_b"))):
+                x, y = map(np.unique, shingle_hashes([(s or "").encode(), (t or "").encode()], settings.width))
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * common >= settings.percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
 def rest_candidates(members: DataFrame, labels: DataFrame, sketches: DataFrame, settings: Settings) -> DataFrame:
     """Distinct pairs of different components that share a prefix n-gram and pass all filters."""
-    tagged = members.select("gram", "doc", "n", "at").join(labels, F.col("doc") == F.col("node"), "left")
+    several = members.where("many").select("gram", "doc", "n", "at")
+    few = labels.count() <= settings.broadcast_ids
+    tagged = several.join(F.broadcast(labels) if few else labels, F.col("doc") == F.col("node"), "left")
     tagged = tagged.select("gram", "doc", "n", "at", F.coalesce("component", "doc").alias("part"))
     mixed_runs = (
         tagged.groupBy("gram")
@@ -338,18 +342,27 @@ def rest_candidates(members: DataFrame, labels: DataFrame, sketches: DataFrame,
     rows = rows.select(
         "gram", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "doc", "n", "at", "part"
     )
-    rows = rows.join(sketches.select(F.col("_id").alias("doc"), "sketch"), "doc")
     kind = dict(members.dtypes)["doc"]
 
+    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _runs(batches, ["gram", "i", "j"]):
+            found = np.unique(np.concatenate(compare_all(group, settings)))
+            if len(found):
+                yield group.take(pa.array(found)).combine_chunks().to_batches()[0]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _runs(batches, ["gram", "i", "j"]):
             a, b = compare_all(group, settings)
             docs = group["doc"].combine_chunks()
             yield pa.RecordBatch.from_arrays([docs.take(pa.array(a)), docs.take(pa.array(b))], ["x", "y"])
 
-    found = (
-        rows.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j").mapInArrow(run, f"x {kind}, y {kind}")
-    )
+    def by_run(df: DataFrame) -> DataFrame:
+        return df.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j")
+
+    # sketches go only with rows that have a partner by length and place
+    alive = by_run(rows).mapInArrow(partners, rows.schema)
+    alive = alive.join(sketches.select(F.col("_id").alias("doc"), "sketch"), "doc")
+    found = by_run(alive).mapInArrow(run, f"x {kind}, y {kind}")
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -376,35 +389,40 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
 def compare_all(group: pa.Table, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Indices of the pairs in a run (of two blocks: across them) that pass every filter.
 
-    Sizes of a pair differ by less than a third, so sets with as many bins or twice as many meet.
+    Pairs of one component are passed over. Without a column ``sketch`` the suffix filter is left out. Sizes of
+    a pair differ by less than a third, so sets with as many bins or twice as many meet.
     """
     n, at = group["n"].to_numpy().astype(np.int64), group["at"].to_numpy().astype(np.int64)
     part = pc.dictionary_encode(group["part"].combine_chunks()).indices.to_numpy()
     mine = group["mine"].to_numpy()
     across = group["i"][0].as_py() != group["j"][0].as_py()
-    raw = [np.frombuffer(s, dtype=np.uint64) for s in group["sketch"].to_pylist()]
-    words = np.array([len(r) for r in raw])
+    with_sketch = "sketch" in group.column_names
+    raw = [np.frombuffer(s, dtype=np.uint64) for s in group["sketch"].to_pylist()] if with_sketch else []
+    words = np.array([len(r) for r in raw]) if with_sketch else np.ones(len(n), dtype=np.int64)
     left, right = [], []
     for w in np.unique(words):
         rows = np.flatnonzero(words == w)
         near = np.flatnonzero((words == w) | (words == 2 * w))
-        stack = np.concatenate([fold(raw[i][None], w) for i in near])
-        own = np.searchsorted(near, rows)
+        if with_sketch:
+            stack = np.concatenate([fold(raw[i][None], w) for i in near])
+            own = np.searchsorted(near, rows)
         step = max(1, 2_000_000 // (len(near) * int(w)))
         for k in range(0, len(rows), step):
-            x, sx = rows[k : k + step, None], stack[own[k : k + step]]
+            x = rows[k : k + step, None]
             total = n[x] + n[near]
             need = settings.overlap(total)
             fits = (part[x] != part[near]) & (np.minimum(n[x], n[near]) * 100 >= np.maximum(n[x], n[near]) * settings.percent)
-            fits &= np.minimum(at[x], at[near]) + 1 + np.minimum(n[x] - at[x], n[near] - at[near]) - 1 >= need
+            fits &= np.minimum(at[x], at[near]) + np.minimum(n[x] - at[x], n[near] - at[near]) >= need
             fits &= (words[near] != w) | (near > x)
             if across:
                 fits &= mine[x] != mine[near]
             i, j = np.nonzero(fits)
-            apart = np.bitwise_count(sx[i] ^ stack[j]).sum(1, dtype=np.int64)
-            ok = apart <= total[i, j] - 2 * need[i, j]
-            left.append(rows[k + i[ok]])
-            right.append(near[j[ok]])
+            if with_sketch:
+                apart = np.bitwise_count(stack[own[k + i]] ^ stack[j]).sum(1, dtype=np.int64)
+                ok = apart <= total[i, j] - 2 * need[i, j]
+                i, j = i[ok], j[ok]
+            left.append(rows[k + i])
+            right.append(near[j])
     return np.concatenate(left), np.concatenate(right)
 
 
@@ -431,9 +449,8 @@ def jaccard_components(
     table, mean = count_levels(named, settings.width)
     levels = spark.sparkContext.broadcast(table)
     members = materialise(shared_members(prefix_postings(single, levels, mean, settings)))
-    sketches = materialise(
-        sketches_of(pick(single, members.select(F.col("doc").alias("_id")).distinct(), settings), settings.width)
-    )
+    shared = members.select(F.explode(F.array("doc", "pivot")).alias("_id")).distinct()
+    sketches = materialise(sketches_of(pick(single, shared, settings), settings.width))
     first = materialise(suffix_filter(pivot_candidates(members, settings), sketches, settings))
     links = materialise(verify(first, named, settings))
     rest = rest_candidates(members, connected_components(links), sketches, settings)

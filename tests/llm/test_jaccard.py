@@ -91,14 +91,14 @@ def test_query_finds_the_same_as_an_index_of_all_ngrams(spark, folder):
 
 
 def test_runs_are_read_alike_in_batches_of_any_size(spark):
-    rows = [(1, 0, 5, 9, 0), (2, 0, 1, 9, 1), (2, 0, 3, 9, 2), (2, 0, 8, 9, 0), (3, 2, 4, 9, 0), (4, 0, 6, 9, 0), (4, 0, 7, 9, 0)]
+    rows = [(1, 0, 5, 9, 0), (2, 0, 1, 9, 1), (2, 0, 3, 9, 2), (2, 0, 8, 9, 0), (2, 0, 9, 9, 0), (3, 2, 4, 9, 0), (4, 0, 6, 9, 0), (4, 0, 7, 9, 0), (5, 0, 1, 9, 0)]
     df = spark.createDataFrame(rows, "gram long, salt int, doc long, n int, at int").coalesce(1)
-    expected = [(2, 1, 1), (2, 3, 1), (2, 8, 1), (3, 4, 4), (4, 6, 6), (4, 7, 6)]
+    expected = [(2, 1, 1, True), (2, 3, 1, True), (2, 8, 1, True), (2, 9, 1, True), (3, 4, 4, True), (4, 7, 6, False)]
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     try:
         for size in ("1", "2", "3", "100"):
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
-            got = jj.shared_members(df).select("gram", "doc", "pivot").collect()
+            got = jj.shared_members(df).select("gram", "doc", "pivot", "many").collect()
             assert sorted(map(tuple, got)) == expected, size
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
