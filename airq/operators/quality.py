@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airq.functions.stats import mean
-from airq.operators.scale import exact_quantiles, global_order, keep_keys, lookup_join
+from airq.operators.scale import exact_quantiles, exact_quantiles_by, global_order, keep_keys, lookup_join
 
 
 def counted_keys(df: DataFrame, keys: list[str], more_than: int = 0) -> DataFrame:
@@ -89,6 +89,24 @@ def describe(df: DataFrame, column: str, probabilities: tuple[float, ...] = (0.2
     return base.withColumn("_q", packed).select("*", *[F.col(f"_q.{n}").alias(n) for n in names]).drop("_q")
 
 
+def describe_table(df: DataFrame, columns: list[str], probabilities: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """One row per numeric column: count, nulls, mean, sample deviation, extremes and exact quartiles."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column", "value")
+    base = long.groupBy("column").agg(
+        F.count("value").alias("n"),
+        F.sum(F.col("value").isNull().cast("long")).alias("nulls"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("sd"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    names = {p: f"p{round(100 * p)}" for p in probabilities}
+    wide = exact_quantiles_by(long, "column", "value", list(probabilities)).groupBy("column").agg(
+        *[F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(n) for p, n in names.items()]
+    )
+    return lookup_join(base, wide, ["column"])
+
+
 def null_report(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row telling for each column whether it has a null (or NaN)."""
 

@@ -98,36 +98,50 @@ def global_order(df: DataFrame, order: list[Column], name: str = "position") ->
 
 
 def exact_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> DataFrame:
-    """Exact interpolated quantiles of one column as rows ``(probability, quantile)``.
+    """Exact interpolated quantiles of one column as rows ``(probability, quantile)``."""
+    single = df.select(F.lit(0).alias("_one"), F.col(column))
+    found = exact_quantiles_by(single, "_one", column, probabilities)
+    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
+    asked = df.sparkSession.range(1).select(wanted)
+    return asked.join(found.drop("_one"), "probability", "left")
 
-    Equal values are counted before the sort, so copies of one value cost one row.
+
+def exact_quantiles_by(df: DataFrame, key: str, column: str, probabilities: list[float]) -> DataFrame:
+    """Exact interpolated quantiles of one column per key, as rows ``(key, probability, quantile)``.
+
+    Equal values are counted before the sort, so copies of one value cost one row. One range sort by key and
+    value serves all keys; a key with most of the rows is spread over many ranges. Nulls do not count.
     """
     counted = (
         df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("_v"))
+        .groupBy(key, F.col(column).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    ranged = materialise(counted.orderBy("_v").withColumn("_range", F.spark_partition_id()))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = materialise(counted.orderBy(key, "_v").withColumn("_range", F.spark_partition_id()))
+    before = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.groupBy("_range")
+        ranged.groupBy(key, "_range")
         .agg(F.sum("_n").alias("_m"))
-        .select("_range", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_before"))
+        .select(
+            key,
+            "_range",
+            F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_before"),
+            F.sum("_m").over(Window.partitionBy(key)).alias("_total"),
+        )
     )
-    upto = Window.partitionBy("_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    running = ranged.withColumn("_upto", F.sum("_n").over(upto)).join(F.broadcast(offsets), "_range")
-    total = ranged.agg(F.sum("_n")).scalar()
+    upto = Window.partitionBy("_range", key).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    running = ranged.withColumn("_upto", F.sum("_n").over(upto)).join(offsets, [key, "_range"])
     reached = F.col("_before") + F.col("_upto")
     picks = []
     for i, p in enumerate(probabilities):
-        rank = (total - 1) * F.lit(float(p))
+        rank = (F.col("_total") - 1) * F.lit(float(p))
         picks.append(F.min(F.when(reached > F.floor(rank), F.col("_v"))).alias(f"_lo{i}"))
         picks.append(F.min(F.when(reached > F.ceil(rank), F.col("_v"))).alias(f"_hi{i}"))
-    row = running.agg(*picks, F.max(reached).alias("_total"))
+    row = running.groupBy(key).agg(*picks, F.max("_total").alias("_total"))
     items = []
     for i, p in enumerate(probabilities):
         rank = (F.col("_total") - 1) * F.lit(float(p))
         share = rank - F.floor(rank)
         value = F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * share
         items.append(F.struct(F.lit(float(p)).alias("probability"), value.alias("quantile")))
-    return row.select(F.inline(F.array(*items)))
+    return row.select(key, F.inline(F.array(*items)))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from airq.operators import kpi, kpi_models
 from airq.operators.clean import keep_usable, scale_by_maximum, usable_sensors
 from airq.operators.kpi_fit import fitted_kpis, spectral_entropies
-from airq.operators.quality import describe, first_ranked, first_seen_order, null_report, rmse
+from airq.operators.quality import describe, describe_table, first_ranked, first_seen_order, null_report, rmse
 from airq.operators.scale import exact_quantiles
+from airq.plans.heatmap import heatmap_table
 from airq.queries.base import HALF_DAYS, HOURS, OBS, ORACLES, half_day_series, hourly_series, observations, query, sql_stamp, stamp, table
 
 # Rows of a tile: hours of two days for the native figures, half days of five for the fitted ones.
@@ -93,6 +94,36 @@ def _(spark, folder):
     return found.withColumns({**rounded, "min": F.col("min").cast("double"), "max": F.col("max").cast("double")})
 
 
+_DESCRIBED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query(
+    "describe_table",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(v) AS n, count(*) - count(v) AS nulls, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS sd, min(v) AS min, max(v) AS max,
+round(quantile_cont(v, 0.25), 6) AS p25, round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.75), 6) AS p75
+FROM (SELECT CASE WHEN l_linenumber <> 3 THEN {c} END AS v FROM lineitem)"""
+        for c in _DESCRIBED
+    ),
+)
+def _(spark, folder):
+    rows = table(spark, folder, "lineitem").select(*[F.when(F.col("l_linenumber") != 3, F.col(c)).alias(c) for c in _DESCRIBED])
+    return _rounded(describe_table(rows, _DESCRIBED), "mean", "sd", "p25", "p50", "p75")
+
+
+@query(
+    "heatmap_table",
+    f"""WITH {OBS}, seen AS (SELECT sensor_id, row_number() OVER (ORDER BY min(timestamp), sensor_id) AS position FROM obs GROUP BY 1),
+clean AS (SELECT event_id, sensor_id, timestamp, CASE WHEN value >= 20 THEN CAST(value AS DOUBLE) - 20 END AS v FROM obs)
+SELECT event_id, CASE WHEN m <> 0 THEN v / m END AS value, {sql_stamp('first')} AS minDate, position
+FROM (SELECT *, max(v) OVER (PARTITION BY sensor_id) AS m, min(timestamp) OVER (PARTITION BY sensor_id) AS first FROM clean) JOIN seen USING (sensor_id)""",
+)
+def _(spark, folder):
+    """The chain of a heatmap: negative values out, scaled by the sensor, placed by its first appearance."""
+    rows = observations(spark, folder).select("event_id", "sensor_id", "timestamp", (F.col("value").cast("double") - 20).alias("value"))
+    return heatmap_table(rows).select("event_id", "value", stamp("minDate").alias("minDate"), "position")
+
+
 @query(
     "exact_quantiles",
     """SELECT unnest([0.1, 0.333, 0.9]) AS probability, round(unnest(quantile_cont(o_totalprice, [0.1, 0.333, 0.9])), 6) AS quantile FROM orders"""
