@@ -273,8 +273,12 @@ def identify_language(
     )
 
 
-def keep_known(docs: DataFrame, model: LanguageModel, text_column: str = "text", at_least: float = 0.5) -> DataFrame:
-    """Rows whose text has a language with a score of ``at_least`` that much, with all their columns."""
+def keep_known(docs: DataFrame, model: LanguageModel, text_column: str = "text", at_least: float = 0.3) -> DataFrame:
+    """Rows whose text has a language with a score of ``at_least`` that much, with all their columns.
+
+    A text of two or three learned languages has no score near one, yet each of its parts is known; the
+    default lets it pass and rejects texts without letters and those that are like no learned language.
+    """
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_column)
 
