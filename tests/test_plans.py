@@ -52,7 +52,9 @@ def test_small_weather_is_broadcast_and_pruned(spark, sf):
 
 
 def test_filters_reach_the_scan(spark, sf):
-    text = plan_of(spark.read.parquet(f"{sf}/events.parquet").where("event_type = 'view'").select("event_id"))
+    from airq.queries.base import observations as events
+
+    text = plan_of(events(spark, sf).where("variable = 'view'").select("event_id"))
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,view)]" in text
 
 
