@@ -14,7 +14,8 @@ first ``n - ceil(t * n) + 1`` of each, so only these prefix n-grams are joined.
 4. Linked documents get components. Pairs of one component need no further test; runs that still hold
    several are compared in full, in blocks of bounded size, with the same filters and verification.
 
-All steps are exact: no pair of different components stays untested unless a filter proves it unlike.
+All steps are exact: two linked documents share a run at their first common prefix n-gram, where no filter
+rejects them, so they are tested there unless they already have one component.
 """
 
 from __future__ import annotations
@@ -215,12 +216,14 @@ def _then_none(items):
 
 
 def plausible(n, at, other_n, other_at, settings: Settings):
-    """Length and positional filter as a column: may two sets with this common n-gram be alike enough?"""
+    """Length and positional filter as a column: may two sets whose first common n-gram this is be alike enough?
+
+    Taken for every common n-gram: a pair that fails at a later one is still met at its first.
+    """
     lengths = F.least(n, other_n) * 100 >= F.greatest(n, other_n) * settings.percent
     total = (n + other_n).cast("long")
     needed = F.ceil(total * settings.percent / F.lit(100.0 + settings.percent) - F.lit(1e-9))
-    most = F.least(at, other_at) + 1 + F.least(n - at - 1, other_n - other_at - 1)
-    return lengths & (most >= needed)
+    return lengths & (F.least(n - at, other_n - other_at) >= needed)
 
 
 def pivot_candidates(members: DataFrame, settings: Settings) -> DataFrame:
@@ -389,7 +392,7 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
 def compare_all(group: pa.Table, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Indices of the pairs in a run (of two blocks: across them) that pass every filter.
 
-    Pairs of one component are passed over. Without a column ``sketch`` the suffix filter is left out. Sizes of
+    Pairs of one component are passed over. The positional filter is that of ``plausible``. Without a column ``sketch`` the suffix filter is left out. Sizes of
     a pair differ by less than a third, so sets with as many bins or twice as many meet.
     """
     n, at = group["n"].to_numpy().astype(np.int64), group["at"].to_numpy().astype(np.int64)
@@ -412,7 +415,7 @@ def compare_all(group: pa.Table, settings: Settings) -> tuple[np.ndarray, np.nda
             total = n[x] + n[near]
             need = settings.overlap(total)
             fits = (part[x] != part[near]) & (np.minimum(n[x], n[near]) * 100 >= np.maximum(n[x], n[near]) * settings.percent)
-            fits &= np.minimum(at[x], at[near]) + np.minimum(n[x] - at[x], n[near] - at[near]) >= need
+            fits &= np.minimum(n[x] - at[x], n[near] - at[near]) >= need
             fits &= (words[near] != w) | (near > x)
             if across:
                 fits &= mine[x] != mine[near]
