@@ -49,7 +49,7 @@ def run(spark, name: str, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "1"))
     names = sys.argv[1:] or HEADLINE
     if names == ["all"]:
         names = list(QUERIES)
