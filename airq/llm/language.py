@@ -121,7 +121,7 @@ def counted(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray, np.nda
     key, n = np.unique(row.astype(np.int64) << bits | ids, return_counts=True)
     total = np.bincount(row, minlength=len(texts))
     starts = np.searchsorted(key >> bits, np.arange(len(texts) + 1))
-    return key & ((1 << bits) - 1), n / total[key >> bits], starts
+    return (key & ((1 << bits) - 1)).astype(np.int32), (n / total[key >> bits]).astype(np.float32), starts
 
 
 def document_frequencies(texts: DataFrame, bits: int) -> tuple[np.ndarray, int]:
@@ -167,9 +167,9 @@ def train(
     aside = rng.random(len(texts)) < settings.calibration_share
     learn = np.flatnonzero(~aside) if (~aside).any() else np.arange(len(texts))
     each = []
-    for at in range(0, len(texts), 200):
-        ids, share, starts = counted(texts[at : at + 200], settings.bits)
-        value = share * idf[ids] * SCALE
+    for at in range(0, len(texts), 50):
+        ids, share, starts = counted(texts[at : at + 50], settings.bits)
+        value = (share * idf[ids] * SCALE).astype(np.float32)
         each += [(ids[a:b], value[a:b]) for a, b in zip(starts[:-1], starts[1:])]
 
     def current(ids: np.ndarray) -> np.ndarray:

@@ -110,7 +110,7 @@ def weights_of(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray, np.
     key, where = np.unique(np.concatenate(keys), return_inverse=True)
     share = np.bincount(where, np.concatenate(shares)).astype(np.float32)
     starts = np.searchsorted(key >> bits, np.arange(len(texts) + 1))
-    return key & ((1 << bits) - 1), share, starts
+    return (key & ((1 << bits) - 1)).astype(np.int32), share, starts
 
 
 def train(texts: list[str], labels: np.ndarray, settings: Settings = Settings()) -> QualityModel:
@@ -124,7 +124,7 @@ def train(texts: list[str], labels: np.ndarray, settings: Settings = Settings())
     bias = np.zeros(2, dtype=np.float32)
     if len(np.unique(labels)) < 2:
         return QualityModel(settings.bits, vectors @ layer, bias)
-    rows = [weights_of(texts[i : i + 200], settings.bits) for i in range(0, len(texts), 200)]
+    rows = [weights_of(texts[i : i + 50], settings.bits) for i in range(0, len(texts), 50)]
     each = [(ids[a:b], share[a:b]) for ids, share, at in rows for a, b in zip(at[:-1], at[1:])]
     per_class = np.bincount(labels, minlength=2)
     weight = (len(labels) / 2 / per_class).astype(np.float32)
