@@ -444,7 +444,8 @@ def jaccard_components(
     named = docs.where(F.col("_id").isNotNull())
     digests = materialise(set_digests(docs, settings.width))
     filled = digests.where((F.col("n") > 0) & F.col("_id").isNotNull())
-    nodes = filled.groupBy("digest", "n").agg(F.min("_id").alias("node"))
+    # written out, so that a join with it reads two plain shuffles and a text with many copies can be split
+    nodes = materialise(filled.groupBy("digest", "n").agg(F.min("_id").alias("node")))
     copies = materialise(
         filled.join(nodes, ["digest", "n"]).where(F.col("_id") != F.col("node")).select("_id").distinct()
     )
