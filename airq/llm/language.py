@@ -25,6 +25,10 @@ SAMPLE_PER_LANGUAGE = 1000
 UNDETERMINED = "und"
 # A tf-idf value is the share of an n-gram in its text times its idf times this.
 SCALE = 64.0
+# An n-gram is known if it occurs in that share of a language's sampled rows (in one of them at least).
+KNOWN_SHARE = 0.005
+# The unknown share that a text may always have, and how far it may exceed what its language's own rows have.
+ALLOWED_FLOOR, ALLOWED_FACTOR = 0.02, 1.5
 
 
 @dataclass(frozen=True)
@@ -42,13 +46,17 @@ class Settings:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``weights[bucket]`` already holds the idf; ``languages`` are sorted."""
+    """``weights[bucket]`` already holds the idf; ``languages`` are sorted.
+
+    ``allowed[bucket]`` is the share of unknown n-grams that goes with a known one, -1 for an unknown one.
+    """
 
     languages: list[str]
     bits: int
     weights: np.ndarray
     bias: np.ndarray
     temperature: float
+    allowed: np.ndarray
 
     def logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Scores per text and language before calibration, and whether the text has a letter."""
@@ -70,6 +78,25 @@ class LanguageModel:
         names = [self.languages[i] if k else UNDETERMINED for i, k in zip(best, known)]
         return names, np.where(known, p[np.arange(len(texts)), best], 0.0)
 
+    def covers(self, texts: list[str]) -> np.ndarray:
+        """Whether the n-grams of each text are those of learned languages; True for all if none was learned.
+
+        A text may have as many unknown n-grams as the languages of its known ones allow, and two standard
+        deviations more, so that a short text is not rejected by one odd word. Scores are not used: they
+        compare the learned languages with each other and say nothing of any other.
+        """
+        if not self.languages:
+            return np.ones(len(texts), dtype=bool)
+        parts, rows = blocks(texts)
+        known = self.allowed >= 0
+        table = np.stack([known, np.where(known, self.allowed, 0.0)], axis=1)
+        sums, counts = np.zeros((len(texts), 2)), np.zeros(len(texts))
+        for ids, starts in grams(parts, self.bits):
+            np.add.at(sums, rows, segment_sums(table[ids], starts))
+            np.add.at(counts, rows, np.diff(np.append(starts, len(ids))))
+        expected = sums[:, 1] / np.maximum(sums[:, 0], 1) * counts
+        return (counts > 0) & (counts - sums[:, 0] <= expected + 2 * np.sqrt(expected))
+
 
 def softmax(scores: np.ndarray) -> np.ndarray:
     e = np.exp(scores - scores.max(1, keepdims=True))
@@ -162,7 +189,7 @@ def train(
     z, n = np.zeros((buckets, k)), np.zeros((buckets, k))
     bias = np.zeros(k)
     if not texts:
-        return LanguageModel([], settings.bits, z, bias, 1.0)
+        return LanguageModel([], settings.bits, z, bias, 1.0, np.full(buckets, -1.0, dtype=np.float32))
     rng = np.random.default_rng(settings.seed)
     aside = rng.random(len(texts)) < settings.calibration_share
     learn = np.flatnonzero(~aside) if (~aside).any() else np.arange(len(texts))
@@ -196,11 +223,38 @@ def train(
             n[ids] += g * g
             bias -= 0.05 * p.mean(0)
     weights = current(np.arange(buckets)) * idf[:, None]
-    model = LanguageModel(languages, settings.bits, weights.astype(np.float32), bias, 1.0)
+    allowed = allowed_unknown(each, idf, labels, k)
+    model = LanguageModel(languages, settings.bits, weights.astype(np.float32), bias, 1.0, allowed)
     held = np.flatnonzero(aside) if aside.any() else learn
     logits, known = model.logits([texts[i] for i in held])
     temperature = calibrate(logits[known], labels[held][known])
-    return LanguageModel(languages, settings.bits, model.weights, bias, temperature)
+    return LanguageModel(languages, settings.bits, model.weights, bias, temperature, allowed)
+
+
+def allowed_unknown(each: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, labels: np.ndarray, k: int) -> np.ndarray:
+    """Per bucket, the share of unknown n-grams its language's texts may have; -1 where no language knows it.
+
+    A language's limit comes from its own rows, each compared with all rows but itself, so it does not depend on
+    the number of languages and is wide for one with few rows. A bucket counts for the language with most of it.
+    """
+    rows_with = np.zeros((len(idf), k))
+    for (ids, _), c in zip(each, labels):
+        rows_with[ids, c] += 1
+    n_rows = np.bincount(labels, minlength=k)
+    level = np.maximum(1, np.ceil(KNOWN_SHARE * n_rows))
+    unknown = np.zeros(len(each))
+    for row, ((ids, value), c) in enumerate(zip(each, labels)):
+        others = rows_with[ids]
+        others[:, c] -= 1
+        odd = ~(others >= level).any(1)
+        unknown[row] = (value[odd] / (idf[ids[odd]] * SCALE)).sum()
+    long = np.array([len(ids) >= 50 for ids, _ in each])
+    limits = np.zeros(k)
+    for c in range(k):
+        own = (labels == c) & long if ((labels == c) & long).any() else labels == c
+        limits[c] = max(ALLOWED_FLOOR, ALLOWED_FACTOR * np.quantile(unknown[own], 0.99))
+    home = (rows_with / n_rows).argmax(1)
+    return np.where((rows_with >= level).any(1), limits[home], -1.0).astype(np.float32)
 
 
 def calibrate(logits: np.ndarray, labels: np.ndarray) -> float:
@@ -273,11 +327,11 @@ def identify_language(
     )
 
 
-def keep_known(docs: DataFrame, model: LanguageModel, text_column: str = "text", at_least: float = 0.3) -> DataFrame:
-    """Rows whose text has a language with a score of ``at_least`` that much, with all their columns.
+def keep_known(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
+    """Rows whose text consists of learned languages, one or several of them, with all their columns.
 
-    A text of two or three learned languages has no score near one, yet each of its parts is known; the
-    default lets it pass and rejects texts without letters and those that are like no learned language.
+    Texts without letters and those of other languages go (see ``LanguageModel.covers``). If no language was
+    learned all rows stay.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_column)
@@ -285,7 +339,6 @@ def keep_known(docs: DataFrame, model: LanguageModel, text_column: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in byte_slices(batch, place):
-                _, score = shipped.value.predict(texts_of(part, place))
-                yield part.filter(pa.array(score >= at_least))
+                yield part.filter(pa.array(shipped.value.covers(texts_of(part, place))))
 
     return docs.mapInArrow(run, docs.schema)

@@ -83,3 +83,26 @@ def test_scores_in_slices_equal_scores_one_by_one():
     texts = ["good words", "", "BAD!!", "x " * 40, "good BAD!! words"]
     assert np.allclose(model.scores(texts), [model.scores([t])[0] for t in texts])
     assert model.scores(["good words here"])[0] > 0.5 > model.scores(["BAD!! BAD!!"])[0]
+
+
+@pytest.mark.parametrize("learned", [("de", "en", "es"), ("de", "fr"), ("es",)], ids=" ".join)
+def test_texts_of_an_unlearned_language_go(spark, sf, learned):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("length(text) >= 500")
+    model = language.fit_language(docs.where(docs.lang.isin(*learned)))
+    stay = {r.doc_id for r in language.keep_known(docs, model).collect()}
+    rows = docs.select("doc_id", "lang").collect()
+    assert np.mean([r.doc_id in stay for r in rows if r.lang in learned]) > 0.97
+    assert np.mean([r.doc_id in stay for r in rows if r.lang not in learned]) < 0.05
+
+
+def test_texts_of_two_learned_languages_stay(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("length(text) between 500 and 3000")
+    model = language.fit_language(docs)
+    some = {k: [r.text for r in docs.where(docs.lang == k).orderBy("doc_id").limit(20).collect()] for k in ("de", "fr")}
+    assert model.covers([f"{a}\n{b}" for a, b in zip(some["de"], some["fr"])]).all()
+
+
+def test_without_a_learned_language_all_rows_stay(spark):
+    df = spark.createDataFrame(EDGES, "doc_id long, text string, score string")
+    empty = language.fit_language(df.selectExpr("doc_id", "text", "cast(null as string) as lang"))
+    assert language.keep_known(df, empty).count() == len(EDGES)
