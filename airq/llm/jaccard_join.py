@@ -28,7 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airq.llm.common import byte_slices
@@ -114,14 +114,40 @@ def set_digests(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in byte_slices(batch, "_text"):
-                sets = [np.unique(h) for h in shingle_hashes(texts_of(part), width)]
-                digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-                sizes = pa.array(list(map(len, sets)), pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), sizes, pa.array(digests)], ["_id", "n", "digest"])
+                yield pa.RecordBatch.from_arrays([part.column(0), *digests_of(texts_of(part), width)], ["_id", "n", "digest"])
 
     return docs.mapInArrow(run, f"_id {_kind(docs)}, n long, digest binary")
 
 
+def digests_of(texts: list[bytes], width: int) -> tuple[pa.Array, pa.Array]:
+    sets = [np.unique(h) for h in shingle_hashes(texts, width)]
+    digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+    return pa.array(list(map(len, sets)), pa.int64()), pa.array(digests, pa.binary())
+
+
+def plain_key() -> Column:
+    return F.concat(F.lit("="), F.col("_id").cast("string"))
+
+
+def text_key() -> Column:
+    """A key for rows of one id and one set only."""
+    return F.concat(F.lit("#"), F.hex("digest"), plain_key())
+
+
+def keyed_texts(docs: DataFrame, mixed: DataFrame, settings: Settings) -> DataFrame:
+    """``(_id, _text)`` with keys as ids: of the text for the ids in ``mixed(_id)``, plain ones for the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in byte_slices(batch, "_text"):
+                digests = digests_of(texts_of(part), settings.width)[1]
+                yield pa.RecordBatch.from_arrays([*part.columns, digests], ["_id", "_text", "digest"])
+
+    told = pick(docs, mixed, settings).select("_id", "_text").mapInArrow(run, f"_id {_kind(docs)}, _text string, digest binary")
+    others = without(docs, mixed, settings).select(plain_key().alias("_id"), "_text")
+    return others.unionByName(told.select(text_key().alias("_id"), "_text"))
+
+
 def _kind(docs: DataFrame) -> str:
     return docs.schema["_id"].dataType.simpleString()
 
@@ -439,14 +465,35 @@ def jaccard_components(
     n-gram and stay alone, as do rows with a null id (their component is null). Rows of one text have one
     component, whatever their ids; other columns are not read.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
+    placed, _ = row_components(docs, settings)
+    return placed.select(F.col("_id").alias(id_column), F.col("n").alias("n_shingles"), "component_id")
+
+
+def row_components(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """``(_id, n, digest, part, component_id)`` of each row of ``docs(_id, _text)``, and the ids of several rows with words.
+
+    ``part`` is the linked group, ``component_id`` its least id; two groups have one ``component_id`` if texts
+    that do not link share it. Ids are the nodes as long as each has one set; otherwise texts of the ids with
+    several get keys of their own, and the documents are read once more for that.
+    """
+    spark = docs.sparkSession
     named = docs.where(F.col("_id").isNotNull())
     digests = materialise(set_digests(docs, settings.width))
-    filled = digests.where((F.col("n") > 0) & F.col("_id").isNotNull())
-    nodes = filled.groupBy("digest", "n").agg(F.min("_id").alias("node"))
+    again = materialise(digests.where("n > 0").groupBy("_id").count().where("count > 1").select("_id"))
+    rows, mixed = digests.withColumn("key", F.col("_id")), None
+    if not again.isEmpty():
+        sets = pick(digests.where("n > 0"), again, settings).groupBy("_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b"))
+        mixed = materialise(sets.where("a <> b").select("_id"))
+        mixed = None if mixed.isEmpty() else mixed
+    if mixed is not None:
+        told = digests.join(mixed.withColumn("mixed", F.lit(True)), "_id", "left")
+        rows = told.withColumn("key", F.when(F.col("mixed"), text_key()).otherwise(plain_key())).drop("mixed")
+        named = keyed_texts(named, mixed, settings)
+    filled = rows.where((F.col("n") > 0) & F.col("key").isNotNull())
+    nodes = filled.groupBy("digest", "n").agg(F.min("key").alias("node"))
     copies = materialise(
-        filled.join(nodes, ["digest", "n"]).where(F.col("_id") != F.col("node")).select("_id").distinct()
+        filled.join(nodes, ["digest", "n"]).where(F.col("key") != F.col("node")).select(F.col("key").alias("_id")).distinct()
     )
     single = without(named, copies, settings)
     table, mean = count_levels(named, settings.width)
@@ -460,12 +507,15 @@ def jaccard_components(
     rest = materialise(rest.join(first, ["a", "b"], "left_anti"))
     links = links.unionByName(verify(rest, named, settings))
     parts = connected_components(links)
-    placed = digests.join(nodes, ["digest", "n"], "left").join(parts, "node", "left")
-    return placed.select(
-        F.col("_id").alias(id_column),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("_id").isNotNull(), F.coalesce("component", "node", "_id")).alias("component_id"),
+    placed = rows.join(nodes, ["digest", "n"], "left").join(parts, "node", "left")
+    placed = placed.select(
+        "_id", "n", "digest", F.when(F.col("_id").isNotNull(), F.coalesce("component", "node", "key")).alias("part")
     )
+    if mixed is None:
+        return placed.withColumn("component_id", F.col("part")), again
+    placed = materialise(placed)
+    least = placed.where("part is not null").groupBy("part").agg(F.min("_id").alias("component_id"))
+    return placed.join(least, "part", "left").select("_id", "n", "digest", "part", "component_id"), again
 
 
 def one_of_each(

@@ -143,3 +143,16 @@ def test_compare_all_meets_neighbouring_sketch_sizes():
     found = {(min(x, y), max(x, y)) for x, y in zip(a.tolist(), b.tolist())}
     expected = {(i, j) for i, j in combinations(range(5), 2) if 100 * len(sets[i]) >= 75 * len(sets[j])}
     assert expected <= found
+
+
+@pytest.mark.parametrize("settings", WAYS, ids=["default", "small blocks and salts, no broadcast", "single salts"])
+def test_repeated_ids_with_several_texts(spark, settings):
+    base = [f"w{i}" for i in range(30)]
+    near = " ".join([*base[:-1], "other"])
+    rows = [(3, " ".join(base)), (7, " ".join(base)), (7, near.replace("w", "v")), (5, near.replace("w", "v") + " x"), (2, "q r s t u v w")]
+    rows += [(2, near), (9, "a b c d e f"), (9, "a b c d e f"), (9, None), (8, "A b c d e f"), (7, "q r s t u v w"), (None, near)]
+    # ids of one text after another, each linked to another document
+    rows += [(i % 5, t) for i, (_, t) in enumerate(corpus(3, 6, 6))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((tuple(r) for r in jj.jaccard_components(df, settings=settings).collect()), key=str)
+    assert got == by_hand(rows)
