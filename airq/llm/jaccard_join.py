@@ -30,6 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from airq.llm.common import byte_slices
 from airq.llm.graph import connected_components
@@ -521,13 +522,46 @@ def row_components(docs: DataFrame, settings: Settings) -> tuple[DataFrame, Data
 def one_of_each(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
-    """Rows of ``docs`` that stay when each linked group keeps its least id, with all their columns.
+    """Rows of ``docs`` that stay when each linked group keeps one row, of its least id, with all their columns.
 
-    Rows without an id or without words stay. Of repeated rows of the kept id one stays.
+    Rows without words stay. Of repeated rows of the kept id one stays: of several texts the one with the least
+    digest, of several rows of it the least. Rows without an id are in no group; of those with equal sets one
+    stays, the least. Only rows of ids that several rows with words have are shuffled for that.
     """
-    found = jaccard_components(docs, id_column, text_column, settings)
-    away = materialise(
-        found.where(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("_id")).distinct()
-    )
+    pair = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
+    found, again = row_components(pair, settings)
+    found = materialise(found)
+    away = materialise(found.where("_id <> component_id").select("_id").distinct())
     few = away.count() <= settings.broadcast_ids
-    return docs.join(F.broadcast(away) if few else away, docs[id_column] == away["_id"], "left_anti")
+    rest = docs
+    n_again = again.count()
+    if n_again:
+        some = F.broadcast(again) if n_again <= settings.broadcast_ids else again
+        rest = docs.join(some, docs[id_column].eqNullSafe(some["_id"]), "left_anti")
+    left = rest.join(F.broadcast(away) if few else away, rest[id_column] == away["_id"], "left_anti")
+    if not n_again:
+        return left
+    kept = found.join(some, found["_id"].eqNullSafe(some["_id"]), "left_semi").where("n > 0")
+    sets = kept.where("_id = component_id").groupBy("_id", "part").agg(F.min("digest").alias("digest"))
+    sets = sets.select("_id", "digest").unionByName(kept.where("_id is null").select("_id", "digest").distinct())
+    repeated = with_sets(docs.join(some, docs[id_column].eqNullSafe(some["_id"]), "left_semi"), text_column, settings)
+    worded = repeated.where("_n > 0")
+    worded = worded.join(sets, worded[id_column].eqNullSafe(sets["_id"]) & (worded["_digest"] == sets["digest"]), "left_semi")
+    order = [text_column, *(f.name for f in docs.schema if "map<" not in f.dataType.simpleString() and f.name != text_column)]
+    least = F.min_by(F.struct(*docs.columns), F.struct(*order))
+    single = worded.groupBy(F.col(id_column).alias("_key"), "_digest").agg(least.alias("_row")).select("_row.*")
+    return left.unionByName(repeated.where("_n = 0").select(*docs.columns)).unionByName(single)
+
+
+def with_sets(docs: DataFrame, text_column: str, settings: Settings) -> DataFrame:
+    """``docs`` with the size and digest of each text's set as ``_n`` and ``_digest``."""
+    place = docs.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in byte_slices(batch, place):
+                texts = [t or b"" for t in part.column(place).cast(pa.binary()).to_pylist()]
+                found = digests_of(texts, settings.width)
+                yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, "_n", "_digest"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_n", LongType()), StructField("_digest", BinaryType())]))

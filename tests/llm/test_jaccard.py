@@ -156,3 +156,21 @@ def test_repeated_ids_with_several_texts(spark, settings):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = sorted((tuple(r) for r in jj.jaccard_components(df, settings=settings).collect()), key=str)
     assert got == by_hand(rows)
+
+
+@pytest.mark.parametrize("broadcast_ids", [1_000_000, 0])
+def test_one_row_of_each_group_stays(spark, broadcast_ids):
+    base = " ".join(f"w{i}" for i in range(30))
+    rows = [(9, "a b c d e"), (9, "A b c d e"), (9, "a b c d e"), (10, "a b c d e"), (9, None), (9, None)]
+    rows += [(4, base), (4, base + " x"), (5, base + " x"), (4, "q r s t u v"), (3, "q r s t u v"), (3, "other words of this id here")]
+    rows += [(None, "one two"), (None, "One two"), (None, base), (None, None), (None, ""), (2, "one two")]
+    df = spark.createDataFrame([(*r, {"k": 1}) for r in rows], "doc_id long, text string, extra map<string,int>").repartition(3)
+    left = jj.one_of_each(df, settings=jj.Settings(broadcast_ids=broadcast_ids))
+    assert left.columns == df.columns
+    got = sorted((r.doc_id or 0, (r.text or "").lower()) for r in left.collect())
+    one = [t for k, t in got if k == 4]
+    assert one in ([base], [base + " x"])
+    assert [r for r in got if r[0] != 4] == sorted(
+        [(9, "a b c d e"), (9, ""), (9, ""), (3, "q r s t u v"), (3, "other words of this id here")]
+        + [(0, "one two"), (0, base), (0, ""), (0, ""), (2, "one two")]
+    )
