@@ -24,10 +24,12 @@ from airq.session import materialise
 BROADCAST_HOSTS = 200_000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript template svg math object".split())
+RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript".split())
+# Elements of other vocabularies: "/>" closes them, their own tags are passed over, tags of blocks end them.
+FOREIGN = frozenset(("svg", "math"))
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label map mark q rp rt ruby s samp small "
-    "span strike strong sub sup time tt u var wbr br".split()
+    "span strike strong sub sup time tt u var wbr br svg math object param foreignobject".split()
 )
 MAIN = frozenset(("article", "main"))
 # Parts of a page that are never its main text: by tag, by role, by a word of class or id.
@@ -52,6 +54,7 @@ CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figure figcaption footer form h1 h2 h3 h4 h5 h6 header hr "
     "main menu nav ol pre section table ul".split()
 )
+ENDS_FOREIGN = CLOSES_P | frozenset("p li dd dt tr td th body br center head img span".split())
 
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:-->|--!>|\Z))"
@@ -115,7 +118,7 @@ def parse(source: str) -> Page:
     page = Page()
     elements, stack = page.elements, [0]
     parts: list[str] = []
-    links, link_depth, at = 0, 0, 0
+    links, link_depth, pictures, at = 0, 0, 0, 0
 
     def flush() -> None:
         nonlocal links
@@ -127,16 +130,17 @@ def parse(source: str) -> Page:
         links = 0
 
     def close(upto: int) -> None:
-        nonlocal link_depth
+        nonlocal link_depth, pictures
         if any(elements[i].tag not in INLINE for i in stack[upto:]):
             flush()
         for i in stack[upto:]:
             link_depth -= elements[i].tag == "a"
+            pictures -= elements[i].tag == "svg"
         del stack[upto:]
 
     def add(text: str) -> None:
         nonlocal links
-        if text:
+        if text and not pictures:
             text = html.unescape(text) if "&" in text else text
             parts.append(text)
             if link_depth:
@@ -163,6 +167,14 @@ def parse(source: str) -> Page:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(source, at)
             at = end.start() if end else size
             continue
+        rest = token["rest"] or token["rest2"] or ""
+        if elements[stack[-1]].tag in FOREIGN and tag not in FOREIGN:
+            if tag in ENDS_FOREIGN:
+                close(len(stack) - 1)
+            elif tag != "foreignobject" or rest.endswith("/"):
+                continue
+        if tag in FOREIGN and rest.endswith("/"):
+            continue
         if tag == "br":
             parts.append(" ")
             continue
@@ -173,12 +185,11 @@ def parse(source: str) -> Page:
                 if open_tag in shut:
                     close(depth)
                     break
-                if open_tag in SCOPE:
+                if open_tag in SCOPE or open_tag in ("object", "foreignobject"):
                     break
             flush()
         if tag in VOID:
             continue
-        rest = token["rest"] or token["rest2"] or ""
         values = {}
         for m in _ATTRIBUTE.finditer(rest):
             values.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
@@ -189,6 +200,7 @@ def parse(source: str) -> Page:
         elements.append(Element(tag, label, parent, elements[parent].aside or is_aside(tag, values), main))
         stack.append(len(elements) - 1)
         link_depth += tag == "a"
+        pictures += tag == "svg"
     flush()
     return page
 

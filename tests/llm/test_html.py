@@ -60,3 +60,18 @@ def test_consensus_of_a_host_beats_one_odd_page(spark):
         assert by[0] == ARTICLE * 3 and by[5] == "tiny" and by[6] == by[7] == ARTICLE * 4
         assert by[8] == by[9] == ""
     assert html_text.extract_text(df.limit(0)).collect() == []
+
+
+def test_text_around_pictures_formulas_and_objects():
+    cases = {
+        "<article><p>a <svg class='i'/> b</p><p>c</p></article>": "a b\nc",
+        "<article><p>a <svg><title>t</title><text x='1'>no</text></svg> b</p></article>": "a b",
+        "<article><p>a <svg><path d='M0'> no</p><p>c <svg><p>d</article>": "a\nc\nd",
+        "<p>if <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then</p>": "if x=1 then",
+        "<p>a <math display='block'/> b</p>": "a b",
+        "<article><object data='q'><p>instead of it</p><p>more</article>": "instead of it\nmore",
+        "<article><p>a <object data='q'><param name='x'>instead</object> b</p></article>": "a instead b",
+        "<p>a<svg><foreignObject><div>no</div></foreignObject></svg></p><p>b</p>": "a\nb",
+        "<p>a<script>if (x < 1) '<p>'</script><noscript><p>no</p></noscript></p>": "a",
+    }
+    assert {k: text(k) for k in cases} == cases
