@@ -42,6 +42,10 @@ ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox adslot sponsor sponsored sponsors promo promotion "
     "form login search comment comments commentlist disqus discussion replies reply respond share sharing social".split()
 )
+# Marks that name a wrapper of the whole page less often than a part of it.
+ASIDE_WORDS_STRONG = frozenset("comment comments commentlist disqus discussion replies reply respond".split())
+# How many times the text outside it a part marked as aside must hold to be taken for a wrapper.
+WRAPPER_TIMES = 9
 # A word behind one of these says what a wrapper has, not what it is.
 HAVING = frozenset("has with no without is".split())
 # An opening tag closes an open element of these kinds that is not shut off by another container.
@@ -74,15 +78,17 @@ class Element:
     tag: str
     label: str
     parent: int
-    aside: bool
+    mark: int
+    named: bool
     main: bool
+    aside: bool = False
 
 
 @dataclass
 class Page:
     """Elements in document order (0 is the root) and blocks of text ``(element, tag of the block, text, link characters)``."""
 
-    elements: list[Element] = field(default_factory=lambda: [Element("", "", -1, False, False)])
+    elements: list[Element] = field(default_factory=lambda: [Element("", "", -1, 0, False, False)])
     blocks: list[tuple[int, str, str, int]] = field(default_factory=list)
 
     def lies_on(self, at: int, labels: list[str]) -> bool:
@@ -101,16 +107,69 @@ class Page:
         return ">".join(reversed(labels))
 
 
-def is_aside(tag: str, values: dict[str, str]) -> bool:
-    if tag in ("html", "body", *MAIN):
-        return False
-    if tag in ASIDE_TAGS or values.get("role", "").lower() in ASIDE_ROLES:
-        return True
+def marked_words(values: dict[str, str]) -> set[str]:
+    found = set()
     for name in f"{values.get('class', '')} {values.get('id', '')}".split():
         words = [w.lower() for w in _WORD.findall(name)]
-        if any(w in ASIDE_WORDS and (i == 0 or words[i - 1] not in HAVING) for i, w in enumerate(words)):
-            return True
-    return False
+        found.update(w for i, w in enumerate(words) if w in ASIDE_WORDS and (i == 0 or words[i - 1] not in HAVING))
+    return found
+
+
+def aside_mark(tag: str, values: dict[str, str]) -> int:
+    """0 for a part that may be main text, 1 for one marked as aside by a word or as a form, 2 by a stronger sign."""
+    if tag in ("html", "body", *MAIN):
+        return 0
+    role = values.get("role", "").lower()
+    if (tag in ASIDE_TAGS and tag != "form") or (role in ASIDE_ROLES and role != "form"):
+        return 2
+    words = marked_words(values)
+    if words & ASIDE_WORDS_STRONG:
+        return 2
+    return int(bool(words) or tag == "form" or role == "form")
+
+
+def settle_asides(page: Page) -> None:
+    """Take back the marks of wrappers, then let the others hold for all that lies in a part.
+
+    The mark of a wrapper is one whose part holds the page's largest article or main part (one not marked
+    itself, for marks by a word), or nearly all of the text and every first heading.
+    """
+    elements = page.elements
+    if not any(e.mark for e in elements):
+        return
+    n = len(elements)
+    own, headings = [0] * n, [0] * n
+    for at, tag, text, links in page.blocks:
+        own[at] += len(text) - links
+        headings[at] += tag == "h1"
+    total, free, largest = list(own), list(own), [0] * n
+    for i in range(n - 1, 0, -1):
+        e = elements[i]
+        if e.main and not e.named and not e.mark:
+            largest[i] = max(largest[i], free[i])
+        total[e.parent] += total[i]
+        headings[e.parent] += headings[i]
+        if not e.mark:
+            free[e.parent] += free[i]
+        largest[e.parent] = max(largest[e.parent], largest[i])
+    outside = free[0]
+    main_outside = 0
+    inner = [False] * n
+    for i in range(1, n):
+        e = elements[i]
+        inner[i] = inner[e.parent] or e.mark > 0
+        if e.main and not inner[i] and not e.named:
+            main_outside = max(main_outside, free[i])
+    for i in range(1, n):
+        e = elements[i]
+        e.aside = elements[e.parent].aside
+        if e.mark and not e.aside:
+            holds_main = e.mark == 1 and largest[i] > main_outside and 4 * largest[i] >= outside
+            holds_all = total[i] > WRAPPER_TIMES * outside and (e.mark == 1 or 0 < headings[i] == headings[0])
+            if holds_main or holds_all:
+                outside += free[i]
+            else:
+                e.aside = True
 
 
 def parse(source: str) -> Page:
@@ -197,11 +256,13 @@ def parse(source: str) -> Page:
         parent = stack[-1]
         main = tag in MAIN or values.get("role", "").lower() == "main" or values.get("itemprop", "") == "articleBody"
         label = f"{tag}.{classes}" if classes else tag
-        elements.append(Element(tag, label, parent, elements[parent].aside or is_aside(tag, values), main))
+        named = main and bool(marked_words(values))
+        elements.append(Element(tag, label, parent, aside_mark(tag, values), named, main))
         stack.append(len(elements) - 1)
         link_depth += tag == "a"
         pictures += tag == "svg"
     flush()
+    settle_asides(page)
     return page
 
 

@@ -75,3 +75,24 @@ def test_text_around_pictures_formulas_and_objects():
         "<p>a<script>if (x < 1) '<p>'</script><noscript><p>no</p></noscript></p>": "a",
     }
     assert {k: text(k) for k in cases} == cases
+
+
+def test_wrappers_named_like_parts_aside():
+    inner = f"<nav>Menu of it</nav><h1>Title</h1><p>{ARTICLE}</p><div class='related'><p>Next</p></div><form><p>Name</p></form>"
+    wrappers = ["form id=aspnetForm", "div class='layout sidebar-right'", "div class='long-form'", "div class=paywall", "div id=page class=comments-open"]
+    for w in wrappers:
+        end = w.split()[0]
+        for body in (inner, f"<article>{inner}</article>", f"<main>{inner}</main>", f"<div class=sidebar-page>{inner}</div>"):
+            for page in (f"<{w}>{body}</{end}>", f"<nav><a href=x>Home</a></nav><{w}>{body}</{end}><footer>{ARTICLE * 2}</footer>"):
+                assert text(page) == f"Title\n{ARTICLE}", page
+    # an article in a wrapper beside plain text of about its length
+    assert text(f"<div class=paywall><article><p>{ARTICLE}</p></article></div><div><p>{ARTICLE[:50]}</p></div>") == ARTICLE
+
+
+def test_parts_aside_that_hold_much_stay_aside():
+    article = f"<h1>Title</h1><p>{ARTICLE}</p>"
+    thread = "".join(f"<article class=comment-body><p>{ARTICLE * 3} {i}</p></article>" for i in range(9))
+    for part in (f"<div id=comments>{thread}</div>", f"<section class=comments><p>{ARTICLE * 30}</p></section>", f"<aside>{ARTICLE * 30}</aside>"):
+        assert text(f"<div>{article}{part}</div>") == f"Title\n{ARTICLE}"
+        assert text(f"<article>{article}</article>{part}") == f"Title\n{ARTICLE}"
+    assert text(f"<main>{article}<div class=related><article><p>A card</p></article></div></main>") == f"Title\n{ARTICLE}"
