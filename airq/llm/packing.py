@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from airq.session import materialise
 
-# Lengths up to this are told apart; longer ones are rounded up to a 128th of a power of two.
+# Lengths up to this are told apart; longer ones are counted in classes as wide as a 128th of a power of two.
 EXACT = 1024
 # Rows that are numbered together.
 PART_ROWS = 4096
@@ -76,9 +76,11 @@ def best_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> li
 def fit_buckets(lengths: DataFrame, buckets: int, budget: int) -> list[Bucket]:
     """Buckets from the histogram of all rows of ``lengths(n_tokens)``.
 
-    The histogram has a few thousand classes at most, whatever the number of rows.
+    The histogram has a few thousand classes at most, whatever the number of rows; each stands for the longest
+    length that occurs in it.
     """
-    rows = lengths.groupBy(length_class(F.col("n_tokens")).alias("length")).count().orderBy("length").collect()
+    classes = lengths.groupBy(length_class(F.col("n_tokens")).alias("class"))
+    rows = classes.agg(F.max("n_tokens"), F.count(F.lit(1))).orderBy("class").drop("class").collect()
     at = np.array([r[0] for r in rows], dtype=np.int64)
     counts = np.array([r[1] for r in rows], dtype=np.int64)
     return [Bucket(n, max(1, budget // max(n, 1))) for n in best_boundaries(at, counts, buckets)]

@@ -89,3 +89,13 @@ def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, folder).collect()
     assert {r.doc_id for r in rows} == single
     check(rows, len(single), 16_384)
+
+
+def test_a_bucket_is_padded_to_its_longest_document(spark):
+    lengths = [1025, 1030, 5001, 5003, 70_001, 3]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "doc_id long, words long")
+    for buckets in (1, 2, 3, 16):
+        rows = packing.pack(df, df["words"], buckets=buckets, budget=10_006).collect()
+        longest = {b: max(r.n_tokens for r in rows if r.bucket == b) for b in {r.bucket for r in rows}}
+        assert all(r.padded == longest[r.bucket] for r in rows)
+    assert [r.batch for r in rows if r.n_tokens in (5001, 5003)] == [0, 0]
