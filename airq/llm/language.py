@@ -9,6 +9,7 @@ training turns the scores into calibrated probabilities.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +30,8 @@ SCALE = 64.0
 KNOWN_SHARE = 0.005
 # The unknown share that a text may always have, and how far it may exceed what its language's own rows have.
 ALLOWED_FLOOR, ALLOWED_FACTOR = 0.02, 1.5
+# Words with a digit (keys, numbers, codes) are of no language.
+CODE = re.compile(r"(?<!\w)[^\W\d]*+\d\w*+")
 
 
 @dataclass(frozen=True)
@@ -82,12 +85,12 @@ class LanguageModel:
         """Whether the n-grams of each text are those of learned languages; True for all if none was learned.
 
         A text may have as many unknown n-grams as the languages of its known ones allow, and two standard
-        deviations more, so that a short text is not rejected by one odd word. Scores are not used: they
+        deviations more, so that a short text is not rejected by one odd word; words with a digit do not count. Scores are not used: they
         compare the learned languages with each other and say nothing of any other.
         """
         if not self.languages:
             return np.ones(len(texts), dtype=bool)
-        parts, rows = blocks(texts)
+        parts, rows = blocks([CODE.sub(" ", t) for t in texts])
         known = self.allowed >= 0
         table = np.stack([known, np.where(known, self.allowed, 0.0)], axis=1)
         sums, counts = np.zeros((len(texts), 2)), np.zeros(len(texts))

@@ -106,3 +106,10 @@ def test_without_a_learned_language_all_rows_stay(spark):
     df = spark.createDataFrame(EDGES, "doc_id long, text string, score string")
     empty = language.fit_language(df.selectExpr("doc_id", "text", "cast(null as string) as lang"))
     assert language.keep_known(df, empty).count() == len(EDGES)
+
+
+def test_a_key_in_a_short_text_does_not_reject_it():
+    names = ["de", "en"] * 20
+    model = language.train(["ein satz mit worten", "the words of it"] * 20, names, np.zeros(1 << 15), 40)
+    key = "token = 2abc3ff2ca8fb1e4c565a0eb63815530a948bdde"
+    assert model.covers([f"the words of it {key[8:]}", "xyzzy qwrtp kjhgf zxcvb"]).tolist() == [True, False]
