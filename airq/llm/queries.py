@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 from airq.llm import (
+    bin_slack,
     byte_bpe,
     decision_list,
     fingerprint,
@@ -122,3 +123,8 @@ def op1_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return packing.pack(docs, packing.word_count(docs["text"]))
+
+
+@query("op13_best_fit")
+def op13_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return bin_slack.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
