@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 from airq.llm import (
@@ -19,6 +20,7 @@ from airq.llm import (
     quality_model,
     token_count,
     url_filter,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +130,25 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_best_fit")
 def op13_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return bin_slack.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per vector and component. A shift added to all numbers (the contract's million) cancels in every column."""
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit_whitening(rows, components=16, scale=64.0)
+    found = whitening.whiten(rows, model)
+    if model is None or not model.explained:
+        found, explained, n, error = found.where(F.lit(False)), [0.0], 0, 0.0
+    else:
+        explained, n, error = model.explained, model.n, model.identity_error
+    each = found.select("vec_id", "deviation", F.posexplode("whitened").alias("_at", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("_at") + 1).alias("component"),
+        F.lit(n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.element_at(F.lit(explained), F.col("_at") + 1).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
