@@ -11,6 +11,7 @@ import public_tokenizers
 from airq.llm import (
     bin_slack,
     byte_bpe,
+    conversation,
     decision_list,
     fingerprint,
     html_text,
@@ -152,3 +153,31 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
         F.element_at(F.lit(explained), F.col("_at") + 1).alias("explained"),
         F.lit(error).alias("identity_error"),
     )
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The faults that ``op11_conversation`` repairs, dealt by a checksum of id and turn; ``present`` is false for dropped rows."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    rows = conversations.select(
+        "conv_id",
+        "turn",
+        (F.crc32(key.cast("binary")) % 20).alias("fault"),
+        F.coalesce("role", F.lit(" ")).alias("role"),
+        F.coalesce("text", F.lit(" ")).alias("text"),
+    )
+    cut = F.when(F.col("fault") == 1, F.lit("")).when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", ""))
+    copies = F.explode(F.array_repeat(F.lit(1), F.when(F.col("fault") == 3, F.lit(2)).otherwise(F.lit(1))))
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("fault") == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+        cut.otherwise(F.col("text")).alias("text"),
+        (F.col("fault") != 0).alias("present"),
+        copies.alias("copy"),
+    )
+
+
+@query("op11_conversation")
+def op11_conversation(spark: SparkSession, folder: str) -> DataFrame:
+    rows = damaged(table(spark, folder, "conversations"))
+    return conversation.audit_conversations(rows, present=F.col("present"))
