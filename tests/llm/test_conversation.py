@@ -217,7 +217,7 @@ def test_edges(spark, tmp_path):
 def test_messages(spark):
     df = spark.createDataFrame([("a", 1, "assistant", "Hi."), ("a", 2, "tool", "Well."), ("b", 1, "user", "")], "conv_id string, turn int, role string, text string")
     got = sorted(tuple(r) for r in c.repaired_messages(df).collect())
-    # deleting "Well." costs 4, giving it a role and inserting an answer 6
-    assert got == [("a", 0, "I", None, "user", ""), ("a", 1, "K", 1, "assistant", "Hi.")]
+    # two new roles cost 6, an insert and a delete 7
+    assert got == [("a", 0, "R", 1, "user", "Hi."), ("a", 1, "R", 2, "assistant", "Well.")]
     found = {r.conv_id: r for r in c.audit_conversations(df).collect()}
     assert found["b"].audit == "D" and found["b"].repaired_sha256 == hashlib.sha256(b"").hexdigest()
