@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import io
+import os
 import zipfile
 
 import pandas as pd
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from airq.functions.text import sanitise_columns
 from airq.queries.base import FAMILY_UNION, OBS, families, lat_of, lon_of, observations, query, sql_lat, sql_lon, sql_stamp, stamp, table
 from airq.session import scratch_path
+from airq.sources.archives import local_path
 from airq.sources.sensors import explode_snapshot, flatten_structs, read_sensor_csv, read_sensor_metadata, read_snapshot, unify
 from airq.sources.tables import local_rows, write_csv_report, write_snapshot, write_table
 from airq.sources.weather import (
@@ -19,9 +21,11 @@ from airq.sources.weather import (
     combine_tiers,
     parse_product,
     parse_station_catalogue,
+    read_product,
     read_station_catalogue,
     rejected_archives,
     unpack_archives,
+    with_station_attributes,
 )
 
 _UNIFIED_SQL = f"WITH {FAMILY_UNION} SELECT * REPLACE ({sql_stamp('timestamp')} AS timestamp) FROM unified"
@@ -169,6 +173,75 @@ def _(spark, folder):
     return rows.select("STATIONS_ID", stamp("timestamp").alias("timestamp"), "TT_TU", "RF_TU")
 
 
+def _write_archives(rows, root: str, tier: str) -> None:
+    """One archive per station below ``root``, its lines streamed to the file; station 0 has a broken one besides."""
+    folder = local_path(root)
+    os.makedirs(folder, exist_ok=True)
+
+    def write(batches):
+        path, archive, member = None, None, None
+
+        def close():
+            if path is not None:
+                member.close()
+                archive.close()
+                os.replace(f"{path}.part", path)
+
+        for batch in batches:
+            for station, own in batch.groupby("station", sort=False):
+                name = f"{folder}/stundenwerte_TU_{station:05d}_{tier}.zip"
+                if name != path:
+                    close()
+                    path = name
+                    archive = zipfile.ZipFile(f"{path}.part", "w", zipfile.ZIP_DEFLATED)
+                    archive.writestr("readme.txt", "no data")
+                    member = archive.open(f"produkt_tu_{station:05d}.txt", "w")
+                    member.write(b"STATIONS_ID;MESS_DATUM;QN_9; TT_TU;RF_TU;eor\n")
+                member.write(("\n".join(own["line"]) + "\n").encode())
+        close()
+        if path is not None:
+            yield pd.DataFrame({"written": [1]})
+
+    with open(f"{folder}/stundenwerte_TU_00000_broken.zip", "w") as f:
+        f.write("no archive")
+    rows.repartition("station").sortWithinPartitions("station", "line").mapInPandas(write, "written int").write.format("noop").mode("append").save()
+
+
+_TIER = "SELECT sensor_id % 20 AS STATIONS_ID, date_trunc('hour', timestamp) AS timestamp, {how}(value) AS t, count(*) AS n, {tier} AS tier FROM obs WHERE variable IN ({names}) GROUP BY 1, 2"
+_TIERS = (
+    _TIER.format(how="max", tier=0, names="'view', 'click', 'signup'") + " UNION ALL " + _TIER.format(how="min", tier=1, names="'view', 'error', 'purchase'")
+)
+
+
+@query(
+    "archive_scan",
+    f"""WITH {OBS}, tiers AS ({_TIERS}), best AS (SELECT STATIONS_ID, timestamp, arg_max(t, tier) AS t, arg_max(n, tier) AS n FROM tiers GROUP BY 1, 2)
+SELECT CAST(b.STATIONS_ID AS INT) AS STATIONS_ID, {sql_stamp('timestamp')} AS timestamp, CASE WHEN t <> 0 THEN CAST(t AS DOUBLE) END AS TT_TU,
+CASE WHEN n > 1 THEN CAST(n AS DOUBLE) END AS RF_TU, s_name AS Stationsname FROM best b JOIN supplier ON s_suppkey = b.STATIONS_ID WHERE s_suppkey % 3 = 1""",
+)
+def _(spark, folder):
+    """Zip files of both tiers written to the shared folder and read back as one product of some stations, with their names."""
+    rows = observations(spark, folder).withColumn("station", (F.col("sensor_id") % 20).cast("int"))
+    roots = []
+    for tier, how, names in (("hist", F.max, ["view", "click", "signup"]), ("akt", F.min, ["view", "error", "purchase"])):
+        hours = rows.where(F.col("variable").isin(names)).groupBy("station", F.date_trunc("hour", "timestamp").alias("hour"))
+        readings = hours.agg(how("value").cast("double").alias("t"), F.count(F.lit(1)).alias("n"))
+        line = F.format_string(
+            "%11d;%s;%5d;%8.2f;%6d;eor",
+            "station",
+            F.date_format("hour", "yyyyMMddHH"),
+            F.lit(3),
+            F.when(F.col("t") == 0, F.lit(-999.0)).otherwise(F.col("t")),
+            F.when(F.col("n") > 1, F.col("n")).otherwise(F.lit(-999)),
+        )
+        roots.append(scratch_path(spark, f"archives-{tier}"))
+        _write_archives(readings.select("station", line.alias("line")), roots[-1], tier)
+    catalogue = table(spark, folder, "supplier").where("s_suppkey % 3 = 1")
+    catalogue = catalogue.select(F.col("s_suppkey").cast("int").alias("Stations_id"), F.col("s_name").alias("Stationsname"))
+    found = with_station_attributes(read_product(spark, *roots, "temperature", catalogue), catalogue)
+    return found.select("STATIONS_ID", stamp("timestamp").alias("timestamp"), "TT_TU", "RF_TU", "Stationsname")
+
+
 @query("rejected_archives", "SELECT count(*) AS rejected FROM pages")
 def _(spark, folder):
     broken = table(spark, folder, "pages").select(F.col("url").alias("path"), F.encode("html", "UTF-8").alias("content"))

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import io
-import zipfile
-import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airq import schemas
@@ -17,6 +15,7 @@ from airq.functions.geo import Box, in_box
 from airq.functions.text import archive_name, station_id_from_name
 from airq.operators.clean import sentinel_to_null
 from airq.operators.scale import lookup_join
+from airq.sources.archives import UNREADABLE, local_path, product_lines, scan_archives
 
 # Fixed width catalogue line: number, two dates, height, latitude, longitude, name, state.
 _CATALOGUE_LINE = r"^\s*(\d+)\s+(\d{8})\s+(\d{8})\s+(-?\d+)\s+(-?[\d.]+)\s+(-?[\d.]+)\s+(.+?)\s{2,}(\S.*?)\s*$"
@@ -54,21 +53,36 @@ def stations_in_box(catalogue: DataFrame, box: Box) -> DataFrame:
     return catalogue.where(in_box("geoBreite", "geoLaenge", box))
 
 
-def _archive_files(spark: SparkSession) -> DataFrameReader:
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "stundenwerte_*.zip")
+# Station numbers that are pushed to the file names; a catalogue has about a thousand. More are looked up by a join.
+PUSHED = 10_000
+
+
+def station_numbers(stations: DataFrame, station: str = "Stations_id") -> list[int] | None:
+    """The numbers of a catalogue, None if there are more than ``PUSHED``."""
+    rows = stations.select(F.col(station).cast("int").alias("n")).dropna().distinct().limit(PUSHED + 1).collect()
+    return sorted(r["n"] for r in rows) if len(rows) <= PUSHED else None
 
 
 def read_archives(spark: SparkSession, root: str, stations: DataFrame | None = None) -> DataFrame:
-    """Zip archives below ``root`` as ``(path, content)``, one row per file.
+    """Zip archives below ``root`` in any store as ``(path, content)``, one row per file.
 
-    With ``stations`` the listing is filtered by file name first, and only the archives of these stations are
-    read. The listing is the driver's own: it holds one name per file of a reader's load.
+    With ``stations`` only the archives of these stations are kept. Up to ``PUSHED`` of them become part of the
+    name pattern with which Spark lists the files, so that others are not read.
     """
-    files = _archive_files(spark).load(root)
-    if stations is not None:
-        paths = [r["path"] for r in archives_of_stations(files.select("path"), stations).collect()]
-        files = _archive_files(spark).load(paths) if paths else files.limit(0)
-    return files.select("path", "content")
+    numbers = station_numbers(stations) if stations is not None else None
+    middle = "*" if numbers is None else "*_{" + ",".join(f"{n:05d}" for n in numbers or [-1]) + "}_*"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"stundenwerte_{middle}.zip")
+    found = files.load(root).select("path", "content")
+    return found if stations is None else archives_of_stations(found, stations)
+
+
+def read_lines(spark: SparkSession, root: str, stations: DataFrame) -> DataFrame:
+    """Lines of the archives of the given stations: as a scan where the folder can be opened, else through Spark's file reader."""
+    if local_path(root) is None:
+        return unpack_archives(read_archives(spark, root, stations))
+    lines = scan_archives(spark, root, station_numbers(stations))
+    wanted = stations.select(F.col("Stations_id").cast("int").alias("station")).distinct()
+    return lines.join(wanted, "station", "left_semi").drop("station")
 
 
 def archives_of_stations(files: DataFrame, stations: DataFrame, path: str = "path", station: str = "Stations_id") -> DataFrame:
@@ -79,38 +93,16 @@ def archives_of_stations(files: DataFrame, stations: DataFrame, path: str = "pat
 
 
 def _archive_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Lines of the first ``produkt_`` member of every archive; one error row for an unreadable one."""
-    chunk = 50_000
+    """Lines of the product member of every archive; one error row for an unreadable one."""
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             try:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    members = [n for n in archive.namelist() if "produkt_" in n]
-                    if not members:
-                        raise ValueError("no produkt_ member")
-                    with archive.open(members[0]) as member:
-                        while member.read(1 << 20):
-                            pass
-                    # Only an archive that is whole to its end gives lines.
-                    with archive.open(members[0]) as member:
-                        reader = io.TextIOWrapper(member, encoding="ISO-8859-1")
-                        header = next(reader, "").rstrip("\r\n")
-                        lines: list[str] = []
-                        for line in reader:
-                            lines.append(line.rstrip("\r\n"))
-                            if len(lines) == chunk:
-                                yield _line_frame(path, members[0], header, lines)
-                                lines = []
-                        if lines:
-                            yield _line_frame(path, members[0], header, lines)
-            except (zipfile.BadZipFile, zlib.error, ValueError, OSError, EOFError, RuntimeError) as problem:
+                for name, header, lines in product_lines(io.BytesIO(content)):
+                    yield pd.DataFrame({"path": path, "name": name, "header": header, "line": lines, "error": None})
+            except UNREADABLE as problem:
                 yield pd.DataFrame({"path": [path], "name": None, "header": None, "line": None, "error": [str(problem)]})
 
 
-def _line_frame(path: str, name: str, header: str, lines: list[str]) -> pd.DataFrame:
-    return pd.DataFrame({"path": path, "name": name, "header": header, "line": lines, "error": None})
-
-
 def unpack_archives(archives: DataFrame) -> DataFrame:
     """Lines of all archives; unreadable archives are the rows with a non-null ``error``."""
     return archives.mapInPandas(_archive_lines, ARCHIVE_LINES)
@@ -159,8 +151,7 @@ def read_product(spark: SparkSession, historical_root: str, recent_root: str, pr
     """One hourly product of the given stations from both tiers."""
     tiers = []
     for root in (historical_root, recent_root):
-        files = read_archives(spark, root, stations)
-        tiers.append(parse_product(unpack_archives(files), product).drop("path"))
+        tiers.append(parse_product(read_lines(spark, root, stations), product).drop("path"))
     return combine_tiers(*tiers)
 
 

@@ -3,10 +3,12 @@ import io
 import json
 import zipfile
 
+from pyspark.sql import functions as F
+
 from airq import schemas
 from airq.functions.geo import REGION, add_geohash
 from airq.operators.clean import inside
-from airq.sources import sensors, tables, weather
+from airq.sources import archives, sensors, tables, weather
 
 ROWS = {
     "sds011": "sensor_id;sensor_type;location;lat;lon;timestamp;P1;durP1;ratioP1;P2;durP2;ratioP2\n"
@@ -105,6 +107,40 @@ def test_two_tiers(spark, tmp_path):
     assert weather.with_station_attributes(df, catalogue).count() == 2
 
 
+def test_archive_scan(spark, tmp_path, monkeypatch):
+    """One partition per archive of a wanted station; what cannot be read is a row with its error."""
+    head = "STATIONS_ID;MESS_DATUM;eor\n"
+    archive(tmp_path / "a" / "stundenwerte_TU_00001_hist.zip", head + "".join(f"1;{i};eor\n" for i in range(120_000)))
+    archive(tmp_path / "b c" / "stundenwerte_TU_00002_hist.zip", head + "2;1;eor\n", member="x/produkt_ä.txt")
+    archive(tmp_path / "stundenwerte_TU_00003_hist.zip", head + "3;1;eor\n", member="other.txt")
+    archive(tmp_path / "stundenwerte_TU_00004_hist.zip", "")
+    (tmp_path / "stundenwerte_XX_akt.zip").write_bytes(b"no zip")
+    (tmp_path / "notes_00001_.zip").write_bytes(b"other file")
+    lines = archives.scan_archives(spark, str(tmp_path))
+    counts = {(r.station, r.bad): r.n for r in lines.groupBy("station", F.col("error").isNotNull().alias("bad")).agg(F.count("*").alias("n")).collect()}
+    assert counts == {(1, False): 120_000, (2, False): 1, (3, True): 1, (None, True): 1}
+    some = archives.scan_archives(spark, f"file://{tmp_path}", [2, 3, 99])
+    assert some.rdd.getNumPartitions() == 2
+    assert sorted((r.station, r.line, r.name) for r in some.collect() if r.error is None) == [(2, "2;1;eor", "x/produkt_ä.txt")]
+    assert lines.where("station = 2").rdd.getNumPartitions() == 1
+    assert archives.scan_archives(spark, str(tmp_path), []).count() == 0
+    assert archives.local_path("hdfs://x/y") is None and archives.local_path("file:/a%20b") == "/a b"
+
+
+def test_archives_of_any_store(spark, tmp_path, monkeypatch):
+    """The file reader's name pattern holds the stations; beyond the limit a join finds them."""
+    for n in (1, 2, 3):
+        archive(tmp_path / f"stundenwerte_TU_{n:05d}_akt.zip", f"STATIONS_ID;MESS_DATUM\n{n};2017020101\n")
+    stations = spark.createDataFrame([(2,), (3,), (77,), (None,)], "Stations_id int")
+    for limit in (weather.PUSHED, 1):
+        monkeypatch.setattr(weather, "PUSHED", limit)
+        found = weather.unpack_archives(weather.read_archives(spark, str(tmp_path), stations))
+        assert sorted(r.line for r in found.collect()) == ["2;2017020101", "3;2017020101"]
+        lines = weather.read_lines(spark, str(tmp_path), stations)
+        assert sorted(r.line for r in lines.collect()) == ["2;2017020101", "3;2017020101"]
+    assert weather.read_archives(spark, str(tmp_path), stations.where("false")).count() == 0
+
+
 def test_writers(spark, tmp_path):
     df = spark.createDataFrame([(1, [1.5, 2.5])], "id int, lon array<double>")
     path = tables.write_snapshot(df, str(tmp_path), "sensors", dt.date(2018, 1, 31))
