@@ -3,13 +3,16 @@
 Input is a regular series: one row per key and bin (see ``resample.bin_means`` and ``gap_fill``), so the
 rows of a key are bounded by the bins of its time span, however many raw readings it sent. All windows
 share one partitioning and one order and the final aggregate groups by the same keys, so any set of
-figures costs one shuffle and one sort; the terms of figures not asked for are pruned.
+figures costs one shuffle and one sort; the terms of figures not asked for are pruned. Rolling means and variances
+are differences of running sums, so their cost does not grow with the width; the sums are whole numbers, so nothing cancels.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import WindowSpec
 
 from airq.functions.stats import kurtosis_sample_sd, mean, mean_over, skewness_sample_sd
 
@@ -17,32 +20,70 @@ TILE = 48
 VALUE_BINS = 10
 
 
+def _is_decimal(df: DataFrame, column: str) -> bool:
+    kind = df.schema[column].dataType
+    return isinstance(kind, T.DecimalType) and kind.precision <= 18 and kind.scale <= 6
+
+
+def fixed_points(decimal: bool) -> dict[str, Column]:
+    """A row's value and its squared standard score as whole numbers, whose running sums are exact.
+
+    The unit of a score follows from the number of rows: all squares of a series add up to that number, so no sum
+    leaves a long. Decimals are whole numbers of their sixth place where their sum surely is a long; else, and for
+    other types, the value is its score. What is not finite is missing.
+    """
+    x, n = F.col("_d"), F.col("_known").cast("double")
+    score = F.when(F.col("_sd") > 0, (x - F.col("_middle")) / F.col("_sd")).otherwise(x * 0)
+    largest = F.greatest(F.abs("_low"), F.abs("_high"))
+    whole = ((largest * n < F.lit(9e12)) & (largest < F.lit(4e9))) if decimal else F.lit(False)
+    places = F.round(x * F.lit(1e6)).try_cast("long") if decimal else F.lit(None).cast("long")
+    unit = F.lit(2.0**61) / F.greatest(n, F.lit(1.0))
+    return {
+        "_whole": whole,
+        "_unit": unit,
+        "_f": F.when(whole, places).otherwise(F.round(score * unit).try_cast("long")),
+        "_g": F.round(score * score * unit).try_cast("long"),
+    }
+
+
+def rolling(order: WindowSpec, width: int) -> dict[str, Column]:
+    """Mean and sample variance of the last ``width`` rows, from the running sums of ``fixed_points``."""
+
+    def last(c: str) -> Column:
+        return (F.col(c) - F.coalesce(F.lag(c, width).over(order), F.lit(0))).cast("double")
+
+    n, s, q, sd, middle = last("_n"), last("_s"), last("_q"), F.col("_sd"), F.col("_middle")
+    total = F.when(F.col("_whole"), s / F.lit(1e6))
+    mean_of = F.coalesce(F.try_divide(total, n), middle + sd * F.try_divide(s, n * F.col("_unit")))
+    off = F.coalesce(total - n * middle, sd * s / F.col("_unit"))
+    squares = F.greatest(F.lit(0.0), sd * sd * q / F.col("_unit") - F.try_divide(off * off, n))
+    return {"_mean": F.when(n > 0, mean_of), "_var": F.when(n > 1, squares / (n - F.lit(1.0)))}
+
+
 def series_terms(df: DataFrame, keys: list[str], value: str, ts: str, width: int = TILE, bins: int = VALUE_BINS) -> DataFrame:
     """The terms all figures are sums, maxima or variances of, per row of a series."""
     order = Window.partitionBy(*keys).orderBy(ts)
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     running = order.rowsBetween(Window.unboundedPreceding, 0)
-    frame = order.rowsBetween(-(width - 1), 0)
-    x = F.col("_x")
-    rows = df.select(*keys, ts, F.col(value).alias("_x"))
+    x = F.col("_d")
+    rows = df.select(*keys, ts, F.col(value).alias("_x"), F.col(value).cast("double").alias("_d"))
 
     first = rows.select(
         "*",
         F.row_number().over(order).alias("_at"),
-        (x <= F.percentile("_x", F.lit(0.5)).over(whole)).alias("_below"),
-        F.min("_x").over(whole).alias("_low"),
-        F.max("_x").over(whole).alias("_high"),
-        (x - mean_over("_x", whole)).alias("_centred"),
-        mean_over("_x", frame).alias("_mean"),
-        F.var_samp("_x").over(frame).alias("_var"),
+        (x <= F.percentile("_d", F.lit(0.5)).over(whole)).alias("_below"),
+        F.min("_d").over(whole).alias("_low"),
+        F.max("_d").over(whole).alias("_high"),
+        mean_over("_x", whole).alias("_middle"),
+        F.coalesce(F.stddev_samp("_d").over(whole), F.lit(0.0)).alias("_sd"),
+        F.count("_d").over(whole).alias("_known"),
     )
     level = F.ceil(F.try_divide(x - F.col("_low"), (F.col("_high") - F.col("_low")) / F.lit(bins)))
-    full = F.col("_at") >= width
     second = first.withColumns(
         {
+            "_centred": x - F.col("_middle"),
             "_level": F.when(x.isNotNull(), F.greatest(F.lit(1), level)),
-            "_mean": F.when(full, F.col("_mean")),
-            "_var": F.when(full, F.col("_var")),
+            **fixed_points(_is_decimal(rows, "_x")),
         }
     )
     third = second.select(
@@ -50,11 +91,24 @@ def series_terms(df: DataFrame, keys: list[str], value: str, ts: str, width: int
         (F.col("_below") != F.lag("_below").over(order)).cast("long").alias("_flip"),
         (F.col("_centred") * F.lag("_centred").over(order)).alias("_pair"),
         F.coalesce(F.col("_level") == F.lag("_level").over(order), F.lit(False)).alias("_goes_on"),
-        F.abs(F.col("_mean") - F.lag("_mean", width).over(order)).alias("_mean_shift"),
-        F.abs(F.col("_var") - F.lag("_var", width).over(order)).alias("_var_shift"),
+        F.count("_f").over(running).alias("_n"),
+        F.coalesce(F.sum("_f").over(running), F.lit(0)).alias("_s"),
+        F.coalesce(F.sum("_g").over(running), F.lit(0)).alias("_q"),
     )
+    full = F.col("_at") >= width
     began = F.max(F.when(~F.col("_goes_on"), F.col("_at"))).over(running)
-    return third.withColumn("_run", F.when(F.col("_level").isNotNull(), F.col("_at") - began + 1))
+    fourth = third.withColumns(
+        {
+            "_run": F.when(F.col("_level").isNotNull(), F.col("_at") - began + 1),
+            **{c: F.when(full, term) for c, term in rolling(order, width).items()},
+        }
+    )
+    return fourth.withColumns(
+        {
+            "_mean_shift": F.abs(F.col("_mean") - F.lag("_mean", width).over(order)),
+            "_var_shift": F.abs(F.col("_var") - F.lag("_var", width).over(order)),
+        }
+    )
 
 
 def moment_figures() -> list[Column]:
