@@ -63,6 +63,7 @@ class DigestArray:
         at += 8 * (self.size + 1)
         self.blocked = np.frombuffer(self.data, "u1", self.size, at)
         self.strings = at + self.size
+        self.longest = int(np.diff(self.ends.astype(np.int64)).max(initial=0))
 
     def find(self, keys: list[str]) -> np.ndarray:
         """Position of each key, -1 where it is not stored."""
@@ -81,11 +82,11 @@ class DigestArray:
         """The longest fitting rule (or None) and the verdict of each URL."""
         keys, owner = [], []
         for i, (host, path) in enumerate(zip(hosts, paths)):
-            suffixes = [host] if host else []
-            dot = host.find(".")
-            while dot >= 0:
-                suffixes.append(host[dot + 1 :])
-                dot = host.find(".", dot + 1)
+            suffixes, dot = [], len(host)
+            while dot >= 0:  # from the right; a name longer than all stored strings is none of them
+                dot = host.rfind(".", max(0, len(host) - self.longest - 1), dot)
+                if len(host) - dot - 1 <= self.longest:
+                    suffixes.append(host[dot + 1 :])
             starts = [path[:n] for n in self.path_lengths if n <= len(path)]
             keys += [s + p for s in suffixes if s for p in starts]
             owner += [i] * (len(keys) - len(owner))

@@ -48,3 +48,11 @@ def test_equal_digests_are_told_apart(tmp_path, monkeypatch):
 def test_wrong_verdict_is_refused(tmp_path):
     with pytest.raises(ValueError):
         url_filter.write_digests(str(tmp_path / "rules"), [("a", "/", "maybe")])
+
+
+def test_host_of_many_labels(spark):
+    """Only suffixes that may be a rule's host are looked at."""
+    hosts = ["a." * 100_000 + "example.net", "b." * 100_000 + "net", "." * 50_000 + "org", "c." * 60_000]
+    df = spark.createDataFrame([(i, f"http://{h}/en/x") for i, h in enumerate(hosts)], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.filter_urls(df, URL_RULES).collect()}
+    assert got == {0: ("example.net/en/", "allow"), 1: ("net/", "block"), 2: (None, "allow"), 3: (None, "allow")}
