@@ -16,8 +16,8 @@ SLICE_BYTES = 2_000_000
 WORD_SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
-def byte_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows whose texts hold about ``limit`` bytes together."""
+def byte_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES, rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of rows whose texts hold about ``limit`` bytes together, of at most ``rows`` rows if given."""
     if batch.num_rows == 0:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -26,6 +26,7 @@ def byte_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) ->
     while start < batch.num_rows:
         before = upto[start - 1] if start else 0
         end = max(start + 1, int(np.searchsorted(upto, before + limit, "right")))
+        end = min(end, start + rows) if rows else end
         yield batch.slice(start, end - start)
         start = end
 

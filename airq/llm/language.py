@@ -154,6 +154,10 @@ def counted(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return (key & ((1 << bits) - 1)).astype(np.int32), (n / total[key >> bits]).astype(np.float32), starts
 
 
+# Texts whose buckets are marked in one table at a time, a byte for each text and bucket.
+TABLE_ROWS = 512
+
+
 def document_frequencies(texts: DataFrame, bits: int) -> tuple[np.ndarray, int]:
     """In how many of the texts (one string column) each bucket occurs, and the number of texts.
 
@@ -165,7 +169,7 @@ def document_frequencies(texts: DataFrame, bits: int) -> tuple[np.ndarray, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(buckets, dtype=np.int64), 0
         for batch in batches:
-            for part in byte_slices(batch, 0):
+            for part in byte_slices(batch, 0, rows=TABLE_ROWS):
                 parts, rows = blocks(texts_of(part, 0))
                 seen = np.zeros((part.num_rows, buckets), dtype=bool)
                 for ids, starts in grams(parts, bits):

@@ -33,3 +33,10 @@ def test_powers_are_inverse():
 
 def test_segment_sums_with_empty_segments():
     assert segment_sums(np.arange(5.0), np.array([0, 0, 3, 5])).tolist() == [0, 3, 7, 0]
+
+
+def test_slices_of_a_number_of_rows():
+    batch = pa.RecordBatch.from_pydict({"t": ["a"] * 10 + ["b" * 9] + [None] * 4})
+    parts = [p.column(0).to_pylist() for p in byte_slices(batch, "t", 8, rows=3)]
+    assert sum(parts, []) == batch.column(0).to_pylist()
+    assert max(map(len, parts)) == 3 and ["b" * 9] == [p for p in parts if p[0] == "b" * 9][0][:1]
