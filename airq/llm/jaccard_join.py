@@ -247,8 +247,9 @@ def plausible(n, at, other_n, other_at, settings: Settings):
 
     Taken for every common n-gram: a pair that fails at a later one is still met at its first.
     """
+    n, at, other_n, other_at = (c.cast("long") for c in (n, at, other_n, other_at))
     lengths = F.least(n, other_n) * 100 >= F.greatest(n, other_n) * settings.percent
-    total = (n + other_n).cast("long")
+    total = n + other_n
     needed = F.ceil(total * settings.percent / F.lit(100.0 + settings.percent) - F.lit(1e-9))
     return lengths & (F.least(n - at, other_n - other_at) >= needed)
 
@@ -544,17 +545,26 @@ def one_of_each(
     kept = found.join(some, found["_id"].eqNullSafe(some["_id"]), "left_semi").where("n > 0")
     sets = kept.where("_id = component_id").groupBy("_id", "part").agg(F.min("digest").alias("digest"))
     sets = sets.select("_id", "digest").unionByName(kept.where("_id is null").select("_id", "digest").distinct())
-    repeated = with_sets(docs.join(some, docs[id_column].eqNullSafe(some["_id"]), "left_semi"), text_column, settings)
-    worded = repeated.where("_n > 0")
-    worded = worded.join(sets, worded[id_column].eqNullSafe(sets["_id"]) & (worded["_digest"] == sets["digest"]), "left_semi")
+    size, digest = free_name("_n", docs), free_name("_digest", docs)
+    repeated = with_sets(docs.join(some, docs[id_column].eqNullSafe(some["_id"]), "left_semi"), text_column, size, digest, settings)
+    worded = repeated.where(F.col(size) > 0)
+    worded = worded.join(sets, worded[id_column].eqNullSafe(sets["_id"]) & (worded[digest] == sets["digest"]), "left_semi")
     order = [text_column, *(f.name for f in docs.schema if "map<" not in f.dataType.simpleString() and f.name != text_column)]
     least = F.min_by(F.struct(*docs.columns), F.struct(*order))
-    single = worded.groupBy(F.col(id_column).alias("_key"), "_digest").agg(least.alias("_row")).select("_row.*")
-    return left.unionByName(repeated.where("_n = 0").select(*docs.columns)).unionByName(single)
+    single = worded.groupBy(worded[id_column].alias("_key"), worded[digest].alias("_set")).agg(least.alias("_row")).select("_row.*")
+    return left.unionByName(repeated.where(F.col(size) == 0).select(*docs.columns)).unionByName(single)
 
 
-def with_sets(docs: DataFrame, text_column: str, settings: Settings) -> DataFrame:
-    """``docs`` with the size and digest of each text's set as ``_n`` and ``_digest``."""
+def free_name(name: str, df: DataFrame) -> str:
+    """``name`` with as many underscores before it as no column of ``df`` has that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def with_sets(docs: DataFrame, text_column: str, size: str, digest: str, settings: Settings) -> DataFrame:
+    """``docs`` with the size and digest of each text's set as columns of these names."""
     place = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -562,6 +572,6 @@ def with_sets(docs: DataFrame, text_column: str, settings: Settings) -> DataFram
             for part in byte_slices(batch, place):
                 texts = [t or b"" for t in part.column(place).cast(pa.binary()).to_pylist()]
                 found = digests_of(texts, settings.width)
-                yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, "_n", "_digest"])
+                yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, size, digest])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_n", LongType()), StructField("_digest", BinaryType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(size, LongType()), StructField(digest, BinaryType())]))

@@ -6,6 +6,8 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
+
 from airq.llm import jaccard_join as jj
 from airq.llm.graph import connected_components
 from airq.llm.queries import QUERIES
@@ -174,3 +176,22 @@ def test_one_row_of_each_group_stays(spark, broadcast_ids):
         [(9, "a b c d e"), (9, ""), (9, ""), (3, "q r s t u v"), (3, "other words of this id here")]
         + [(0, "one two"), (0, base), (0, ""), (0, ""), (2, "one two")]
     )
+
+
+def test_very_large_sets_do_not_overflow(spark):
+    rows = [(22_000_000, 0, 22_000_000, 0, True), (2_000_000_000, 0, 1_900_000_000, 5, True), (2_000_000_000, 0, 22_000_000, 0, False)]
+    df = spark.createDataFrame(rows, "n int, at int, m int, mat int, want boolean")
+    found = df.select("want", jj.plausible(F.col("n"), F.col("at"), F.col("m"), F.col("mat"), jj.Settings()).alias("got")).collect()
+    assert all(r.want == r.got for r in found)
+
+
+def test_extra_columns_of_any_name(spark):
+    """Names that the operator uses itself, with repeated ids and ids that are null."""
+    names = ["_n", "_digest", "_key", "_row", "_id", "_text", "_set", "digest", "n", "part", "component_id", "__n"]
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A b c d e f"), (3, "x y"), (None, "x y"), (None, "x y"), (4, None), (4, "")]
+    schema = "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in names)
+    df = spark.createDataFrame([(*r, *["v"] * len(names)) for r in rows], schema)
+    left = jj.one_of_each(df)
+    assert left.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == [(0, "x y"), (1, "a b c d e f"), (3, "x y"), (4, ""), (4, "")]
+    assert jj.one_of_each(df.where("false")).collect() == []

@@ -99,3 +99,20 @@ def test_a_bucket_is_padded_to_its_longest_document(spark):
         longest = {b: max(r.n_tokens for r in rows if r.bucket == b) for b in {r.bucket for r in rows}}
         assert all(r.padded == longest[r.bucket] for r in rows)
     assert [r.batch for r in rows if r.n_tokens in (5001, 5003)] == [0, 0]
+
+
+def test_pipeline_edges(spark, tmp_path):
+    """Extra columns with the stages' own names, null ids and texts, repeated rows; then no rows at all."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumns({c: F.lit("v") for c in ("_n", "_digest", "_key", "_row", "n_tokens", "score")})
+    odd = docs.limit(3).withColumn("doc_id", F.lit(None).cast("long")).unionByName(docs.limit(2)).unionByName(docs.limit(2).withColumn("text", F.lit(None).cast("string")))
+    for name, rows in (("some", docs.unionByName(odd)), ("none", docs.where("false"))):
+        path = f"{tmp_path}/{name}"
+        rows.write.parquet(f"{path}/documents.parquet")
+        spark.read.parquet(f"{folder}/labels.parquet").write.parquet(f"{path}/labels.parquet")
+        now = spark.read.parquet(f"{path}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            now = stage(spark, now, path)
+            assert now.columns == docs.columns
+        found = corpus_pipeline.run(spark, path).collect()
+        assert (len(found) > 0) == (name == "some")
