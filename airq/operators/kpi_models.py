@@ -20,30 +20,54 @@ FLOOR = math.exp(-0.5 * 38.0**2) / math.sqrt(2 * math.pi)
 SMOOTHING = [i / 20 for i in range(1, 20)]
 
 
-def _ratio(a: Column, b: Column) -> Column:
-    return F.coalesce(F.try_divide(a, b), F.lit(0.0))
+# A pivot below this share of its own sum of squares says that its lag is a mixture of those before it.
+DEPENDENT = 1e-10
 
 
 def arch_statistic(df: DataFrame, keys: list[str], value: str = "value", ts: str = "timestamp", lags: int = ARCH_LAGS) -> DataFrame:
     """R squared of the demeaned squares regressed on their own lags, over the rows where all lags are known.
 
-    The lags are made orthogonal one after another, each step a sum over the series, so the fit needs no
-    matrix: what is left of the target after the last one is the residual. Null with too few rows.
+    One aggregate sums the products of all pairs of lags; eliminating the lags from that matrix one after another leaves
+    the residual's square in the target's cell. A lag that is a mixture of those before it is left out. Null with too
+    few rows.
     """
     order = Window.partitionBy(*keys).orderBy(ts)
     whole = Window.partitionBy(*keys)
     rows = df.select(*keys, ts, F.col(value).cast("double").alias("_x"))
-    rows = rows.withColumn("_0", F.pow(F.col("_x") - F.avg("_x").over(whole), F.lit(2.0)))
+    rows = rows.withColumn("_square", F.pow(F.col("_x") - F.avg("_x").over(whole), F.lit(2.0)))
+    rows = rows.withColumn("_0", F.col("_square") - F.avg("_square").over(whole))  # a shift that the regression does not see
     rows = rows.withColumns({f"_{k}": F.lag("_0", k).over(order) for k in range(1, lags + 1)})
-    names = [f"_{k}" for k in range(lags + 1)]
-    known = rows.dropna(subset=names).select(*keys, *names)
-    left = known.select(*keys, *[(F.col(c) - F.avg(c).over(whole)).alias(c) for c in names]).withColumn("_y", F.col("_0"))
-    for k in range(1, lags + 1):
-        by, later = F.col(f"_{k}"), [f"_{j}" for j in range(k + 1, lags + 1)] + ["_0"]
-        share = {c: _ratio(F.sum(F.col(c) * by).over(whole), F.sum(by * by).over(whole)) for c in later}
-        left = left.select(*keys, "_y", *[(F.col(c) - s * by).alias(c) for c, s in share.items()])
-    r2 = F.lit(1.0) - F.try_divide(F.sum(F.col("_0") * F.col("_0")), F.sum(F.col("_y") * F.col("_y")))
-    fitted = left.groupBy(*keys).agg(F.when(F.count(F.lit(1)) > lags + 1, r2).alias("arch_stat"))
+    size = lags + 1
+    names = [f"_{k}" for k in range(size)]
+    listed = lambda cells: F.expr(f"array({', '.join(cells)})")
+    sums = rows.dropna(subset=names).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        listed(f"sum({c})" for c in names).alias("_s"),
+        listed(f"sum({names[i]} * {names[j]})" for i in range(size) for j in range(i, size)).alias("_p"),
+    )
+
+    def cell(at: Column) -> Column:
+        """Covariance times the number of rows; ``_p`` holds the upper triangle row by row."""
+        i, j = F.floor(at / F.lit(size)).cast("int"), at % F.lit(size)
+        low, high = F.least(i, j), F.greatest(i, j)
+        place = (low * F.lit(2 * size - 1) - low * low) / F.lit(2) + high
+        return F.get("_p", place.cast("int")) - F.get("_s", i) * F.get("_s", j) / F.col("_n")
+
+    matrix = sums.select(*keys, "_n", F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), cell).alias("_m"))
+
+    def eliminate(m: Column, k: Column) -> Column:
+        pivot = F.get(m, k * size + k)
+        enough = pivot > F.get(F.col("_m"), k * size + k) * F.lit(DEPENDENT)
+
+        def rest(v: Column, at: Column) -> Column:
+            row, column = F.floor(at / F.lit(size)).cast("int"), at % F.lit(size)
+            return v - F.get(m, row * size + k) * F.get(m, k * size + column) / pivot
+
+        return F.when(enough, F.transform(m, rest)).otherwise(m)
+
+    left = F.aggregate(F.sequence(F.lit(1), F.lit(lags)), F.col("_m"), eliminate)
+    r2 = F.lit(1.0) - F.try_divide(F.get(left, F.lit(0)), F.get(F.col("_m"), F.lit(0)))
+    fitted = matrix.select(*keys, F.when(F.col("_n") > lags + 1, r2).alias("arch_stat"))
     return _for_all(df, keys, fitted, ["arch_stat"])
 
 
