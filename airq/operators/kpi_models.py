@@ -122,12 +122,18 @@ def holt_parameters(df: DataFrame, keys: list[str], value: str = "value", ts: st
     return _for_all(df, keys, found, ["holt_alpha", "holt_beta"])
 
 
+def _quoted(columns: list[str]) -> list[str]:
+    return [f"`{c.replace('`', '``')}`" for c in columns]
+
+
 def kl_shift(df: DataFrame, keys: list[str], value: str = "value", ts: str = "timestamp", width: int = TILE) -> DataFrame:
     """Largest increase of the divergence between neighbouring windows, and its 1-based position.
 
     The window ending at row t is compared with the one ending ``width - 1`` rows later; the position is the t
     of the later of the two compared divergences. Densities are kernels on a grid of 100 points over the range
-    of the series; a row is spread over these points, so a series is dealt over as many groups.
+    of the series. A row carries them as one array, so only values are shuffled. A window's sum is the rest of the tile of
+    ``width`` rows that it starts in and the beginning of the one it ends in: two running sums of each density and
+    no difference, which would lose the small densities, whose logarithms count.
     """
     whole = Window.partitionBy(*keys)
     order = whole.orderBy(ts)
@@ -145,18 +151,30 @@ def kl_shift(df: DataFrame, keys: list[str], value: str = "value", ts: str = "ti
     scale = F.when(narrow > 0, narrow).otherwise(F.col("_sd"))
     rows = rows.withColumn("_h", F.lit(0.9) * scale * F.pow(F.col("_known").cast("double"), F.lit(-0.2)))
     gap = (F.col("_high") - F.col("_low")) / F.lit(float(GRID_POINTS - 1))
-    points = F.explode(F.sequence(F.lit(0), F.lit(GRID_POINTS - 1))).alias("_g")
-    spread = rows.select(*keys, "_at", "_x", "_h", "_low", gap.alias("_gap"), points)
-    z = (F.col("_low") + F.col("_g") * F.col("_gap") - x) / F.col("_h")
-    density = F.exp(F.lit(-0.5) * z * z) / (F.col("_h") * F.lit(math.sqrt(2 * math.pi)))
-    spread = spread.select(*keys, "_g", "_at", "_gap", F.when(x.isNotNull(), F.greatest(density, F.lit(FLOOR))).alias("_d"))
-    own = Window.partitionBy(*keys, "_g").orderBy("_at")
-    frame = own.rowsBetween(-(width - 1), 0)
-    means = spread.withColumn("_m", F.when(F.col("_at") >= width, F.avg("_d").over(frame)))
-    later = F.lead("_m", width - 1).over(own)
-    terms = means.select(*keys, "_at", (F.col("_m") * (F.log("_m") - F.log(later)) * F.col("_gap")).alias("_t"))
-    divergence = terms.groupBy(*keys, "_at").agg(F.when(F.count("_t") == GRID_POINTS, F.sum("_t")).alias("_k"))
-    steps = divergence.withColumn("_step", F.col("_k") - F.lag("_k").over(Window.partitionBy(*keys).orderBy("_at")))
+    z = [f"((_low + {g} * _gap - _x) / _h)" for g in range(GRID_POINTS)]
+    density = [f"greatest(exp(-0.5D * {v} * {v}) / (_h * {math.sqrt(2 * math.pi)!r}D), {FLOOR!r}D)" for v in z]
+    names = _quoted(keys)
+    by, base = ", ".join(names), [*names, "_at", "_tile", "_x", "_h", "_low", "_gap"]
+    rows = rows.withColumns({"_gap": gap, "_tile": F.floor((F.col("_at") - 1) / F.lit(width))}).selectExpr(*base)
+
+    def in_tile(df: DataFrame, out: str, direction: str, *others: str) -> DataFrame:
+        frame = f"OVER (PARTITION BY {by}, _tile ORDER BY _at {direction} ROWS UNBOUNDED PRECEDING)"
+        sums = [f"coalesce(sum(CASE WHEN _x IS NOT NULL THEN {d} END) {frame}, 0D) AS _c{g}" for g, d in enumerate(density)]
+        packed = f"array({', '.join(f'_c{g}' for g in range(GRID_POINTS))}) AS {out}"
+        return df.selectExpr(*base, *others, *sums).selectExpr(*base, *others, packed)
+
+    own = Window.partitionBy(*keys).orderBy("_at")
+    summed = in_tile(in_tile(rows, "_rest", "DESC"), "_begun", "ASC", "_rest").withColumns(
+        {"_before": F.lag("_rest", width - 1).over(own), "_seen": F.count("_x").over(own.rowsBetween(-(width - 1), 0))}
+    )
+    both = F.when(F.col("_at") % width == 0, F.col("_begun")).otherwise(F.zip_with("_begun", "_before", lambda p, q: p + q))
+    means = summed.select(*keys, "_at", "_gap", F.when(F.col("_seen") > 0, both).alias("_sum"), "_seen")
+    means = means.where(F.col("_at") >= width).select(*keys, "_at", "_gap", F.transform("_sum", lambda v: v / F.col("_seen")).alias("_m"))
+    pairs = means.withColumn("_later", F.lead("_m", width - 1).over(own))
+    terms = F.zip_with("_m", "_later", lambda m, later: m * (F.log(m) - F.log(later)))
+    total = F.aggregate(terms, F.lit(0.0), lambda a, t: a + t) * F.col("_gap")
+    divergence = pairs.select(*keys, "_at", total.alias("_k"))
+    steps = divergence.withColumn("_step", F.col("_k") - F.lag("_k").over(own))
     # equal steps up to rounding take the first
     place = F.when(F.col("_step").isNotNull(), F.struct(-F.round("_step", 9), F.col("_at")))
     found = steps.groupBy(*keys).agg(F.max("_step").alias("max_kl_shift"), F.min_by("_at", place).cast("double").alias("max_kl_index"))

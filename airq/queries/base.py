@@ -163,6 +163,13 @@ def half_day_series(spark: SparkSession, folder: str) -> DataFrame:
     return gap_fill(means, ["sensor_id"], HALF_DAY).withColumn("value", F.col("value").cast("decimal(18,6)"))
 
 
+def dense_series(spark: SparkSession, folder: str) -> DataFrame:
+    """Gap-free hourly means of two halves of the sensors, as decimals: hours without a reading are rare."""
+    halves = observations(spark, folder).withColumn("sensor_id", F.col("sensor_id") % 2)
+    means = bin_means(halves, ["sensor_id"], ["value"], HOUR)
+    return gap_fill(means, ["sensor_id"], HOUR).withColumn("value", F.col("value").cast("decimal(18,6)"))
+
+
 # ---- the same views in SQL ----
 
 def sql_mean(x: str) -> str:
@@ -241,6 +248,7 @@ def sql_series(step: int, label: str) -> str:
 
 HALF_DAYS = sql_series(HALF_DAY, "12 HOUR")
 HOURS = sql_series(HOUR, "1 HOUR")
+DENSE_HOURS = HOURS.replace("user_id AS sensor_id", "user_id % 2 AS sensor_id")
 
 
 def sql_five(step: str = "hour") -> str:

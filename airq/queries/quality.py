@@ -10,7 +10,9 @@ from airq.operators.kpi_fit import fitted_kpis, spectral_entropies
 from airq.operators.quality import describe, describe_table, first_ranked, first_seen_order, null_report, rmse
 from airq.operators.scale import exact_quantiles
 from airq.plans.heatmap import heatmap_table
-from airq.queries.base import HALF_DAYS, HOURS, OBS, ORACLES, half_day_series, hourly_series, observations, query, sql_stamp, stamp, table
+from airq.queries.base import (
+    DENSE_HOURS, HALF_DAYS, HOURS, OBS, ORACLES, dense_series, half_day_series, hourly_series, observations, query, sql_stamp, stamp, table,
+)
 
 # Rows of a tile: hours of two days for the native figures, half days of five for the fitted ones.
 WIDTH = 48
@@ -309,6 +311,22 @@ def _(spark, folder):
     return _rounded(kpi_models.kl_shift(half_day_series(spark, folder), KEY, width=FIT_WIDTH), "max_kl_shift")
 
 
+# The same two figures with the scripts' settings, on series that are long and dense enough for them.
+@query("kpi_arch_hourly", _arch_sql(kpi_models.ARCH_LAGS).replace(HALF_DAYS, DENSE_HOURS))
+def _(spark, folder):
+    return _rounded(kpi_models.arch_statistic(dense_series(spark, folder), KEY), "arch_stat")
+
+
+def _kl_sql(width: int) -> str:
+    sql = ORACLES["kpi_kl_shift"].replace(f"n > {2 * FIT_WIDTH}", f"n > {2 * width}").replace(f"pos >= {FIT_WIDTH}", f"pos >= {width}")
+    return sql.replace(f"ROWS {FIT_WIDTH - 1} PRECEDING", f"ROWS {width - 1} PRECEDING").replace(f"lead(m, {FIT_WIDTH - 1})", f"lead(m, {width - 1})")
+
+
+@query("kpi_kl_hourly", _kl_sql(WIDTH).replace(HALF_DAYS, DENSE_HOURS))
+def _(spark, folder):
+    return _rounded(kpi_models.kl_shift(dense_series(spark, folder), KEY, width=WIDTH), "max_kl_shift")
+
+
 @query("kpi_entropy")
 def _(spark, folder):
     return spectral_entropies(half_day_series(spark, folder), KEY)
