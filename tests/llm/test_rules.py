@@ -77,3 +77,35 @@ def test_edges(spark):
         (None, 3, True, False), (1, 0, True, False), (2, 0, True, False), (3, 100_000, True, False),
     }
     assert dl.apply_rules(dl.text_statistics(df.limit(0)), rules).collect() == []
+
+
+def plain_shares(text):
+    """The learned rules' features from the text alone."""
+    n, chars, symbols, copies, repeats = plain_counts(text)
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = sum(bool(re.search(r"[^\x20\x09-\x0D]", x)) for x in text.split("\n"))
+    return {
+        "symbols_per_word": symbols / max(n, 1),
+        "marks_per_word": (text.count("!") + text.count("?")) / max(n, 1),
+        "upper_share": len(re.findall(r"[A-ZÀ-ÖØ-Þ]", text)) / max(chars, 1),
+        "repeat_share": repeats / max(n, 1),
+        "distinct_share": len(set(words)) / max(n, 1),
+        "duplicate_line_share": copies / max(lines, 1),
+        "word_length": chars / max(n, 1),
+        "words": float(n),
+    }
+
+
+def test_kept_is_the_list_evaluated_in_python(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rules = dl.fit_rules(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    assert rules
+    got = dl.apply_rules(dl.text_statistics(docs), rules).select("doc_id", "base_failed", "failed_rule", "kept").collect()
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in got:
+        share = plain_shares(texts[r.doc_id])
+        hit = [rule for rule in rules if all((share[c.feature] > c.threshold) == c.above for c in rule)]
+        assert r.failed_rule == (" and ".join(map(str, hit[0])) if hit else None)
+        assert r.kept == (not r.base_failed and not hit)
+    assert any(r.failed_rule for r in got) and any(r.kept for r in got)
