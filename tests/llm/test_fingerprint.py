@@ -68,3 +68,73 @@ def test_likeness(spark):
     same, inserted, apart, both_empty, one_empty, quarter = [r[0] for r in df.select(fp.likeness(F.col("a"), F.col("b"))).collect()]
     assert same == both_empty == 1 and one_empty == 0
     assert inserted > 0.85 and apart < 0.1 and 0.1 < quarter < 0.5
+
+
+WORD = (1 << 64) - 1
+
+
+def plain_mix(h):
+    """The spreading of 64-bit values with Python's whole numbers."""
+    for _ in range(2):
+        h = (h ^ (h >> 32)) * 0xD6E8FEB86659FD93 & WORD
+    return h ^ (h >> 32)
+
+
+def plain_fingerprint(text):
+    """Byte by byte: a hash of the last seven bytes marks the chunks' ends, a hash of each chunk is its character."""
+    back = pow(fp.BASE, -1, 1 << 64)
+    rolled = []
+    for i in range(len(text)):
+        h = 0
+        for k in range(min(7, i + 1)):
+            h += (text[i - k] + 1) * pow(back, k, 1 << 64)
+        rolled.append(plain_mix(h & WORD) >> 32)
+    bits = 1
+    while sum(r < 1 << (32 - bits) for r in rolled) >= 64:
+        bits += 1
+    out = [str(bits)]
+    for level in range(bits, bits + 5):
+        signature, h, size = "", 0, 0
+        for i, b in enumerate(text):
+            h, size = (h + (b + 1) * pow(fp.BASE, size, 1 << 64)) & WORD, size + 1
+            if rolled[i] < 1 << (32 - level) or i == len(text) - 1:
+                signature += chr(0x4E00 + plain_mix((h + size) & WORD) % 4096)
+                h, size = 0, 0
+        out.append(signature)
+    return ":".join(out)
+
+
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def plain_likeness(a, b):
+    if a == b:
+        return 1.0
+    (bits_a, *x), (bits_b, *y) = a.split(":"), b.split(":")
+    common = {int(bits_a) + i: s for i, s in enumerate(x)}.keys() & {int(bits_b) + i for i in range(len(y))}
+    if not common or not x[0] or not y[0]:
+        return 0.0
+    level = min(common)
+    s, t = x[level - int(bits_a)], y[level - int(bits_b)]
+    return 1 - plain_distance(s, t) / max(len(s), len(t), 1)
+
+
+def test_against_byte_loops(spark):
+    dice = random.Random(6)
+    words = [f"w{i}" for i in range(300)]
+    texts = ["", "a", "ab" * 3, "x" * 200, "äöü " * 40] + [" ".join(dice.choices(words, k=n)) for n in (5, 20, 80, 300, 900)]
+    texts += [t[: len(t) // 2] + "changed" + t[len(t) // 2 :] for t in texts] + [texts[-1] + " " + texts[-2]]
+    prints = [fp.fingerprint(t.encode()) for t in texts]
+    assert prints == [plain_fingerprint(t.encode()) for t in texts]
+    assert len({p.split(":")[0] for p in prints}) > 2
+    pairs = [(a, b) for a in prints for b in prints]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = {(r.a, r.b): r.near for r in df.select("a", "b", fp.likeness(F.col("a"), F.col("b")).alias("near")).collect()}
+    for a, b in pairs:
+        assert got[a, b] == pytest.approx(plain_likeness(a, b))
