@@ -15,8 +15,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airq.operators.kpi_models import ARCH_LAGS, TILE, arch_statistic, holt_parameters, kl_shift
+from airq.operators.kpi_models import ARCH_LAGS, TILE, arch_statistic, kl_shift
 from airq.operators.scale import lookup_join
+from airq.operators.smoothing import holt_parameters
 
 
 def longest_stretch(x: np.ndarray) -> np.ndarray:

@@ -1,8 +1,8 @@
 """Quality figures that fit a small model to each regular series, in native expressions.
 
 Input as for ``kpi``: one row per key and bin. The estimators are declared substitutes for those of statistics
-packages: least squares for the ARCH regression, a search over a declared grid for the smoothing parameters
-and a Gaussian kernel with the usual rule-of-thumb width for the divergence.
+packages: least squares for the ARCH regression and a Gaussian kernel with the usual rule-of-thumb width for the
+divergence. ``smoothing`` has the parameters of the trend smoother.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ ARCH_LAGS = 24
 GRID_POINTS = 100
 # Least density of a kernel, 38 widths away from its centre.
 FLOOR = math.exp(-0.5 * 38.0**2) / math.sqrt(2 * math.pi)
-SMOOTHING = [i / 20 for i in range(1, 20)]
 
 
 # A pivot below this share of its own sum of squares says that its lag is a mixture of those before it.
@@ -68,60 +67,15 @@ def arch_statistic(df: DataFrame, keys: list[str], value: str = "value", ts: str
     left = F.aggregate(F.sequence(F.lit(1), F.lit(lags)), F.col("_m"), eliminate)
     r2 = F.lit(1.0) - F.try_divide(F.get(left, F.lit(0)), F.get(F.col("_m"), F.lit(0)))
     fitted = matrix.select(*keys, F.when(F.col("_n") > lags + 1, r2).alias("arch_stat"))
-    return _for_all(df, keys, fitted, ["arch_stat"])
+    return with_all_keys(df, keys, fitted, ["arch_stat"])
 
 
-def _for_all(df: DataFrame, keys: list[str], found: DataFrame, figures: list[str]) -> DataFrame:
+def with_all_keys(df: DataFrame, keys: list[str], found: DataFrame, figures: list[str]) -> DataFrame:
     """One row for every key of ``df``, with null figures where nothing was found."""
     empty = df.select(*keys).distinct().withColumns({f: F.lit(None).cast(found.schema[f].dataType) for f in figures})
     return found.unionByName(empty).groupBy(*keys).agg(*[F.max(f).alias(f) for f in figures])
 
 
-def longest_stretch(df: DataFrame, keys: list[str], value: str, ts: str) -> DataFrame:
-    """``(keys, values)``: the longest run of a series without null, the first of equals, as an array."""
-    order = Window.partitionBy(*keys).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    rows = df.select(*keys, ts, F.col(value).cast("double").alias("_x"))
-    rows = rows.withColumn("_run", F.sum(F.col("_x").isNull().cast("long")).over(order)).where(F.col("_x").isNotNull())
-    runs = rows.groupBy(*keys, "_run").agg(
-        F.array_sort(F.collect_list(F.struct(F.col(ts).alias("t"), F.col("_x").alias("x")))).alias("_points"),
-        F.count(F.lit(1)).alias("_n"),
-    )
-    return runs.groupBy(*keys).agg(F.max_by("_points.x", F.struct("_n", -F.col("_run"))).alias("values"))
-
-
-def holt_parameters(df: DataFrame, keys: list[str], value: str = "value", ts: str = "timestamp") -> DataFrame:
-    """Level and trend smoothing of an additive-trend smoother, beta at most alpha, with the lowest squared one-step error.
-
-    All pairs of a declared grid (steps of a twentieth) are folded over the longest stretch together. Null for
-    fewer than four values and for a constant.
-    """
-    grid = [(a, b) for a in SMOOTHING for b in SMOOTHING if b <= a]
-    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in grid])
-    x = F.col("values")
-    start = F.transform(
-        pairs, lambda p: F.struct(x[0].alias("level"), (x[1] - x[0]).alias("trend"), F.lit(0.0).alias("sse"), p["a"].alias("a"), p["b"].alias("b"))
-    )
-
-    def step(state: Column, v: Column) -> Column:
-        def one(s: Column) -> Column:
-            error = v - s["level"] - s["trend"]
-            return F.struct(
-                (s["level"] + s["trend"] + s["a"] * error).alias("level"),
-                (s["trend"] + s["b"] * error).alias("trend"),
-                (s["sse"] + error * error).alias("sse"),
-                s["a"].alias("a"),
-                s["b"].alias("b"),
-            )
-
-        return F.transform(state, one)
-
-    folded = F.aggregate(F.slice(x, 2, F.size(x)), start, step)
-    best = F.array_min(F.transform(folded, lambda s: F.struct(s["sse"], s["a"], s["b"])))
-    usable = longest_stretch(df, keys, value, ts).where((F.size(x) >= 4) & (F.array_min(x) < F.array_max(x)))
-    found = usable.withColumn("_best", best).select(*keys, F.col("_best.a").alias("holt_alpha"), F.col("_best.b").alias("holt_beta"))
-    return _for_all(df, keys, found, ["holt_alpha", "holt_beta"])
-
-
 def _quoted(columns: list[str]) -> list[str]:
     return [f"`{c.replace('`', '``')}`" for c in columns]
 
@@ -178,4 +132,4 @@ def kl_shift(df: DataFrame, keys: list[str], value: str = "value", ts: str = "ti
     # equal steps up to rounding take the first
     place = F.when(F.col("_step").isNotNull(), F.struct(-F.round("_step", 9), F.col("_at")))
     found = steps.groupBy(*keys).agg(F.max("_step").alias("max_kl_shift"), F.min_by("_at", place).cast("double").alias("max_kl_index"))
-    return _for_all(df, keys, found, ["max_kl_shift", "max_kl_index"])
+    return with_all_keys(df, keys, found, ["max_kl_shift", "max_kl_index"])

@@ -9,6 +9,7 @@ from airq.operators.clean import keep_usable, scale_by_maximum, usable_sensors
 from airq.operators.kpi_fit import fitted_kpis, spectral_entropies
 from airq.operators.quality import describe, describe_table, first_ranked, first_seen_order, null_report, rmse
 from airq.operators.scale import exact_quantiles
+from airq.operators.smoothing import holt_parameters
 from airq.plans.heatmap import heatmap_table
 from airq.queries.base import (
     DENSE_HOURS, HALF_DAYS, HOURS, OBS, ORACLES, dense_series, half_day_series, hourly_series, observations, query, sql_stamp, stamp, table,
@@ -288,7 +289,7 @@ best AS (SELECT f.sensor_id, arg_min(a, (sse, a, b)) AS holt_alpha, arg_min(b, (
 SELECT sensor_id, holt_alpha, holt_beta FROM every LEFT JOIN best USING (sensor_id)""",
 )
 def _(spark, folder):
-    return kpi_models.holt_parameters(half_day_series(spark, folder), KEY)
+    return holt_parameters(half_day_series(spark, folder), KEY)
 
 
 @query(
@@ -311,7 +312,7 @@ def _(spark, folder):
     return _rounded(kpi_models.kl_shift(half_day_series(spark, folder), KEY, width=FIT_WIDTH), "max_kl_shift")
 
 
-# The same two figures with the scripts' settings, on series that are long and dense enough for them.
+# The same figures with the scripts' settings, on series that are long and dense enough for them.
 @query("kpi_arch_hourly", _arch_sql(kpi_models.ARCH_LAGS).replace(HALF_DAYS, DENSE_HOURS))
 def _(spark, folder):
     return _rounded(kpi_models.arch_statistic(dense_series(spark, folder), KEY), "arch_stat")
@@ -327,6 +328,11 @@ def _(spark, folder):
     return _rounded(kpi_models.kl_shift(dense_series(spark, folder), KEY, width=WIDTH), "max_kl_shift")
 
 
+@query("kpi_holt_hourly", ORACLES["kpi_holt"].replace(HALF_DAYS, DENSE_HOURS))
+def _(spark, folder):
+    return holt_parameters(dense_series(spark, folder), KEY)
+
+
 @query("kpi_entropy")
 def _(spark, folder):
     return spectral_entropies(half_day_series(spark, folder), KEY)
