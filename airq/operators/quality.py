@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airq.functions.stats import mean
 from airq.operators.scale import exact_quantiles, exact_quantiles_by, global_order, keep_keys, lookup_join
 
+# Largest mean number of copies of a row; its thresholds are a literal of the plan.
+MOST_DRAWS = 100
+
 
 def counted_keys(df: DataFrame, keys: list[str], more_than: int = 0) -> DataFrame:
     """Rows per key, only keys with more than the given number (1 shows keys that are not unique)."""
@@ -123,5 +128,31 @@ def hashed_sample(df: DataFrame, key: str, every: int, remainder: int = 0) -> Da
     return df.where(digest % every == remainder)
 
 
-def random_sample(df: DataFrame, fraction: float, with_replacement: bool = True, seed: int = 42) -> DataFrame:
-    return df.sample(withReplacement=with_replacement, fraction=fraction, seed=seed)
+def draw_thresholds(expected: float) -> list[float]:
+    """Chances that a Poisson count is at most 0, 1, 2 and so on, as far as they differ from 1."""
+    chance = total = math.exp(-expected)
+    found = []
+    while total < 1.0 and chance > 0.0:
+        found.append(total)
+        chance *= expected / len(found)
+        total += chance
+    return found
+
+
+def random_sample(df: DataFrame, keys: list[str], fraction: float, with_replacement: bool = True, seed: int = 42) -> DataFrame:
+    """Rows drawn by a digest of their ``keys`` and the seed: the same on any cluster and for any partitioning.
+
+    With replacement a row occurs as often as a Poisson count of mean ``fraction`` says, read off the row's own
+    uniform number; without, it stays if that number is below ``fraction``. Rows with equal keys share their number,
+    so the keys should tell rows apart; null keys are a value like others.
+    """
+    if not 0 <= fraction <= MOST_DRAWS:
+        raise ValueError(f"fraction must lie between 0 and {MOST_DRAWS}")
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
+    digest = F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint")
+    uniform = digest.cast("double") / F.lit(2.0**52)
+    if not with_replacement:
+        return df.where(uniform < F.lit(float(fraction)))
+    # as many copies as thresholds at or below the number
+    below = F.filter(F.array(*[F.lit(t) for t in draw_thresholds(fraction)]), lambda t: t <= uniform)
+    return df.select("*", F.explode(below).alias("_copy")).drop("_copy")

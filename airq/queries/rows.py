@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from airq.functions.geo import REGION
 from airq.operators.clean import complete, earliest, inside, negative_to_null, lenient_number, sentinel_to_null, since, without_type
-from airq.operators.quality import counted_keys, distinct_per_group, hashed_sample, lifetime_summary, random_sample
+from airq.operators.quality import counted_keys, distinct_per_group, draw_thresholds, hashed_sample, lifetime_summary, random_sample
 from airq.operators.scale import keep_keys
 from airq.queries.base import OBS, PLACED, observations, placed, query, sql_stamp, stamp, table
 from airq.sources.tables import row_count
@@ -203,9 +203,22 @@ def _(spark, folder):
     return hashed_sample(table(spark, folder, "events"), "user_id", 10, 3).select("event_id", "user_id")
 
 
-@query("random_sample")
+def _uniform(seed: int) -> str:
+    return f"CAST('0x' || md5('{seed}:' || event_id)[1:13] AS BIGINT) / CAST({2**52} AS DOUBLE)"
+
+
+_DRAWN = f"len(list_filter({draw_thresholds(0.1)!r}, lambda t: t <= {_uniform(42)}))"
+
+
+@query("random_sample", f"SELECT event_id, value FROM (SELECT event_id, value, unnest(range({_DRAWN})) AS copy FROM events)")
+def _(spark, folder):
+    return random_sample(table(spark, folder, "events"), ["event_id"], 0.1).select("event_id", "value")
+
+
+@query("random_sample_once", f"SELECT event_id, value FROM events WHERE {_uniform(7)} < 0.25")
 def _(spark, folder):
-    return random_sample(table(spark, folder, "events"), 0.1).select("event_id", "value")
+    rows = random_sample(table(spark, folder, "events"), ["event_id"], 0.25, with_replacement=False, seed=7)
+    return rows.select("event_id", "value")
 
 
 @query(
@@ -215,7 +228,7 @@ def _(spark, folder):
 def _(spark, folder):
     """What holds of a sample with replacement, whatever rows it draws: all are given rows, and about the share asked for."""
     rows = table(spark, folder, "events").select("event_id", "value")
-    drawn = random_sample(rows, 0.5).groupBy("event_id", "value").agg(F.count(F.lit(1)).alias("drawn"))
+    drawn = random_sample(rows, ["event_id"], 0.5).groupBy("event_id", "value").agg(F.count(F.lit(1)).alias("drawn"))
     both = rows.withColumn("given", F.lit(1)).join(drawn, ["event_id", "value"], "full")
     return both.agg(
         (F.count("given") == F.count(F.lit(1))).alias("only_given_rows"),

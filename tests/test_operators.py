@@ -1,3 +1,4 @@
+import collections
 import datetime as dt
 import math
 import random
@@ -367,6 +368,40 @@ def test_mutual_information(spark):
     assert [r.feature for r in best] == ["x"]
 
 
+def test_mutual_information_of_skewed_values(spark):
+    rng = random.Random(9)
+    rows = [(x := rng.random(), math.exp(20 * x), None if i % 5 else 1.0, None) for i in range(2000)]
+    df = spark.createDataFrame(rows, "x double, y double, z double, none double")
+    by_counts, by_widths = (
+        {r.feature: r.score for r in features.mutual_information(df, ["x", "z", "none"], "y", 8, cuts).collect()} for cuts in ("quantile", "width")
+    )
+    assert math.isclose(by_counts["x"], math.log(8), rel_tol=1e-3) and by_widths["x"] < 0.6
+    assert by_counts["z"] == 0 and "none" not in by_counts
+    assert features.mutual_information(df.limit(0), ["x"], "y").collect() == []
+    with pytest.raises(ValueError):
+        features.mutual_information(df, ["x"], "y", cuts="other")
+
+
+def test_random_sample_is_the_same_for_any_partitioning(spark):
+    rows = [(i, f"k{i % 7}", None if i % 3 else "s") for i in range(4000)]
+    df = spark.createDataFrame(rows, "i long, k string, n string")
+    draws = [sorted(quality.random_sample(df.repartition(n), ["i", "n"], 1.5).collect(), key=str) for n in (1, 7)]
+    assert draws[0] == draws[1]
+    counts = collections.Counter(r.i for r in draws[0])
+    shares = [sum(c == k for c in counts.values()) / 4000 for k in (1, 2, 3)]
+    expected = [math.exp(-1.5) * 1.5**k / math.factorial(k) for k in (1, 2, 3)]
+    assert all(abs(s - e) < 0.03 for s, e in zip(shares, expected))
+    assert quality.random_sample(df, ["i"], 0).count() == 0
+    assert abs(quality.random_sample(df, ["i"], 100).count() / 4000 - 100) < 1
+    once = quality.random_sample(df, ["i"], 0.25, with_replacement=False)
+    assert once.count() == once.distinct().count() and abs(once.count() / 4000 - 0.25) < 0.03
+    other = quality.random_sample(df, ["i"], 0.25, with_replacement=False, seed=1)
+    assert 100 < other.join(once, "i").count() < 400
+    for fraction in (-0.1, 101):
+        with pytest.raises(ValueError):
+            quality.random_sample(df, ["i"], fraction)
+
+
 def test_select_features():
     names = ["P1", "P1_feat", "P2_feat", "P1_lag48_feat", "humidity_feat"]
     assert features.select_features(names) == (["P1_lag48_feat", "humidity_feat"], "P1_feat")
