@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from airq.queries import features, geography, ingest, quality, resampling, rows, series, stations, values
+from airq.queries import features, geography, ingest, plans, quality, resampling, rows, series, stations, values
 from airq.queries.base import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "features", "geography", "ingest", "quality", "resampling", "rows", "series", "stations", "values"]
+__all__ = ["ORACLES", "QUERIES", "features", "geography", "ingest", "plans", "quality", "resampling", "rows", "series", "stations", "values"]
