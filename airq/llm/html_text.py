@@ -20,11 +20,13 @@ from airq.llm.common import byte_slices, texts_of
 from airq.llm.url_filter import host_and_path
 from airq.session import materialise
 
-# Winning paths are broadcast up to that many hosts; beyond it pages and paths meet in a shuffle.
-BROADCAST_HOSTS = 200_000
+# Winning paths are broadcast up to that many bytes of hosts and paths; beyond it pages and paths meet in a shuffle.
+BROADCAST_BYTES = 64 << 20
+# Pages without a host have no path to meet; their keys are spread over so many values.
+NO_HOST_PARTS = 4096
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript".split())
+RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript template".split())
 # Elements of other vocabularies: "/>" closes them, their own tags are passed over, tags of blocks end them.
 FOREIGN = frozenset(("svg", "math"))
 INLINE = frozenset(
@@ -44,6 +46,19 @@ ASIDE_WORDS = frozenset(
 )
 # Marks that name a wrapper of the whole page less often than a part of it.
 ASIDE_WORDS_STRONG = frozenset("comment comments commentlist disqus discussion replies reply respond".split())
+# Words that mark a part whatever stands beside them in its name.
+ASIDE_WORDS_SURE = frozenset(
+    "navbar breadcrumb breadcrumbs pagination masthead topbar sidebar gdpr paywall newsletter adsense adbox adslot "
+    "advert adverts advertisement advertising sponsored".split()
+)
+# Words that add nothing to a name: it marks a part if one of its words does and these make up the rest.
+NEUTRAL = frozenset(
+    "area bar body bottom box block button buttons c card cards col column container content cta group holder inline inner insert "
+    "item items js label left link links list main message module my outer page panel post posts row section site slot "
+    "small stories story text title top unit wrap wrapper right x".split()
+)
+# Blocks of text, whose names say what the text is about as often as what kind of part it is.
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th figcaption".split())
 # How many times the text outside it a part marked as aside must hold to be taken for a wrapper.
 WRAPPER_TIMES = 9
 # A word behind one of these says what a wrapper has, not what it is.
@@ -68,7 +83,11 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)(?P<rest2>[^>]*+)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?+")
+READ_ATTRIBUTES = frozenset("class id role itemprop hidden style".split())
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
+# Inside a script: what starts and ends the parts in which an end tag does not end it.
+_SCRIPT = re.compile(r"<!--(?P<shut>-?>)?|-->|<(?P<end>/?)script(?=[\s/>])", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 _NUMBER = re.compile(r"[0-9]+")
 
@@ -81,6 +100,7 @@ class Element:
     mark: int
     named: bool
     main: bool
+    doubt: bool = False
     aside: bool = False
 
 
@@ -107,25 +127,90 @@ class Page:
         return ">".join(reversed(labels))
 
 
-def marked_words(values: dict[str, str]) -> set[str]:
-    found = set()
+def marked_words(values: dict[str, str]) -> tuple[set[str], bool]:
+    """Words of class and id that mark a part as aside, and whether one of the names is about nothing else."""
+    found, whole = set(), False
     for name in f"{values.get('class', '')} {values.get('id', '')}".split():
         words = [w.lower() for w in _WORD.findall(name)]
-        found.update(w for i, w in enumerate(words) if w in ASIDE_WORDS and (i == 0 or words[i - 1] not in HAVING))
-    return found
+        marks = {w for i, w in enumerate(words) if w in ASIDE_WORDS and (i == 0 or words[i - 1] not in HAVING)}
+        found |= marks
+        if marks:
+            whole = whole or bool(marks & ASIDE_WORDS_SURE) or all(w in marks or w in NEUTRAL or w.isdigit() for w in words)
+    return found, whole
+
 
+def not_shown(values: dict[str, str]) -> bool:
+    return "hidden" in values or bool(_NOT_SHOWN.search(values.get("style", "")))
 
-def aside_mark(tag: str, values: dict[str, str]) -> int:
-    """0 for a part that may be main text, 1 for one marked as aside by a word or as a form, 2 by a stronger sign."""
+
+def aside_mark(tag: str, values: dict[str, str]) -> tuple[int, bool]:
+    """0 for a part that may be main text, 1 for one marked as aside by a word or as a form, 2 by a stronger sign;
+    and whether the mark is in doubt, because it rests on one word of a longer name."""
     if tag in ("html", "body", *MAIN):
-        return 0
+        return 0, False
     role = values.get("role", "").lower()
-    if (tag in ASIDE_TAGS and tag != "form") or (role in ASIDE_ROLES and role != "form"):
-        return 2
-    words = marked_words(values)
+    if not_shown(values) or (tag in ASIDE_TAGS and tag != "form") or (role in ASIDE_ROLES and role != "form"):
+        return 2, False
+    words, whole = marked_words(values)
     if words & ASIDE_WORDS_STRONG:
-        return 2
-    return int(bool(words) or tag == "form" or role == "form")
+        return 2, False
+    form = tag == "form" or role == "form"
+    return int(bool(words) or form), bool(words) and not whole and not form
+
+
+def settle_doubts(page: Page) -> None:
+    """Take back marks in doubt of text blocks, and of parts of an article or main part, that are not mostly links."""
+    elements = page.elements
+    if not any(e.doubt for e in elements):
+        return
+    text, links = [0] * len(elements), [0] * len(elements)
+    for at, _, block, linked in page.blocks:
+        text[at] += len(block)
+        links[at] += linked
+    for i in range(len(elements) - 1, 0, -1):
+        text[elements[i].parent] += text[i]
+        links[elements[i].parent] += links[i]
+    in_main = [False] * len(elements)
+    for i in range(1, len(elements)):
+        e = elements[i]
+        if e.doubt and (in_main[e.parent] or e.tag in TEXT_TAGS) and 2 * links[i] < text[i]:
+            e.mark = 0
+        in_main[i] = in_main[e.parent] or (e.main and not e.named)
+
+
+def keep_titles(page: Page) -> None:
+    """First headings in the header of an article or main part belong to it."""
+    elements = page.elements
+    in_main, marked = [False] * len(elements), [0] * len(elements)
+    for i in range(1, len(elements)):
+        e = elements[i]
+        in_main[i] = in_main[e.parent] or (e.main and not e.named)
+        marked[i] = i if e.mark else marked[e.parent]
+        by = elements[marked[i]]
+        if e.tag == "h1" and e.aside and by.tag == "header" and in_main[by.parent] and not elements[by.parent].aside:
+            e.aside = False
+
+
+def script_end(source: str, at: int) -> int:
+    """Where the end tag of the script stands whose text begins at ``at``.
+
+    Behind ``<!--`` a start tag of a script takes the next end tag, up to ``-->``. If that leaves the script open, its first end tag counts.
+    """
+    escaped = 0
+    first = -1
+    for m in _SCRIPT.finditer(source, at):
+        if m[0].startswith("<!--"):
+            escaped = escaped or int(not m["shut"])
+        elif m[0] == "-->":
+            escaped = 0
+        elif m["end"]:
+            first = m.start() if first < 0 else first
+            if escaped < 2:
+                return m.start()
+            escaped = 1
+        elif escaped:
+            escaped = 2
+    return first if first >= 0 else len(source)
 
 
 def settle_asides(page: Page) -> None:
@@ -177,7 +262,11 @@ def parse(source: str) -> Page:
     page = Page()
     elements, stack = page.elements, [0]
     parts: list[str] = []
-    links, link_depth, pictures, at = 0, 0, 0, 0
+    links, link_depth, unseen, at = 0, 0, 0, 0
+
+    def passed_over(element: Element) -> bool:
+        """Whether the element is inline and none of its text is shown."""
+        return element.tag == "svg" or (element.mark == 2 and element.tag in INLINE)
 
     def flush() -> None:
         nonlocal links
@@ -189,17 +278,17 @@ def parse(source: str) -> Page:
         links = 0
 
     def close(upto: int) -> None:
-        nonlocal link_depth, pictures
+        nonlocal link_depth, unseen
         if any(elements[i].tag not in INLINE for i in stack[upto:]):
             flush()
         for i in stack[upto:]:
             link_depth -= elements[i].tag == "a"
-            pictures -= elements[i].tag == "svg"
+            unseen -= passed_over(elements[i])
         del stack[upto:]
 
     def add(text: str) -> None:
         nonlocal links
-        if text and not pictures:
+        if text and not unseen:
             text = html.unescape(text) if "&" in text else text
             parts.append(text)
             if link_depth:
@@ -223,6 +312,9 @@ def parse(source: str) -> Page:
                     break
             continue
         if tag in RAW:
+            if tag == "script":
+                at = script_end(source, at)
+                continue
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(source, at)
             at = end.start() if end else size
             continue
@@ -251,18 +343,22 @@ def parse(source: str) -> Page:
             continue
         values = {}
         for m in _ATTRIBUTE.finditer(rest):
-            values.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
+            if (name := m[1].lower()) in READ_ATTRIBUTES:
+                values.setdefault(name, html.unescape(m[2] or m[3] or m[4] or ""))
         classes = ".".join(_NUMBER.sub("#", c) for c in values.get("class", "").split())
         parent = stack[-1]
         main = tag in MAIN or values.get("role", "").lower() == "main" or values.get("itemprop", "") == "articleBody"
         label = f"{tag}.{classes}" if classes else tag
-        named = main and bool(marked_words(values))
-        elements.append(Element(tag, label, parent, aside_mark(tag, values), named, main))
+        named = main and bool(marked_words(values)[0])
+        mark, doubt = aside_mark(tag, values)
+        elements.append(Element(tag, label, parent, mark, named, main, doubt))
         stack.append(len(elements) - 1)
         link_depth += tag == "a"
-        pictures += tag == "svg"
+        unseen += passed_over(elements[-1])
     flush()
+    settle_doubts(page)
     settle_asides(page)
+    keep_titles(page)
     return page
 
 
@@ -298,15 +394,21 @@ def best_container(page: Page) -> int:
 
 
 def main_text(page: Page, path: str | None) -> str:
-    """Text of the containers on ``path``, else of the page's best one.
+    """Text of the containers on ``path``, else of those on the path of the page's best one.
 
     Parts that are aside and whatever lies in them are left out; a first heading that stands beside the
     container, in one of the elements around it, belongs to the text.
     """
     elements = page.elements
-    labels = path.split(">")[::-1] if path else []
-    chosen = {i for i in range(len(elements)) if labels and not elements[i].aside and page.lies_on(i, labels)}
-    chosen = chosen or {best_container(page)}
+
+    def on(path: str | None) -> set[int]:
+        labels = path.split(">")[::-1] if path else []
+        return {i for i in range(len(elements)) if labels and not elements[i].aside and page.lies_on(i, labels)}
+
+    chosen = on(path)
+    if not chosen:
+        best = best_container(page)
+        chosen = on(page.path(best)) or {best}
     inside = [i in chosen for i in range(len(elements))]
     around = set()
     for i in chosen:
@@ -358,7 +460,7 @@ def extract_text(
     id_column: str = "page_id",
     url_column: str = "url",
     html_column: str = "html",
-    broadcast_hosts: int = BROADCAST_HOSTS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """One row per row of ``pages``: id, url, ``text`` (blocks joined by a line feed), ``n_chars``.
 
@@ -372,8 +474,13 @@ def extract_text(
         F.col(html_column).alias("html"),
     )
     winners = materialise(host_paths(rows.select("host", "html")))
-    few = winners.count() <= broadcast_hosts
-    joined = rows.join(F.broadcast(winners) if few else winners, "host", "left").select("_id", "_url", "path", "html")
+    measured = winners.agg(F.sum(F.octet_length("host") + F.octet_length("path")).alias("bytes")).first()["bytes"] or 0
+    if measured <= broadcast_bytes:
+        joined = rows.join(F.broadcast(winners), "host", "left")
+    else:
+        spread = F.concat(F.lit("?"), F.pmod(F.xxhash64("_id", "html"), F.lit(NO_HOST_PARTS)).cast("string"))
+        joined = rows.withColumn("host", F.when(F.col("host") == "", spread).otherwise(F.col("host"))).join(winners, "host", "left")
+    joined = joined.select("_id", "_url", "path", "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

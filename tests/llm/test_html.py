@@ -53,8 +53,8 @@ def test_consensus_of_a_host_beats_one_odd_page(spark):
     rows += [(5, "https://h.example/odd", page("tiny", ARTICLE * 4)), (6, "https://other.example/", page("tiny", ARTICLE * 4))]
     rows += [(7, None, page("tiny", ARTICLE * 4)), (8, "https://h.example/", None), (9, "x", ""), (9, "x", "")]
     df = spark.createDataFrame([(*r, "extra") for r in rows], "page_id long, url string, html string, host string")
-    for broadcast_hosts in (100, 0):
-        got = html_text.extract_text(df, broadcast_hosts=broadcast_hosts).collect()
+    for broadcast_bytes in (10_000, 0):
+        got = html_text.extract_text(df, broadcast_bytes=broadcast_bytes).collect()
         assert len(got) == len(rows)
         by = {r.page_id: r.text for r in got}
         assert by[0] == ARTICLE * 3 and by[5] == "tiny" and by[6] == by[7] == ARTICLE * 4
@@ -96,3 +96,51 @@ def test_parts_aside_that_hold_much_stay_aside():
         assert text(f"<div>{article}{part}</div>") == f"Title\n{ARTICLE}"
         assert text(f"<article>{article}</article>{part}") == f"Title\n{ARTICLE}"
     assert text(f"<main>{article}<div class=related><article><p>A card</p></article></div></main>") == f"Title\n{ARTICLE}"
+
+
+def test_titles_in_the_header_of_an_article():
+    header = "<header><nav><h1>Menu</h1></nav><div><h1>Title</h1></div><p>By someone</p></header>"
+    for a in ("article", "main", "div role=main"):
+        end = a.split()[0]
+        assert text(f"<header><h1>Site</h1></header><{a}>{header}<p>{ARTICLE}</p></{end}>") == f"Title\n{ARTICLE}"
+    assert text(f"<article class=comment><header><h1>No</h1></header></article><article><p>{ARTICLE}</p></article>") == ARTICLE
+
+
+def test_names_that_hold_a_word_of_parts_aside():
+    about = "".join(f"<{t} class={c}>about {c}</{t}>" for t, c in (("p", "share-price"), ("div", "form-factor"), ("section", "related-work"), ("td", "sideEffects")))
+    lines = "\n".join(f"about {c}" for c in ("share-price", "form-factor", "related-work", "sideEffects"))
+    parts = "".join(
+        f"<div class='{c}'>no</div>"
+        for c in ("related", "related-posts", "share-buttons", "ad-300x250", "newsletter-teaser", "cookieNotice", "x ads", "social_links", "comment-on", "promo")
+    )
+    links = "<div class=related-reading><a href=x>One story</a>, <a href=y>another story</a></div>"
+    assert text(f"<article><p>{ARTICLE}</p>{about}{parts}{links}</article>") == f"{ARTICLE}\n{lines}"
+    assert text(f"<div class=k><p>{ARTICLE}</p><p class=share-price>It rose.</p><div class=share-bar>no</div></div>") == f"{ARTICLE}\nIt rose."
+    assert text(f"<article><p data-id=comments data-class='ad'>{ARTICLE}</p></article>") == ARTICLE
+
+
+def test_text_that_is_not_shown():
+    cases = {
+        "<article><p>a</p><template><p>no</p></template><p>b</p></article>": "a\nb",
+        "<article><p>a</p><p hidden>no</p><div style='color:red; DISPLAY : none'><p>no</p></div><p>b</p></article>": "a\nb",
+        "<article><p>a <span hidden>no <b>no</b></span>b <b style=display:none>no</b>c</p></article>": "a b c",
+        "<article><p class=hidden title='hidden'>a</p><p data-hidden>b</p></article>": "a\nb",
+        "<p>a<script><!-- <script>no</script> <p>no</p> --></script>b</p>": "ab",
+        "<p>a<script><!--<script>no</script> <p>no</p></script>b</p>": "ab",
+        "<p>a<script>x = '<!-->' </script>b</p>": "ab",
+        "<p>a<script><!-- no </script>b</p>": "ab",
+        "<p>a<script><!-- <script> no </script>b</p>": "ab",
+        "<p>a<script><!-- --> <script> no </script>b</p>": "ab",
+    }
+    assert {k: text(k) for k in cases} == cases
+
+
+def test_all_articles_side_by_side_without_a_host():
+    page = f"<nav>no</nav><article><p>{ARTICLE}</p></article><article><p>The second one.</p></article><footer>no</footer>"
+    assert text(page) == text(page, "article") == f"{ARTICLE}\nThe second one."
+
+
+def test_long_lists_of_attributes_take_linear_time():
+    assert text("<p " + "a=1 " * 300_000 + ">x") == "x"
+    assert text("<p " + "a" * 600_000 + " =>x") == "x"
+    assert text("<script>" + "<!-- <script> " * 100_000 + "</script>x") == "x"
