@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from airq.session import materialise
 
-# Lengths up to this are told apart; longer ones are counted in classes as wide as a 128th of a power of two.
-EXACT = 1024
 # Rows that are numbered together.
 PART_ROWS = 4096
 
@@ -34,53 +32,62 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def length_class(length: Column) -> Column:
-    """The length itself, or for a long one the least value of its class that is not smaller."""
-    step = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(length, F.lit(1)).cast("double"))) - 7)
-    return F.when(length <= EXACT, length).otherwise((F.ceil(length / step) * step).cast("long"))
-
-
 def best_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     """At most ``buckets`` of the ascending ``lengths`` such that rounding up to them adds the least in all.
 
-    The last length is always one. Of equally good choices the one with the smaller boundaries is taken.
+    The last length is always one. Of equally good choices the one with the smaller boundaries is taken. A bucket
+    that begins behind the first ``i`` lengths costs what a line with a slope of minus their count says at its boundary,
+    and boundaries ascend, so each round walks once along the lower hull of these lines, in whole numbers.
     """
-    n = len(lengths)
+    up, n = [int(x) for x in lengths], len(lengths)
     if n <= buckets:
-        return [int(x) for x in lengths]
-    up = lengths.astype(np.float64)
-    before = np.concatenate(([0.0], np.cumsum(counts, dtype=np.float64)))
-    mass = np.concatenate(([0.0], np.cumsum(up * counts)))
-    # cost[j]: least padding of the first j lengths; cut[k][j]: where its last bucket begins
-    cost = np.concatenate(([0.0], np.full(n, np.inf)))
+        return up
+    before, mass = [0], [0]
+    for x, c in zip(up, counts):
+        before.append(before[-1] + int(c))
+        mass.append(mass[-1] + x * int(c))
+    # cost[j]: least padding of the first j lengths, none where they need more buckets; cut: where the last one begins
+    cost: list[int | None] = [0, *[None] * n]
     cuts = []
     for _ in range(buckets):
-        following = np.full(n + 1, np.inf)
-        following[0] = 0.0
-        cut = np.zeros(n + 1, dtype=np.int64)
+        hull: list[tuple[int, int, int]] = []  # count, intercept, first lengths
+        at = 0
+        following, cut = [0], np.zeros(n + 1, dtype=np.int32)
         for j in range(1, n + 1):
-            total = cost[:j] + up[j - 1] * (before[j] - before[:j]) - (mass[j] - mass[:j])
-            cut[j] = total.argmin()
-            following[j] = total[cut[j]]
+            if cost[j - 1] is not None:
+                line = (before[j - 1], cost[j - 1] + mass[j - 1], j - 1)
+                while len(hull) > 1 and _hidden(hull[-2], hull[-1], line):
+                    hull.pop()
+                hull.append(line)
+                at = min(at, len(hull) - 1)
+            x = up[j - 1]
+            while at + 1 < len(hull) and hull[at + 1][1] - x * hull[at + 1][0] < hull[at][1] - x * hull[at][0]:
+                at += 1
+            following.append(x * before[j] - mass[j] + hull[at][1] - x * hull[at][0])
+            cut[j] = hull[at][2]
         cost = following
         cuts.append(cut)
     out, j = [], n
     for cut in reversed(cuts):
         if j == 0:
             break
-        out.append(int(lengths[j - 1]))
+        out.append(up[j - 1])
         j = int(cut[j])
     return sorted(out)
 
 
+def _hidden(first: tuple[int, int, int], middle: tuple[int, int, int], last: tuple[int, int, int]) -> bool:
+    """Whether the middle line is nowhere lower than both others; counts ascend."""
+    return (last[1] - first[1]) * (middle[0] - first[0]) <= (middle[1] - first[1]) * (last[0] - first[0])
+
+
 def fit_buckets(lengths: DataFrame, buckets: int, budget: int) -> list[Bucket]:
     """Buckets from the histogram of all rows of ``lengths(n_tokens)``.
 
-    The histogram has a few thousand classes at most, whatever the number of rows; each stands for the longest
-    length that occurs in it.
+    The driver gets one row per distinct length: ``d`` of them take a corpus of at least ``d * d / 2`` tokens, so
+    ten trillion tokens have fewer than five million, and given texts a few thousand.
     """
-    classes = lengths.groupBy(length_class(F.col("n_tokens")).alias("class"))
-    rows = classes.agg(F.max("n_tokens"), F.count(F.lit(1))).orderBy("class").drop("class").collect()
+    rows = lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).orderBy("n_tokens").collect()
     at = np.array([r[0] for r in rows], dtype=np.int64)
     counts = np.array([r[1] for r in rows], dtype=np.int64)
     return [Bucket(n, max(1, budget // max(n, 1))) for n in best_boundaries(at, counts, buckets)]

@@ -51,10 +51,19 @@ def test_batches(spark, part_rows):
     assert packing.pack(df.limit(0), F.col("words")).collect() == []
 
 
-def test_length_classes(spark):
-    df = spark.range(0, 70_000).select("id", packing.length_class(F.col("id")).alias("c"))
-    assert df.where("c < id or (id <= 1024 and c <> id) or c > id * 1.008").count() == 0
-    assert df.select("c").distinct().count() < 2000
+def test_boundaries_of_many_and_long_lengths():
+    rng = np.random.default_rng(4)
+    for n, buckets in ((300, 4), (200, 16)):
+        lengths = np.unique(rng.integers(1000, 2_000_000, n))
+        counts = rng.integers(1, 10**7, len(lengths))
+        up, before, mass = lengths.astype(object), np.cumsum([0, *counts]).astype(object), np.cumsum([0, *(lengths * counts)]).astype(object)
+        cost = [0] + [None] * len(lengths)
+        for _ in range(buckets):
+            cost = [0] + [min(cost[i] + up[j - 1] * (before[j] - before[i]) - (mass[j] - mass[i]) for i in range(j) if cost[i] is not None) for j in range(1, len(up) + 1)]
+        found = packing.best_boundaries(lengths, counts, buckets)
+        assert len(found) == buckets and padding(lengths.tolist(), counts.tolist(), found) == cost[-1]
+    many = np.arange(1, 100_001)
+    assert len(packing.best_boundaries(many, many[::-1], 16)) == 16
 
 
 def test_word_count(spark):
