@@ -2,7 +2,8 @@
 
 The distinct words of a slice of texts are grouped by length. In a group every row is a word, every column
 a symbol; each round every row merges its leftmost pair of lowest rank, found in a hashed pair table, and
-rows that have no such pair leave the matrix.
+rows that have no such pair leave the matrix. A word too long for a row is a matrix of its own, whose rows are
+its parts in order.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airq.llm.common import byte_slices, texts_of
-from airq.llm.token_count import LOW, SHIFT, merge_by_heap
 
 NONE = np.int32(2**31 - 1)
-# Words of more bytes are merged with a heap (same result): a matrix needs a round per merge over the width.
+# Symbols of a row. A wider word takes several rows, of which the one with its leftmost pair of lowest rank merges in a round.
 WIDEST = 128
+# Cells of a matrix; more words of a length are merged in several.
+CELLS = 1 << 20
 # Distinct words whose ids one Python worker keeps, and the longest of them.
 KEPT_WORDS = 250_000
 KEPT_LENGTH = 48
@@ -62,6 +64,16 @@ class PairTable:
         h = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - self.bits)).astype(np.int64)
 
+    def find_one(self, left: int, right: int) -> int:
+        key = left << 32 | right
+        h = key * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
+        slot = ((h ^ h >> 29) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF) >> 64 - self.bits
+        while (seen := self.keys.item(slot)) != -1:
+            if seen == key:
+                return self.values.item(slot)
+            slot = slot + 1 & (1 << self.bits) - 1
+        return int(NONE)
+
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, ``NONE`` where the two do not merge (or ``right`` is padding)."""
         key = left.astype(np.int64) << 32 | right.astype(np.int64)
@@ -99,12 +111,15 @@ class Codec:
             if b in self.ranks:
                 out[i] = (self.ranks[b],)
             elif len(b) > WIDEST:
-                out[i] = self._encode_long(b)
+                out[i] = self._merge_wide(b)
             else:
                 groups.setdefault(-(-len(b) // 4) * 4, []).append(i)
         for width, members in groups.items():
-            for ids, i in zip(self._merge([raw[i] for i in members], width), members):
-                out[i] = ids
+            rows = max(1, CELLS // width)
+            for at in range(0, len(members), rows):
+                part = members[at : at + rows]
+                for ids, i in zip(self._merge([raw[i] for i in part], width), part):
+                    out[i] = ids
         return out
 
     def _merge(self, words: list[bytes], width: int) -> list[tuple[int, ...]]:
@@ -145,12 +160,52 @@ class Codec:
             pairs[inside, column[inside] - 1] = self.table.find(symbols[inside, column[inside] - 1], best[inside])
         return out
 
-    def _encode_long(self, word: bytes) -> tuple[int, ...]:
-        def pair(key: int) -> int | None:
-            rank = self.ranks.get(self.tokens[key >> SHIFT] + self.tokens[key & LOW])
-            return None if rank is None else rank << SHIFT | rank
-
-        return tuple(merge_by_heap(self.byte_ids[np.frombuffer(word, dtype=np.uint8)].tolist(), pair))
+    def _merge_wide(self, word: bytes) -> tuple[int, ...]:
+        """A word of several rows. A pair stands where its left symbol does; its right one may begin the next row."""
+        find = self.table.find_one
+        ids = self.byte_ids[np.frombuffer(word, dtype=np.uint8)]
+        rows = -(-len(ids) // WIDEST)
+        symbols = np.full((rows, WIDEST), -1, dtype=np.int32)
+        symbols.ravel()[: len(ids)] = ids
+        pairs = np.full((rows, WIDEST), NONE, dtype=np.int32)
+        pairs.ravel()[: len(ids) - 1] = self.table.find(ids[:-1], ids[1:])
+        lengths = (symbols >= 0).sum(1).tolist()
+        after, ahead = [*range(1, rows), -1], [*range(-1, rows - 1)]
+        lowest = pairs.min(1)
+
+        def remove(row: int, column: int, of_pair: int) -> None:
+            """Close the gap at a symbol and at a pair of a row."""
+            n = lengths[row]
+            symbols[row, column : n - 1] = symbols[row, column + 1 : n]
+            pairs[row, of_pair : n - 1] = pairs[row, of_pair + 1 : n]
+            symbols[row, n - 1], pairs[row, n - 1] = -1, NONE
+            lengths[row] = n - 1
+
+        while (best := lowest.item(row := int(lowest.argmin()))) != NONE:
+            column = int(pairs[row].argmin())
+            symbols[row, column] = best
+            if column + 1 < lengths[row]:
+                remove(row, column + 1, column + 1)
+            else:
+                follower = after[row]
+                remove(follower, 0, 0)
+                lowest[follower] = pairs[follower].min()
+                if not lengths[follower]:
+                    after[row] = after[follower]
+                    if after[row] >= 0:
+                        ahead[after[row]] = row
+            if column + 1 < lengths[row]:
+                pairs[row, column] = find(best, symbols.item(row, column + 1))
+            else:
+                pairs[row, column] = find(best, symbols.item(after[row], 0)) if after[row] >= 0 else NONE
+            if column:
+                pairs[row, column - 1] = find(symbols.item(row, column - 1), best)
+            elif ahead[row] >= 0:
+                last = lengths[ahead[row]] - 1
+                pairs[ahead[row], last] = find(symbols.item(ahead[row], last), best)
+                lowest[ahead[row]] = pairs[ahead[row]].min()
+            lowest[row] = pairs[row].min()
+        return tuple(symbols[symbols >= 0].tolist())
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Token ids of each text; words met for the first time are merged together."""

@@ -44,12 +44,23 @@ def test_ids_as_the_library_and_back(encoding):
         assert codec.decode(ids) == text.encode()
 
 
-def test_matrix_and_heap_agree(encoding):
+@pytest.mark.parametrize("widest", [2, 5, 128])
+def test_matrices_and_heap_agree(monkeypatch, widest):
+    monkeypatch.setattr(byte_bpe, "WIDEST", widest)
+    monkeypatch.setattr(byte_bpe, "CELLS", 256)
     codec = byte_bpe.Codec(byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
-    words = [w for t in odd_texts() for w in codec.split(t) if 1 < len(w.encode()) <= 40]
-    assert codec.encode_words(words) == [
-        (codec.ranks[w.encode()],) if w.encode() in codec.ranks else codec._encode_long(w.encode()) for w in words
-    ]
+    rng = random.Random(11)
+    words = [w for t in odd_texts() for w in codec.split(t) if w]
+    words += ["".join(rng.choice(letters) for _ in range(rng.randint(100, 900))) for letters in ("ab", "the", "aeinrst", "éèα中") for _ in range(20)]
+
+    def pair(key):
+        rank = codec.ranks.get(codec.tokens[key >> token_count.SHIFT] + codec.tokens[key & token_count.LOW])
+        return None if rank is None else rank << token_count.SHIFT | rank
+
+    def heap(word):
+        return tuple(token_count.merge_by_heap([codec.ranks[bytes([b])] for b in word], pair))
+
+    assert codec.encode_words(words) == [(codec.ranks[w.encode()],) if w.encode() in codec.ranks else heap(w.encode()) for w in words]
 
 
 def test_bounded_caches_change_nothing(monkeypatch):
