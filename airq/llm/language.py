@@ -334,18 +334,26 @@ def identify_language(
     )
 
 
-def keep_known(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
+def keep_known(docs: DataFrame, model: LanguageModel, text_column: str = "text", label_column: str = "lang") -> DataFrame:
     """Rows whose text consists of learned languages, one or several of them, with all their columns.
 
-    Texts without letters and those of other languages go (see ``LanguageModel.covers``). If no language was
-    learned all rows stay.
+    Texts without letters and those of other languages go (see ``LanguageModel.covers``). The rows that stay carry
+    the predicted language as ``label_column``, if there is such a column: what follows goes by the text and not by
+    its source's label, which may be null or wrong. If no language was learned all rows stay as they are.
     """
+    if not model.languages:
+        return docs
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_column)
+    label = docs.columns.index(label_column) if label_column in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in byte_slices(batch, place):
-                yield part.filter(pa.array(shipped.value.covers(texts_of(part, place))))
+                part = part.filter(pa.array(shipped.value.covers(texts_of(part, place))))
+                if label is not None and part.num_rows:
+                    names, _ = shipped.value.predict(texts_of(part, place))
+                    part = part.set_column(label, part.schema.field(label), pa.array(names, part.schema.field(label).type))
+                yield part
 
     return docs.mapInArrow(run, docs.schema)

@@ -100,15 +100,19 @@ def pack(
     budget: int = 16_384,
     id_column: str = "doc_id",
     part_rows: int = PART_ROWS,
+    group_column: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``n_tokens``, ``bucket`` (from 0), ``padded`` (its length), ``batch``, ``slot``.
 
     ``length`` is a column of ``docs``; null counts as 0. Batches are numbered in their bucket; all but the last
     of a bucket are full. A document longer than the budget is a batch of its own, none is cut or dropped.
     Rows of a bucket are numbered in hashed parts of about ``part_rows`` rows, whose offsets come from their
-    counts, so that a bucket with most of the rows is spread over many tasks.
+    counts, so that a bucket with most of the rows is spread over many tasks. With ``group_column`` (few values, such
+    as languages; null is one) no batch has rows of two groups: each group has its own buckets of the same lengths,
+    numbered on from those of the group before it in order, and the result has the column too.
     """
-    sized = materialise(docs.select(F.col(id_column).alias("_id"), F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens")))
+    own_group = [] if group_column is None else [F.col(group_column).alias("_group")]
+    sized = materialise(docs.select(F.col(id_column).alias("_id"), F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens"), *own_group))
     found = fit_buckets(sized, buckets, budget)
     total = sized.count()
     parts = max(1, -(-total // part_rows))
@@ -119,7 +123,12 @@ def pack(
         padded = F.when(fits, F.lit(b.length).cast("long")).otherwise(padded)
         per_batch = F.when(fits, F.lit(b.per_batch).cast("long")).otherwise(per_batch)
     part = F.pmod(F.xxhash64("_id", "n_tokens"), F.lit(parts)).cast("int")
-    dealt = sized.select("_id", "n_tokens", bucket.alias("bucket"), padded.alias("padded"), per_batch.alias("_per"), part.alias("_part"))
+    if own_group:
+        names = [r[0] for r in sized.where(F.col("_group").isNotNull()).select("_group").distinct().orderBy("_group").collect()]
+        place = F.coalesce(F.array_position(F.array(*[F.lit(n) for n in names]), F.col("_group")), F.lit(0)) if names else F.lit(0)
+        bucket = bucket + place.cast("int") * F.lit(len(found))
+    kept = ["_group"] if own_group else []
+    dealt = sized.select("_id", "n_tokens", *kept, bucket.alias("bucket"), padded.alias("padded"), per_batch.alias("_per"), part.alias("_part"))
     ahead = Window.partitionBy("bucket").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = dealt.groupBy("bucket", "_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = offsets.select("bucket", "_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
@@ -133,4 +142,5 @@ def pack(
         "padded",
         F.floor(rank / F.col("_per")).cast("long").alias("batch"),
         (rank % F.col("_per")).cast("long").alias("slot"),
+        *[F.col("_group").alias(group_column) for _ in own_group],
     )

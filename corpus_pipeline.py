@@ -20,7 +20,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that consist of learned languages, texts of several of them included; see ``keep_known``."""
+    """Rows that consist of learned languages, texts of several of them included, with ``lang`` as predicted; see ``keep_known``."""
     return language.keep_known(docs, language.fit_language(docs))
 
 
@@ -30,8 +30,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The batch and slot of every document; a document's length is its number of words."""
-    return packing.pack(docs, packing.word_count(docs["text"]))
+    """The batch and slot of every document; a batch has one predicted language, a document's length is its number of words."""
+    return packing.pack(docs, packing.word_count(docs["text"]), group_column="lang")
 
 
 STAGES = [

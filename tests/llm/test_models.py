@@ -113,3 +113,12 @@ def test_a_key_in_a_short_text_does_not_reject_it():
     model = language.train(["ein satz mit worten", "the words of it"] * 20, names, np.zeros(1 << 15), 40)
     key = "token = 2abc3ff2ca8fb1e4c565a0eb63815530a948bdde"
     assert model.covers([f"the words of it {key[8:]}", "xyzzy qwrtp kjhgf zxcvb"]).tolist() == [True, False]
+
+
+def test_rows_that_stay_have_the_predicted_language(spark):
+    names = ["de", "en"] * 20
+    model = language.train(["ein satz mit worten", "the words of it"] * 20, names, np.zeros(1 << 15), 40)
+    rows = [(1, "en", "ein satz mit worten"), (2, None, "the words of it"), (3, "de", "12 !!"), (4, "de", None)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    assert sorted(tuple(r) for r in language.keep_known(df, model).collect()) == [(1, "de", rows[0][2]), (2, "en", rows[1][2])]
+    assert language.keep_known(df.where("doc_id > 2"), model).collect() == []

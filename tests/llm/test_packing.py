@@ -125,3 +125,29 @@ def test_pipeline_edges(spark, tmp_path):
             assert now.columns == docs.columns
         found = corpus_pipeline.run(spark, path).collect()
         assert (len(found) > 0) == (name == "some")
+
+
+def test_no_batch_has_two_groups(spark):
+    rows = [(i, int(n), ("de", "en", None)[i % 3]) for i, n in enumerate(np.random.default_rng(2).integers(0, 300, 200))]
+    df = spark.createDataFrame(rows, "doc_id long, words long, lang string")
+    got = packing.pack(df, df["words"], buckets=4, budget=1000, part_rows=7, group_column="lang").collect()
+    check(got, len(rows), 1000)
+    assert {(r.doc_id, r.n_tokens, r.lang) for r in got} == set(rows)
+    assert len({r.bucket for r in got}) == len({(r.bucket, r.lang) for r in got}) > 4
+    assert packing.pack(df.limit(0), F.col("words"), group_column="lang").collect() == []
+
+
+def test_batches_of_the_pipeline_go_by_the_predicted_language(spark, tmp_path):
+    """Labels that are wrong or missing do not reach the batches: the language stage replaces them."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    odd = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 40
+    spoiled = docs.withColumn("lang", F.when(odd == 6, F.lit("de")).when(odd == 10, F.lit(None)).otherwise(F.col("lang")))
+    spoiled.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{folder}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    true = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    given = {r.doc_id: r.lang for r in spoiled.select("doc_id", "lang").collect()}
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert any(given[r.doc_id] != true[r.doc_id] for r in rows)
+    assert np.mean([r.lang == true[r.doc_id] for r in rows]) > 0.99
+    assert len({r.bucket for r in rows}) == len({(r.bucket, r.lang) for r in rows})
